@@ -51,6 +51,11 @@ class _Bracket:
         return self.lower is not None and self.lower == self.upper
 
 
+def _distinct(value: Column) -> Column:
+    """Approximate distinct count in one small mergeable sketch; decides only how far to narrow."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(value.isNotNull(), F.xxhash64(value))))
+
+
 def _rank_pair(prob: float, count: int) -> tuple[int, int, float]:
     position = prob * (count - 1)
     low = math.floor(position)
@@ -68,7 +73,7 @@ def exact_quantiles(
     columns = list(columns)
     found = df.agg(
         *[F.count(number(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.approx_count_distinct(number(c)).alias(f"d{i}") for i, c in enumerate(columns)],
+        *[_distinct(number(c)).alias(f"d{i}") for i, c in enumerate(columns)],
     ).first()
     counts = {c: found[f"n{i}"] for i, c in enumerate(columns)}
 
@@ -134,7 +139,7 @@ def _narrow(
     counted = df.agg(
         *[F.count_if(number(b.column) < b.lower).alias(f"b{i}") for i, b in enumerate(narrower)],
         *[F.count(b.values()).alias(f"n{i}") for i, b in enumerate(narrower)],
-        *[F.approx_count_distinct(b.values()).alias(f"d{i}") for i, b in enumerate(narrower)],
+        *[_distinct(b.values()).alias(f"d{i}") for i, b in enumerate(narrower)],
     ).first()
 
     shrinking, stuck = [], []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["intake", "feature", "portfolio", "metric"]
+FAMILIES = ["intake", "feature", "portfolio", "metric", "monitoring"]
 
 
 def load_catalog():
