@@ -10,7 +10,7 @@ linear interpolation.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -56,37 +56,40 @@ def _distinct(value: Column) -> Column:
     return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(value.isNotNull(), F.xxhash64(value))))
 
 
-def _rank_pair(prob: float, count: int) -> tuple[int, int, float]:
+def rank_pair(prob: float, count: int) -> tuple[int, int, float]:
     position = prob * (count - 1)
     low = math.floor(position)
     return low, min(low + 1, count - 1), position - low
 
 
-def exact_quantiles(
+def order_statistics(
     df: DataFrame,
     columns: Sequence[str],
-    probs: Sequence[float],
+    ranks_for: Callable[[int, int], Iterable[int]],
     sort_limit: int = SORT_LIMIT,
     accuracy: int = SKETCH_ACCURACY,
-) -> dict[str, list[float | None]]:
-    """Quantiles per column, nulls skipped; ``None`` for a column without values."""
+) -> tuple[int, dict[str, int], dict[tuple[str, int], float]]:
+    """Values at given 0-based ranks of each column's sorted non-null values.
+
+    ``ranks_for(values, rows)`` names the ranks wanted of a column with that many values in a table of
+    that many rows. Returns the row count, the value count per column and the value at (column, rank).
+    """
     columns = list(columns)
     found = df.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.count(number(c)).alias(f"n{i}") for i, c in enumerate(columns)],
         *[_distinct(number(c)).alias(f"d{i}") for i, c in enumerate(columns)],
     ).first()
     counts = {c: found[f"n{i}"] for i, c in enumerate(columns)}
 
-    open_brackets: list[_Bracket] = []
-    for i, c in enumerate(columns):
-        if counts[c] == 0:
-            continue
-        pairs = [_rank_pair(p, counts[c]) for p in probs]
-        ranks = sorted({r for low, high, _ in pairs for r in (low, high)})
-        open_brackets.append(
-            _Bracket(c, ranks, inside=counts[c], distinct=found[f"d{i}"])
+    open_brackets = [
+        _Bracket(
+            c, sorted(set(ranks_for(counts[c], found["rows"]))), inside=counts[c],
+            distinct=found[f"d{i}"],
         )
-
+        for i, c in enumerate(columns)
+        if counts[c] > 0
+    ]
     ready: list[_Bracket] = []
     while open_brackets:
         wide = [b for b in open_brackets if b.distinct > sort_limit and not b.single_value]
@@ -95,18 +98,36 @@ def exact_quantiles(
             break
         open_brackets, stuck = _narrow(df, wide, accuracy)
         ready += stuck
+    return found["rows"], counts, _values_at_ranks(df, ready)
+
+
+def between(low: float, high: float, share: float) -> float:
+    """Linear interpolation that returns equal ends unchanged."""
+    return low if low == high else low + (high - low) * share
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    sort_limit: int = SORT_LIMIT,
+    accuracy: int = SKETCH_ACCURACY,
+) -> dict[str, list[float | None]]:
+    """Quantiles per column, nulls skipped; ``None`` for a column without values."""
+
+    def ranks(values: int, _: int) -> list[int]:
+        return [r for p in probs for r in rank_pair(p, values)[:2]]
 
-    at_rank = _values_at_ranks(df, ready)
+    _, counts, at_rank = order_statistics(df, columns, ranks, sort_limit, accuracy)
     result: dict[str, list[float | None]] = {}
     for c in columns:
-        if counts[c] == 0:
-            result[c] = [None] * len(probs)
-            continue
-        row = []
+        row: list[float | None] = []
         for p in probs:
-            low, high, share = _rank_pair(p, counts[c])
-            a, b = at_rank[(c, low)], at_rank[(c, high)]
-            row.append(a if a == b else a + (b - a) * share)
+            if counts[c] == 0:
+                row.append(None)
+                continue
+            low, high, share = rank_pair(p, counts[c])
+            row.append(between(at_rank[(c, low)], at_rank[(c, high)], share))
         result[c] = row
     return result
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["intake", "feature", "portfolio", "metric", "monitoring"]
+FAMILIES = ["intake", "feature", "portfolio", "metric", "monitoring", "modelling"]
 
 
 def load_catalog():
