@@ -442,19 +442,13 @@ def drift_report(
     rows = feature_report(reference, current, numeric, categorical, **thresholds)
     names = ["feature", "feature_type", "psi", "ks_statistic", "ks_pvalue", "drift_level",
              "has_drift"]
-    metrics = rows.agg(
+    metrics = rows.agg(  # at most one entry per feature
         F.array_sort(F.collect_list(F.struct(*names))).alias("feature_metrics"),
     )
-    sizes = _tagged(reference, current, {}).agg(
-        F.count_if(F.col(IS_REFERENCE)).alias("n_reference_samples"),
-        F.count_if(~F.col(IS_REFERENCE)).alias("n_current_samples"),
-    )
-    # three one-row tables
     return (
-        sizes.crossJoin(metrics)
-        .select(
-            "n_reference_samples",
-            "n_current_samples",
+        metrics.select(
+            F.lit(reference.count()).cast("bigint").alias("n_reference_samples"),
+            F.lit(current.count()).cast("bigint").alias("n_current_samples"),
             "feature_metrics",
             F.transform(
                 F.filter("feature_metrics", lambda m: m["has_drift"]), lambda m: m["feature"]

@@ -15,7 +15,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accountrisk.session import written
@@ -50,20 +50,18 @@ def encoding_table(df: DataFrame, category: str, label: str, fold: str | None =
         )
         used = rest.unionByName(whole)
 
-    # overall count and sum behind every fold: a handful of rows
-    per_fold = sums.groupBy("fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    everything = sums.agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
-    overall = everything.select(
-        F.lit(ALL_ROWS).alias("fold"), F.col("all_n").alias("rows"), F.col("all_s").alias("hits")
+    # rows and label sum behind every fold: one row per fold and one for all rows
+    overall = sums.agg(
+        F.lit(ALL_ROWS).alias("fold"), F.sum("n").alias("rows"), F.sum("s").alias("hits")
     )
     if fold is not None:
-        overall = overall.unionByName(
-            per_fold.crossJoin(everything).select(
-                "fold",
-                (F.col("all_n") - F.col("n")).alias("rows"),
-                (F.col("all_s") - F.col("s")).alias("hits"),
-            )
+        folds = Window.partitionBy()
+        outside = sums.groupBy("fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).select(
+            "fold",
+            (F.sum("n").over(folds) - F.col("n")).alias("rows"),
+            (F.sum("s").over(folds) - F.col("s")).alias("hits"),
         )
+        overall = overall.unionByName(outside)
     base = F.try_divide(F.col("hits"), F.col("rows"))
     overall = overall.select("fold", base.alias("base"), (base * (1.0 - base)).alias("spread"))
 

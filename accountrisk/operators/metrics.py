@@ -218,18 +218,9 @@ def f1_score(label: Column, prediction: Column) -> Column:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights n / (2 n_class), one row per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("n_class"))
-    total = counts.agg(F.sum("n_class").alias("n"), F.count("*").alias("k"))
-    return counts.crossJoin(total).select(
-        label, "n_class", (F.col("n") / (F.col("k") * F.col("n_class"))).alias("weight")
-    )
-
-
-def with_class_weight(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
-    """Attach balanced weights as constants of the two classes."""
-    found = {r[label]: r["weight"] for r in class_weights(df, label).collect()}  # two rows
-    return df.withColumn(
-        weight,
-        F.when(F.col(label) == 1, F.lit(found.get(1, 1.0))).otherwise(F.lit(found.get(0, 1.0))),
+    both = Window.partitionBy()  # one row per class
+    return counts.withColumn(
+        "weight", F.sum("n_class").over(both) / (F.count("*").over(both) * F.col("n_class"))
     )
 
 

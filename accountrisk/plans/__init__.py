@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["intake", "feature", "portfolio", "metric", "monitoring", "modelling"]
+FAMILIES = [
+    "intake", "feature", "portfolio", "metric", "monitoring", "modelling", "streams",
+]
 
 
 def load_catalog():

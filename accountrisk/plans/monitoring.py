@@ -188,7 +188,10 @@ def agg_baseline_summary(spark, folder):
             "unique_count",
         )
     )
-    return numbers.unionByName(groups).crossJoin(D.baseline_header(mart).select("n_samples"))
+    header = D.baseline_header(mart).first()
+    return numbers.unionByName(groups).withColumn(
+        "n_samples", F.lit(header["n_samples"]).cast("bigint")
+    )
 
 
 @query("q_drift_psi_numeric", LONG + psi_sql() + " SELECT feature, round_even(psi, 6) AS psi FROM psi")
