@@ -9,6 +9,7 @@ from accountrisk.operators import calibration as C
 from accountrisk.operators import importance as I
 from accountrisk.operators import metrics as M
 from accountrisk.operators import training as T
+from accountrisk.operators.quantiles import exact_quantiles
 from accountrisk.operators.splits import (
     class_share_rank,
     stratified_sample,
@@ -25,11 +26,12 @@ NUMERIC = ["monthly_recurring_revenue", "nps_score"]
 @pytest.fixture(scope="module")
 def learnable(spark, mart):
     """The mart with a label that follows two of its columns."""
-    risk = F.col("monthly_recurring_revenue") / 3000.0 + F.when(
+    (middle,) = exact_quantiles(mart, ["monthly_recurring_revenue"], [0.5]).values()
+    risk = F.col("monthly_recurring_revenue") / middle[0] + F.when(
         F.col("plan_tier") == "Starter", 1.0
     ).otherwise(0.0)
     noise = F.pmod(F.xxhash64("customer_id"), F.lit(100)) / 100.0
-    return written(mart.withColumn("churn", (risk + noise > 1.6).cast("int")), "learnable")
+    return written(mart.withColumn("churn", (risk + noise > 1.8).cast("int")), "learnable")
 
 
 def pipeline(kind="random_forest", **params):
