@@ -13,7 +13,7 @@ from accountrisk.operators.encoding import encode, encoding_table
 from accountrisk.plans.catalog import query
 from accountrisk.plans.intake import RATIO_SQL
 from accountrisk.plans.sql import LINE_FACTS, MART_CTE, ORDER_FACTS, MART
-from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RATIO_FEATURES
+from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from accountrisk.session import written
 from accountrisk.sources.mart import account_mart, table
 
@@ -32,12 +32,10 @@ def rounded_columns(df: DataFrame, columns, digits: int = 6) -> DataFrame:
 def _ratio_query(name, column, expression):
     @query(
         name,
-        RATIO_MART + f" SELECT customer_id, round_even({column}, 6) AS {column} FROM ratios",
+        RATIO_MART + f" SELECT customer_id, {column} FROM ratios",
     )
     def run(spark, folder):
-        return account_mart(spark, folder).select(
-            "customer_id", F.bround(expression(), 6).alias(column)
-        )
+        return account_mart(spark, folder).select("customer_id", expression().alias(column))
 
     return run
 
@@ -48,17 +46,9 @@ _ratio_query("q_feat_logins_per_active", "avg_logins_per_active_user", R.logins_
 _ratio_query("q_feat_mrr_per_seat", "mrr_per_contracted_seat", R.mrr_per_seat)
 
 
-@query(
-    "q_feat_ratios",
-    RATIO_MART
-    + " SELECT * REPLACE ("
-    + ", ".join(f"round_even({c}, 6) AS {c}" for c in RATIO_FEATURES)
-    + ") FROM ratios",
-)
+@query("q_feat_ratios", RATIO_MART + " SELECT * FROM ratios")
 def feat_ratios(spark, folder):
-    return rounded_columns(
-        S.RatioFeatures().transform(account_mart(spark, folder)), RATIO_FEATURES
-    )
+    return S.RatioFeatures().transform(account_mart(spark, folder))
 
 
 @query(
@@ -109,25 +99,37 @@ def feat_winsor_fit(spark, folder):
     return learned_rows(spark, model, ["lower_bound", "upper_bound"])
 
 
+def _interpolated(values: str, prob: float) -> str:
+    """Quantile of a sorted DuckDB list, written out so that the last bit is defined."""
+    at = f"{prob}e0 * (len({values}) - 1)"
+    low = f"{values}[floor({at})::BIGINT + 1]"
+    high = f"{values}[least(floor({at})::BIGINT + 2, len({values}))]"
+    return f"{low} + ({high} - {low}) * ({at} - floor({at}))"
+
+
 def _clipped_sql(columns, lower, upper):
+    lists = ", ".join(
+        f"list_sort(list({c}::DOUBLE) FILTER (WHERE {c} IS NOT NULL)) AS {c}_s" for c in columns
+    )
     bounds = ", ".join(
-        f"quantile_cont({c}::DOUBLE, {lower}) AS {c}_lo, quantile_cont({c}::DOUBLE, {upper}) AS {c}_hi"
+        f"{_interpolated(f'{c}_s', lower)} AS {c}_lo, {_interpolated(f'{c}_s', upper)} AS {c}_hi"
         for c in columns
     )
     clipped = ", ".join(
-        f"CASE WHEN {c} IS NOT NULL THEN round_even(least(greatest({c}::DOUBLE, {c}_lo), {c}_hi), 6)"
-        f" END AS {c}"
+        f"CASE WHEN {c} IS NOT NULL THEN least(greatest({c}::DOUBLE, {c}_lo), {c}_hi) END AS {c}"
         for c in columns
     )
-    return f", b AS (SELECT {bounds} FROM mart) SELECT customer_id, {clipped} FROM mart, b"
+    return (
+        f", s AS (SELECT {lists} FROM mart), b AS (SELECT {bounds} FROM s)"
+        f" SELECT customer_id, {clipped} FROM mart, b"
+    )
 
 
 @query("q_feat_winsor_apply", MART_CTE + _clipped_sql(NUMERIC_FEATURES, 0.01, 0.99))
 def feat_winsor_apply(spark, folder):
     mart = mart_table(spark, folder)
     model = S.Winsorizer(inputCols=NUMERIC_FEATURES).fit(mart)
-    out = model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
-    return rounded_columns(out, NUMERIC_FEATURES)
+    return model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
 
 
 @query("q_join_fit_state", MART_CTE + _clipped_sql(["monthly_recurring_revenue"], 0.05, 0.95))
@@ -135,8 +137,7 @@ def join_fit_state(spark, folder):
     """Learned bounds enter the plan as constants: no join, no shuffle."""
     mart = mart_table(spark, folder)
     model = S.Winsorizer(inputCols=["monthly_recurring_revenue"], lower=0.05, upper=0.95).fit(mart)
-    out = model.transform(mart).select("customer_id", "monthly_recurring_revenue")
-    return rounded_columns(out, ["monthly_recurring_revenue"])
+    return model.transform(mart).select("customer_id", "monthly_recurring_revenue")
 
 
 @query(
@@ -159,7 +160,7 @@ def _over_quantiles(columns, expression: str) -> str:
     stats = ", ".join(
         f"quantile_cont({c}::DOUBLE, 0.{p}) AS {c}_{p}" for c in columns for p in ("25", "5", "75")
     )
-    out = ", ".join(f"round_even({expression.format(c=c)}, 6) AS {c}" for c in columns)
+    out = ", ".join(f"{expression.format(c=c)} AS {c}" for c in columns)
     return f", st AS (SELECT {stats} FROM mart) SELECT customer_id, {out} FROM mart, st"
 
 
@@ -170,8 +171,7 @@ def _over_quantiles(columns, expression: str) -> str:
 def feat_impute_median(spark, folder):
     mart = mart_table(spark, folder)
     model = S.MedianImputer(inputCols=NUMERIC_FEATURES).fit(mart)
-    out = model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
-    return rounded_columns(out, NUMERIC_FEATURES)
+    return model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
 
 
 @query(
@@ -179,14 +179,15 @@ def feat_impute_median(spark, folder):
     MART_CTE
     + _over_quantiles(
         NUMERIC_FEATURES,
-        "({c}::DOUBLE - {c}_5) / CASE WHEN {c}_75 = {c}_25 THEN 1e0 ELSE {c}_75 - {c}_25 END",
+        "round_even(({c}::DOUBLE - {c}_5)"
+        " / CASE WHEN {c}_75 = {c}_25 THEN 1e0 ELSE {c}_75 - {c}_25 END, 9)",
     ),
 )
 def feat_robust_scale(spark, folder):
     mart = mart_table(spark, folder)
     model = S.RobustColumnScaler(inputCols=NUMERIC_FEATURES).fit(mart)
     out = model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
-    return rounded_columns(out, NUMERIC_FEATURES)
+    return rounded_columns(out, NUMERIC_FEATURES, 9)
 
 
 @query(

@@ -20,7 +20,6 @@ from accountrisk.schema import (
     ACCOUNT_SCHEMA,
     CATEGORICAL_FEATURES,
     NUMERIC_FEATURES,
-    RATIO_FEATURES,
     RATIO_INPUTS,
 )
 from accountrisk.session import new_path
@@ -142,14 +141,11 @@ RATIO_SQL = """
 @query(
     "q_proj_drop_intermediates",
     MART_CTE
-    + f", r AS (SELECT *, {RATIO_SQL} FROM mart) SELECT * EXCLUDE ({', '.join(RATIO_INPUTS)})"
-    + " REPLACE ("
-    + ", ".join(f"round_even({c}, 6) AS {c}" for c in RATIO_FEATURES)
-    + ") FROM r",
+    + f", r AS (SELECT *, {RATIO_SQL} FROM mart)"
+    + f" SELECT * EXCLUDE ({', '.join(RATIO_INPUTS)}) FROM r",
 )
 def proj_drop_intermediates(spark, folder):
-    out = with_ratios(account_mart(spark, folder), drop_intermediates=True)
-    return out.withColumns({c: F.bround(c, 6) for c in RATIO_FEATURES})
+    return with_ratios(account_mart(spark, folder), drop_intermediates=True)
 
 
 @query(
