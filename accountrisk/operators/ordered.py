@@ -102,8 +102,9 @@ def running_totals(
             "__next_local": F.lead(value).over(inside),
         }
     )
-    # same partitioning as the window above, so only the small offsets table moves
-    joined = local.join(offsets, [*keys, BUCKET])
+    # Same partitioning as the window above, so only the small offsets table moves. Every bucket has
+    # its offsets; a left join adds no null filter below the tallies, so both uses share one shuffle.
+    joined = local.join(offsets, [*keys, BUCKET], "left")
     return joined.select(
         *keys,
         value,

@@ -22,7 +22,7 @@ from accountrisk.schema import (
     NUMERIC_FEATURES,
     RATIO_INPUTS,
 )
-from accountrisk.session import new_path
+from accountrisk.session import new_path, written
 from accountrisk.sources.accounts import read_accounts, write_accounts
 from accountrisk.sources.mart import MART_CATEGORIES, account_mart
 
@@ -218,7 +218,7 @@ def dq_default_id(spark, folder):
 )
 def join_quarantine_anti(spark, folder):
     """Feed without the accounts that sit in quarantine."""
-    feed = raw_feed(account_mart(spark, folder))
+    feed = written(raw_feed(account_mart(spark, folder)), "feed")
     _, rejected = split_by_contract(feed, MART_CATEGORIES)
     return feed.join(rejected.select("customer_id"), "customer_id", "left_anti").select(
         "customer_id", "plan_tier", "nps_score"

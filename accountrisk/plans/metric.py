@@ -9,6 +9,7 @@ from accountrisk.functions.scoring import rule_probability
 from accountrisk.operators import metrics as M
 from accountrisk.plans.catalog import query
 from accountrisk.plans.sql import MART_CTE, VECTORS_CTE, literal_list
+from accountrisk.session import written
 from accountrisk.sources.mart import account_mart
 
 THRESHOLDS = literal_list(M.default_thresholds())
@@ -24,6 +25,11 @@ def vectors(spark, folder) -> DataFrame:
     )
 
 
+def vector_table(spark, folder) -> DataFrame:
+    """The vectors written once, for metrics that pass over them several times."""
+    return written(vectors(spark, folder), "vectors")
+
+
 def decided(spark, folder, threshold: float) -> DataFrame:
     return vectors(spark, folder).withColumn("hit", (F.col("p") >= threshold).cast("int"))
 
@@ -161,7 +167,7 @@ def agg_reliability_uniform(spark, folder):
 )
 def agg_reliability_quantile(spark, folder):
     return _rounded_curve(
-        M.reliability_curve(vectors(spark, folder), "y", "p", strategy="quantile")
+        M.reliability_curve(vector_table(spark, folder), "y", "p", strategy="quantile")
     )
 
 
@@ -187,7 +193,7 @@ RANKS_CTE = (
     + " neg_before::BIGINT AS neg_before FROM r",
 )
 def win_rank_scores(spark, folder):
-    return M.score_ranks(vectors(spark, folder), "y", "p").select(
+    return M.score_ranks(vector_table(spark, folder), "y", "p").select(
         "p", "pos", "neg", "pos_before", "neg_before"
     )
 
@@ -199,7 +205,7 @@ def win_rank_scores(spark, folder):
     + " AS roc_auc FROM r",
 )
 def agg_roc_auc(spark, folder):
-    return M.ranking_metrics(vectors(spark, folder), "y", "p").select(
+    return M.ranking_metrics(vector_table(spark, folder), "y", "p").select(
         F.bround("roc_auc", 6).alias("roc_auc")
     )
 
@@ -211,7 +217,7 @@ def agg_roc_auc(spark, folder):
     + " / (pos_total - pos_before + neg_total - neg_before)) / max(pos_total), 6) AS pr_auc FROM r",
 )
 def agg_pr_auc(spark, folder):
-    return M.ranking_metrics(vectors(spark, folder), "y", "p").select(
+    return M.ranking_metrics(vector_table(spark, folder), "y", "p").select(
         F.bround("pr_auc", 6).alias("pr_auc")
     )
 

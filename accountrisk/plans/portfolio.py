@@ -27,6 +27,7 @@ from accountrisk.plans.catalog import query
 from accountrisk.plans.intake import scored_mart
 from accountrisk.plans.sql import MART_CTE, SCORED_CTE
 from accountrisk.schema import DEFAULT_THRESHOLD
+from accountrisk.session import written
 from accountrisk.sources.mart import MART_CATEGORIES, account_mart
 
 
@@ -175,8 +176,11 @@ SELECT customer_id, expected_loss, CASE WHEN expected_loss >= c3 THEN 'P1'
 FROM losses, cuts""",
 )
 def score_priority(spark, folder):
-    losses = scored_mart(spark, folder).select(
-        "customer_id", financial_evaluation()["expected_loss_if_churn"].alias("expected_loss")
+    losses = written(
+        scored_mart(spark, folder).select(
+            "customer_id", financial_evaluation()["expected_loss_if_churn"].alias("expected_loss")
+        ),
+        "losses",
     )
     cuts = exact_quantiles(losses, ["expected_loss"], PRIORITY_PROBS)["expected_loss"]
     return losses.withColumn("priority", priority_band(F.col("expected_loss"), cuts))
@@ -269,7 +273,8 @@ def topk_accounts(spark, folder):
     + " AS dense_risk_rank FROM scored",
 )
 def win_risk_rank(spark, folder):
-    scored = scored_mart(spark, folder)
-    return ranked_within(scored, "risk_level").select(
-        "customer_id", "risk_level", "churn_probability", "risk_rank", "dense_risk_rank"
+    scored = written(
+        scored_mart(spark, folder).select("customer_id", "risk_level", "churn_probability"),
+        "scored",
     )
+    return ranked_within(scored, "risk_level")

@@ -13,122 +13,139 @@ MART_CATEGORIES = {
     "payment_method": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
 }
 
+# Declared schemas: no job is spent on reading file footers, and a drifting file fails early.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def account_mart(spark: SparkSession, folder: str, snapshot: str = SNAPSHOT) -> DataFrame:
-    """One row per customer with order history before ``snapshot``.
-
-    Orders are read once: history, recency and the label come out of one conditional aggregate.
-    Lines meet their order and part by equi-joins whose strategy Spark picks by size; both aggregates
-    end hash-partitioned by customer, so joining them moves only the customer table. Floating sums are
-    rounded to their exact scale before any division, which makes them independent of addition order.
-    """
-    day = F.lit(snapshot).cast("timestamp_ntz")
-    year_ago = F.lit(snapshot).cast("date") - F.expr("INTERVAL 12 MONTHS")
-    half_year_ago = F.lit(snapshot).cast("date") - F.expr("INTERVAL 6 MONTHS")
+def expressions(**columns: str) -> list:
+    """Named SQL expressions as columns."""
+    return [F.expr(f"{text} AS {name}") for name, text in columns.items()]
 
-    orders = table(spark, folder, "orders")
-    lines = table(spark, folder, "lineitem")
-    part = table(spark, folder, "part").select("p_partkey", "p_brand")
-    placed = F.col("o_orderdate")
-    past = placed < day
 
-    order_facts = (
+def order_facts(orders: DataFrame, snapshot: str) -> DataFrame:
+    """Orders read once: history, recency and the label's count in one conditional aggregate."""
+    day = f"TIMESTAMP_NTZ '{snapshot}'"
+    return (
         orders.groupBy("o_custkey")
         .agg(
-            F.count_if(past).alias("n_orders"),
-            F.count_if(past & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("n_urgent"),
-            F.min(F.when(past, placed)).alias("first_order"),
-            F.count_if(past & (placed >= half_year_ago.cast("timestamp_ntz"))).alias("n_recent"),
-            F.count_if(placed >= day).alias("n_future"),
+            *expressions(
+                n_orders=f"count_if(o_orderdate < {day})",
+                n_urgent=f"count_if(o_orderdate < {day}"
+                " AND o_orderpriority IN ('1-URGENT', '2-HIGH'))",
+                first_order=f"min(o_orderdate) FILTER (WHERE o_orderdate < {day})",
+                n_recent=f"count_if(o_orderdate < {day}"
+                f" AND o_orderdate >= {day} - INTERVAL 6 MONTHS)",
+                n_future=f"count_if(o_orderdate >= {day})",
+            )
         )
-        .where(F.col("n_orders") > 0)
+        .where("n_orders > 0")
     )
 
-    recent = placed >= year_ago.cast("timestamp_ntz")
-    returned = F.col("l_returnflag") == "R"
-    line_facts = (
-        lines.join(orders.where(past), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+
+def line_facts(lines: DataFrame, orders: DataFrame, part: DataFrame, snapshot: str) -> DataFrame:
+    """Line aggregates per customer.
+
+    Floating sums are rounded to their exact scale before any division, which makes them independent
+    of the order of addition.
+    """
+    day = f"TIMESTAMP_NTZ '{snapshot}'"
+    history = orders.where(f"o_orderdate < {day}").selectExpr(
+        "o_orderkey", "o_custkey", f"o_orderdate >= {day} - INTERVAL 12 MONTHS AS is_recent"
+    )
+    return (
+        lines.join(history, F.expr("l_orderkey = o_orderkey"))
+        .join(part.select("p_partkey", "p_brand"), F.expr("l_partkey = p_partkey"), "left")
         .groupBy("o_custkey")
         .agg(
-            F.count("*").alias("n_lines"),
-            F.count_if(recent).alias("n_lines_recent"),
-            F.round(F.sum("l_quantity"), 4).alias("quantity"),
-            F.round(F.sum(F.when(recent, F.col("l_quantity"))), 4).alias("quantity_recent"),
-            F.round(F.sum(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))), 4).alias(
-                "revenue"
-            ),
-            F.round(F.sum("l_tax"), 4).alias("tax"),
-            F.count_if(returned).alias("n_returned"),
-            F.count_if(returned & (F.col("l_linestatus") == "O")).alias("n_returned_open"),
-            F.count_if(returned & recent).alias("n_returned_recent"),
-            F.count_distinct("p_brand").alias("n_brands"),
+            *expressions(
+                n_lines="count(*)",
+                n_lines_recent="count_if(is_recent)",
+                quantity="round(sum(l_quantity), 4)",
+                quantity_recent="round(sum(CASE WHEN is_recent THEN l_quantity END), 4)",
+                revenue="round(sum(l_extendedprice * (1D - l_discount)), 4)",
+                tax="round(sum(l_tax), 4)",
+                n_returned="count_if(l_returnflag = 'R')",
+                n_returned_open="count_if(l_returnflag = 'R' AND l_linestatus = 'O')",
+                n_returned_recent="count_if(l_returnflag = 'R' AND is_recent)",
+                n_brands="count(DISTINCT p_brand)",
+            )
         )
     )
 
+
+def account_mart(spark: SparkSession, folder: str, snapshot: str = SNAPSHOT) -> DataFrame:
+    """One row per customer with order history before ``snapshot``.
+
+    Lines meet their order and part by equi-joins whose strategy Spark picks by size; both aggregates
+    end hash-partitioned by customer, so joining them moves only the customer table.
+    """
+    orders = table(spark, folder, "orders")
     geography = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, folder, "region"), F.expr("n_regionkey = r_regionkey")
     )
     customer = table(spark, folder, "customer").join(
-        geography.select("n_nationkey", "r_name"),
-        F.col("c_nationkey") == F.col("n_nationkey"),
+        geography.select("n_nationkey", "r_name"), F.expr("c_nationkey = n_nationkey"), "left"
+    )
+    facts = order_facts(orders, snapshot).join(
+        line_facts(
+            table(spark, folder, "lineitem"), orders, table(spark, folder, "part"), snapshot
+        ),
+        "o_custkey",
         "left",
     )
-    joined = (
-        order_facts.join(line_facts, "o_custkey", "left")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    day = f"DATE '{snapshot}'"
+    joined = facts.join(customer, F.expr("o_custkey = c_custkey")).withColumn(
+        "months",
+        F.expr(
+            f"greatest((year({day}) - year(first_order)) * 12"
+            f" + month({day}) - month(first_order), 1)"
+        ),
     )
-
-    first = F.col("first_order")
-    months = F.greatest(
-        (F.year(day) - F.year(first)) * 12 + F.month(day) - F.month(first), F.lit(1)
-    ).cast("int")
-    orders_seen = F.col("n_orders")
-    urgent_share = F.col("n_urgent") / orders_seen
-    balance = F.col("c_acctbal")
-
-    def count_of(name: str):
-        return F.coalesce(F.col(name), F.lit(0)).cast("bigint")
-
     return joined.select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_mktsegment").alias("industry"),
-        F.when(orders_seen <= 5, "1-10")
-        .when(orders_seen <= 7, "11-50")
-        .when(orders_seen <= 9, "51-200")
-        .when(orders_seen <= 12, "201-1000")
-        .otherwise("1000+")
-        .alias("company_size_bracket"),
-        F.when(balance < 3000, "Starter")
-        .when(balance < 7000, "Professional")
-        .otherwise("Enterprise")
-        .alias("plan_tier"),
-        F.when(urgent_share >= 0.5, "Monthly")
-        .when(urgent_share >= 0.25, "Annual")
-        .otherwise("Multi-Year")
-        .alias("billing_cycle"),
-        F.col("r_name").alias("payment_method"),
-        (F.col("n_recent") > 0).alias("auto_renew_enabled"),
-        months.alias("contract_duration_months"),
-        count_of("quantity").alias("contracted_seats"),
-        count_of("quantity_recent").alias("active_users_last_30d"),
-        (F.coalesce(F.col("revenue"), F.lit(0.0)) / months).alias("monthly_recurring_revenue"),
-        (count_of("n_lines_recent") / F.lit(12.0)).alias("avg_daily_logins"),
-        (F.lit(100.0) * count_of("n_brands") / F.lit(25.0)).alias("feature_adoption_score"),
-        (F.lit(1000.0) * F.col("tax") / F.col("n_lines")).alias("storage_usage_pct"),
-        count_of("n_returned").alias("support_tickets_count"),
-        count_of("n_returned_open").alias("unresolved_tickets_count"),
-        F.when(
-            F.col("n_lines_recent") > 0,
-            F.lit(10.0)
-            * (F.lit(1.0) - F.col("n_returned_recent") / F.col("n_lines_recent")),
-        ).alias("nps_score"),
-        F.when(balance < 0, -balance / F.lit(20.0)).otherwise(F.lit(0.0)).alias(
-            "invoice_delay_days"
-        ),
-        (F.col("n_future") == 0).cast("int").alias("churn"),
+        *expressions(
+            customer_id="c_custkey",
+            industry="c_mktsegment",
+            company_size_bracket="CASE WHEN n_orders <= 5 THEN '1-10' WHEN n_orders <= 7 THEN '11-50'"
+            " WHEN n_orders <= 9 THEN '51-200' WHEN n_orders <= 12 THEN '201-1000'"
+            " ELSE '1000+' END",
+            plan_tier="CASE WHEN c_acctbal < 3000D THEN 'Starter' WHEN c_acctbal < 7000D"
+            " THEN 'Professional' ELSE 'Enterprise' END",
+            billing_cycle="CASE WHEN n_urgent * 2 >= n_orders THEN 'Monthly'"
+            " WHEN n_urgent * 4 >= n_orders THEN 'Annual' ELSE 'Multi-Year' END",
+            payment_method="r_name",
+            auto_renew_enabled="n_recent > 0",
+            contract_duration_months="months",
+            contracted_seats="CAST(coalesce(quantity, 0D) AS BIGINT)",
+            active_users_last_30d="CAST(coalesce(quantity_recent, 0D) AS BIGINT)",
+            monthly_recurring_revenue="coalesce(revenue, 0D) / months",
+            avg_daily_logins="coalesce(n_lines_recent, 0L) / 12D",
+            feature_adoption_score="100D * coalesce(n_brands, 0L) / 25D",
+            storage_usage_pct="1000D * tax / n_lines",
+            support_tickets_count="coalesce(n_returned, 0L)",
+            unresolved_tickets_count="coalesce(n_returned_open, 0L)",
+            nps_score="CASE WHEN n_lines_recent > 0"
+            " THEN 10D * (1D - n_returned_recent / n_lines_recent) END",
+            invoice_delay_days="CASE WHEN c_acctbal < 0D THEN -c_acctbal / 20D ELSE 0D END",
+            churn="CAST(n_future = 0 AS INT)",
+        )
     )
