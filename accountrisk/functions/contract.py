@@ -24,31 +24,34 @@ def contract_violations(
     ``categories`` replaces the allowed sets of the fields it names.
     """
     allowed = {**CONTRACT_CATEGORIES, **(categories or {})}
-    checks: list[Column] = []
+    checks: list[str] = []
 
-    def missing(name: str) -> None:
-        if name not in columns:
-            checks.append(F.lit(f"{name}:missing"))
-        else:
-            checks.append(F.when(F.col(name).isNull(), F.lit(f"{name}:missing")))
+    def check(condition: str, code: str) -> None:
+        checks.append(f"CASE WHEN {condition} THEN '{code}' END")
+
+    def required(name: str) -> None:
+        check(f"{name} IS NULL" if name in columns else "TRUE", f"{name}:missing")
 
     for name, values in allowed.items():
-        missing(name)
+        required(name)
         if name in columns:
-            checks.append(F.when(~F.col(name).isin(*values), F.lit(f"{name}:enum")))
-    missing("auto_renew_enabled")
+            listed = ", ".join(_text(v) for v in values)
+            check(f"{name} NOT IN ({listed})", f"{name}:enum")
+    required("auto_renew_enabled")
     for name, (lower, upper) in CONTRACT_RANGES.items():
         if name not in CONTRACT_NULLABLE:
-            missing(name)
+            required(name)
         if name in columns:
-            value = F.col(name)
-            outside = value < lower
-            if upper is not None:
-                outside = outside | (value > upper)
+            above = "" if upper is None else f" OR {name} > {upper}"
             # NaN sorts above every number in Spark, so unbounded fields need their own test
-            outside = outside | F.isnan(value.cast("double"))
-            checks.append(F.when(outside, F.lit(f"{name}:range")))
-    return F.array_compact(F.array(*checks))
+            check(f"{name} < {lower}{above} OR isnan(double({name}))", f"{name}:range")
+    return F.expr(f"array_compact(array({', '.join(checks)}))")
+
+
+def _text(value: str) -> str:
+    """String literal of a SQL expression."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def with_violations(

@@ -126,7 +126,7 @@ def categorical_profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
     totals = counts.groupBy("feature").agg(
         F.sum("n").alias("total"), F.count("*").alias("unique_count")
     )
-    return counts.join(totals, "feature").select(
+    return counts.join(F.broadcast(totals), "feature").select(  # one row per feature
         "feature", "category", "n", (F.col("n") / F.col("total")).alias("proportion"),
         "unique_count",
     )
@@ -259,7 +259,7 @@ def psi_categorical(
         F.col("n_ref"), F.col("n_cur"), F.col("all_ref"), F.col("all_cur"), F.col("k")
     )
     summed = (
-        counts.join(totals, "feature")
+        counts.join(F.broadcast(totals), "feature")  # one row per feature
         .groupBy("feature")
         .agg(F.sum(term).alias("raw"), F.min("all_ref").alias("r"), F.min("all_cur").alias("c"))
     )

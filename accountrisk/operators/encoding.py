@@ -18,10 +18,9 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from accountrisk.operators.joins import left_join_by_size
 from accountrisk.session import written
 
-BROADCAST_ROWS = 200_000
-SALTS = 64
 ALL_ROWS = -1
 
 
@@ -68,7 +67,7 @@ def encoding_table(df: DataFrame, category: str, label: str, fold: str | None =
     mean = F.try_divide(F.col("s"), F.col("n"))
     pull = F.col("spread") * F.col("n")
     weight = F.coalesce(F.try_divide(pull, pull + mean * (1.0 - mean)), F.lit(0.0))
-    encoded = used.join(overall, "fold").select(
+    encoded = used.join(F.broadcast(overall), "fold").select(
         "category",
         "fold",
         F.coalesce(weight * mean + (1.0 - weight) * F.col("base"), F.col("base")).alias("encoding"),
@@ -78,24 +77,6 @@ def encoding_table(df: DataFrame, category: str, label: str, fold: str | None =
     )
 
 
-def left_join_by_size(df: DataFrame, table: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Left join of a wide table with a lookup table of counted size.
-
-    A lookup within ``BROADCAST_ROWS`` is broadcast. A larger one is shuffled with every key split into
-    ``SALTS`` parts, so a key shared by a third of the rows spreads over many tasks; the salt is a hash
-    of the row's own columns and thus the same on a retry.
-    """
-    if rows <= BROADCAST_ROWS:
-        return df.join(F.broadcast(table), keys, "left")
-    plain = [
-        f.name for f in df.schema.fields
-        if f.dataType.typeName() not in ("map", "variant", "udt") and f.name not in keys
-    ]
-    salt = F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int")
-    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return df.withColumn("__salt", salt).join(copies, [*keys, "__salt"], "left").drop("__salt")
-
-
 def encode(
     df: DataFrame, table: DataFrame, category: str, output: str, fold: str | None = None
 ) -> DataFrame:

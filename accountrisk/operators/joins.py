@@ -1,0 +1,27 @@
+"""Joins whose strategy depends on a counted size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+SALTS = 64
+
+
+def left_join_by_size(df: DataFrame, table: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Left join of a wide table with a lookup table of ``rows`` counted rows.
+
+    A lookup within ``BROADCAST_ROWS`` is broadcast. A larger one is shuffled with every key split into
+    ``SALTS`` parts, so a key shared by a third of the rows spreads over many tasks; the salt is a hash
+    of the row's own columns and thus the same on a retry.
+    """
+    if rows <= BROADCAST_ROWS:
+        return df.join(F.broadcast(table), keys, "left")
+    plain = [
+        f.name for f in df.schema.fields
+        if f.dataType.typeName() not in ("map", "variant", "udt") and f.name not in keys
+    ]
+    salt = F.pmod(F.xxhash64(*(plain or keys)), F.lit(SALTS)).cast("int")
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("__salt", salt).join(copies, [*keys, "__salt"], "left").drop("__salt")
