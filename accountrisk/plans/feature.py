@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -300,17 +301,24 @@ def feat_target_encode(spark, folder):
     return rounded_columns(out, ["nation_encoding"]).drop("churn")
 
 
-@query("q_feat_assemble")
+@query(
+    "q_feat_assemble",
+    MART_CTE
+    + " SELECT customer_id, "
+    + ", ".join(f"{c}::DOUBLE AS x_{c}" for c in NUMERIC_FEATURES)
+    + " FROM mart WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC_FEATURES),
+)
 def feat_assemble(spark, folder):
-    from pyspark.ml.feature import VectorAssembler
-
+    """Feature vector of complete accounts, read back slot by slot."""
     mart = S.NumericCopies(inputCols=NUMERIC_FEATURES).transform(account_mart(spark, folder))
     num = [f"num__{c}" for c in NUMERIC_FEATURES]
     complete = mart.dropna(subset=num)
     return (
         VectorAssembler(inputCols=num, outputCol="features", handleInvalid="error")
         .transform(complete)
-        .select("customer_id", vector_to_array("features").alias("features"))
+        .withColumn("x", vector_to_array("features"))
+        .select("customer_id", *[F.col("x")[i].alias(f"x_{c}") for i, c in enumerate(NUMERIC_FEATURES)])
     )
 
 

@@ -324,7 +324,15 @@ def sink_baseline(spark, folder):
     return load_baseline(spark, path, "categorical").select("feature", "category", "n")
 
 
-@query("q_sink_json_report")
+@query(
+    "q_sink_json_report",
+    VERDICTS
+    + ", n AS (SELECT count(*)::BIGINT AS n_rows FROM mart)"
+    + " SELECT max(n_rows) AS n_reference_samples, max(n_rows) AS n_current_samples,"
+    + " (count(*) FILTER (WHERE has_drift))::INTEGER AS drifted_features_count,"
+    + " count(*)::INTEGER AS total_features_evaluated,"
+    + " count(*) FILTER (WHERE has_drift) >= 2 AS is_dataset_drifted FROM verdicts, n",
+)
 def sink_json_report(spark, folder):
     report = D.drift_report(*batches(spark, folder), NUMERIC_FEATURES, CATEGORICAL_FEATURES)
     path = append_report(report, new_path(spark, "drift-reports"))
