@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +15,6 @@ SESSION_SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
-_local_folder: str | None = None
-
 
 def build_session(
     app_name: str = "accountrisk",
@@ -35,20 +31,14 @@ def build_session(
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Shared folder for written intermediates: ``spark.checkpoint.dir`` of the session.
+    """Shared folder for written intermediates: ``spark.checkpoint.dir``, else a folder in the warehouse.
 
-    Only a local-mode session without that setting falls back to a folder of its own; on a cluster a
-    machine-local folder would lose data with its executor, so the setting is required there.
+    Both are shared by the driver and all executors; a machine-local folder would lose data with its executor.
     """
-    global _local_folder
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_folder is None or not os.path.isdir(_local_folder):
-        _local_folder = tempfile.mkdtemp(prefix="accountrisk-")
-    return _local_folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
