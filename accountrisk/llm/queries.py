@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from accountrisk.llm import bpe, decontaminate, pii, pu_quality, records
+from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality, records
 from accountrisk.llm.common import sha256_of, table
 from accountrisk.session import new_path
 
@@ -71,3 +71,8 @@ def op8_records(spark, sf_dir):
     manifest = records.write_records(docs, public_tokenizers.path(TOKENIZER), 1, new_path(spark, "records"))
     found = records.read_records(manifest, with_ids=False)
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op10_jaccard(spark, sf_dir):
+    return jaccard.link_documents(table(spark, sf_dir, "documents"))

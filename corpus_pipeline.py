@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountrisk.llm import bpe, decontaminate, pii, pu_quality
+from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality
 from accountrisk.llm.common import table
 from accountrisk.session import written
 
@@ -23,6 +23,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 1").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays; of rows equal in every column one."""
+    groups = jaccard.link_documents(docs, id_col="doc_id", text_col="text").select("doc_id", "component_id")
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*docs.columns)
+
+
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more repeats windows of benchmark items go; the others stay as they are."""
     judged = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -44,6 +51,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", quality),
+    ("near_duplicates", near_duplicates),
     ("contamination", contamination),
     ("personal_data", personal_data),
     ("tokens", tokens),
