@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality, records
+from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality, records, suffix_dedup
 from accountrisk.llm.common import sha256_of, table
 from accountrisk.session import new_path
 
@@ -76,3 +76,12 @@ def op8_records(spark, sf_dir):
 @query
 def op10_jaccard(spark, sf_dir):
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), sha256_of(F.col("kept")).alias("kept_sha256")
+    )
