@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality, records, suffix_dedup
+from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality, quality_rules, records, suffix_dedup
 from accountrisk.llm.common import sha256_of, table
 from accountrisk.session import new_path
 
@@ -85,3 +85,9 @@ def op5_suffix_dedup(spark, sf_dir):
     return kept.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), sha256_of(F.col("kept")).alias("kept_sha256")
     )
+
+
+@query
+def op6_quality_rules(spark, sf_dir):
+    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
