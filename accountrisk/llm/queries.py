@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality, quality_rules, records, suffix_dedup
+from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality, quality_rules, records, suffix_dedup, warc
 from accountrisk.llm.common import sha256_of, table
 from accountrisk.session import new_path
 
@@ -91,3 +91,20 @@ def op5_suffix_dedup(spark, sf_dir):
 def op6_quality_rules(spark, sf_dir):
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op9_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    files = warc.write_archives(pages, new_path(spark, "warc"))
+    captures = warc.transactions(warc.read_archives(files)).where(F.col("main").isNotNull())
+    kind = pages.schema["page_id"].dataType
+    return captures.select(
+        F.col("main.page_id").cast(kind).alias("page_id"),
+        F.col("main.payload_bytes").alias("payload_bytes"),
+        F.col("main.payload_digest").alias("payload_digest"),
+        F.col("main.record_type").alias("record_type"),
+        F.col("main.refers_to").cast(kind).alias("refers_to"),
+        F.size("requests").cast("long").alias("n_requests"),
+        F.size("metadata").cast("long").alias("n_metadata"),
+    )
