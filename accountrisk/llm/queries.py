@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from accountrisk.llm import bpe, decontaminate, jaccard, pii, pu_quality, quality_rules, records, suffix_dedup, warc
+from accountrisk.llm import bpe, decontaminate, html_text, jaccard, pii, pu_quality, quality_rules, records, suffix_dedup, warc
 from accountrisk.llm.common import sha256_of, table
 from accountrisk.session import new_path
 
@@ -108,3 +108,10 @@ def op9_warc(spark, sf_dir):
         F.size("requests").cast("long").alias("n_requests"),
         F.size("metadata").cast("long").alias("n_metadata"),
     )
+
+
+@query
+def op7_html_text(spark, sf_dir):
+    found = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "html"))
+    lines = F.size(F.split("text", "\n")).cast("long").alias("n_lines")
+    return found.select("page_id", F.length("text").cast("long").alias("n_chars"), lines, sha256_of(F.col("text")).alias("text_sha256"), "text")

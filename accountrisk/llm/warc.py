@@ -61,7 +61,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     spark = pages.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-    # the response of a payload is the first of its page's id: a second row of that id is a revisit as well
+    # rows that share the smallest id of a payload are responses, all of them
     rows = with_originals(pages, id_col, url_col, html_col)
 
     def capture(page, url: str, body: bytes, digest: str, original) -> list[bytes]:
