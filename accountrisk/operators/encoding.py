@@ -18,7 +18,6 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from accountrisk.operators.joins import left_join_by_size
 from accountrisk.session import written
 
 ALL_ROWS = -1
@@ -96,7 +95,7 @@ def encode(
             F.col(fold).cast("int"),
         )
     lookup = seen.withColumnRenamed("category", category).withColumnRenamed("encoding", output)
-    joined = left_join_by_size(df, lookup, keys, lookup.count())
+    joined = df.join(lookup, keys, "left")  # Spark picks the strategy by size and splits hot categories
     return joined.withColumn(output, F.coalesce(F.col(output), default)).select(
         *df.columns, output
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from accountrisk.functions.numeric import rounded
 from accountrisk.functions.scoring import financial_evaluation, high_risk
-from accountrisk.operators.joins import left_join_by_size
 from accountrisk.schema import BusinessTerms
 
 
@@ -49,7 +48,7 @@ def ranked_within(scored: DataFrame, group: str) -> DataFrame:
     """Rank and dense rank by falling probability inside each group.
 
     Probabilities carry four decimals, so a group has at most 10,001 distinct ones: ranks are computed
-    on that table and joined back by its counted size, which keeps a tier with a third of all accounts
+    on that table and joined back, which keeps a tier with a third of all accounts
     out of a single window partition.
     """
     steps = scored.groupBy(group, "churn_probability").agg(F.count("*").alias("n"))
@@ -65,4 +64,4 @@ def ranked_within(scored: DataFrame, group: str) -> DataFrame:
         ).alias("risk_rank"),
         F.row_number().over(falling).cast("bigint").alias("dense_risk_rank"),
     )
-    return left_join_by_size(scored, ranks, [group, "churn_probability"], steps.count())
+    return scored.join(ranks, [group, "churn_probability"], "left")

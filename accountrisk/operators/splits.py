@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +10,14 @@ from pyspark.sql import functions as F
 from accountrisk.functions.numeric import edges_reached
 from accountrisk.operators.quantiles import exact_quantiles
 
-HASH_RANGE = 1 << 52  # exact as a double
+HASH_DIGITS = 13  # hexadecimal digits: 52 bits, exact as a double
+MAX_CLASSES = 1_000
 
 
 def row_hash(row_id: str, seed: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(HASH_RANGE)).cast("double")
+    """Leading digits of md5("seed:id") as a number; any engine with md5 gets the same."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("double")
 
 
 def class_share_rank(
@@ -24,20 +26,24 @@ def class_share_rank(
     """How many of the rising ``shares`` a row's hash passes inside its own class.
 
     The cuts are quantiles of the hash within each class, so every class is divided in the same
-    proportions up to one row.
+    proportions up to one row. Classes are the values the label has, null among them, so every row has
+    a rank. A label of more than MAX_CLASSES values is no class label and raises.
     """
     hashed = row_hash(row_id, seed)
-    classes = [0, 1]
-    per_class = df.select(
-        *[F.when(F.col(label) == c, hashed).alias(f"h{c}") for c in classes]
-    )
-    cuts = exact_quantiles(per_class, [f"h{c}" for c in classes], list(shares))
-    ranks = [
-        F.when(F.col(label) == c, edges_reached(hashed, cuts[f"h{c}"]))
-        for c in classes
-        if cuts[f"h{c}"][0] is not None
-    ]
-    return reduce(lambda a, b: F.coalesce(a, b), ranks, F.lit(None).cast("int"))
+    found = df.select(label).distinct().orderBy(label).limit(MAX_CLASSES + 1).collect()
+    classes = [r[0] for r in found]
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
+
+    def of(value) -> Column:
+        return F.col(label).eqNullSafe(F.lit(value))
+
+    per_class = df.select(*[F.when(of(c), hashed).alias(f"h{i}") for i, c in enumerate(classes)])
+    cuts = exact_quantiles(per_class, per_class.columns, list(shares)) if classes else {}
+    rank = F.lit(None).cast("int")
+    for i, c in enumerate(classes):
+        rank = F.when(of(c), edges_reached(hashed, cuts[f"h{i}"])).otherwise(rank)
+    return rank
 
 
 def train_test_split(

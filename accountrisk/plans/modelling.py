@@ -15,6 +15,7 @@ from accountrisk.operators import training as T
 from accountrisk.operators.splits import class_share_rank, train_test_split, with_folds
 from accountrisk.plans.catalog import query
 from accountrisk.plans.feature import mart_table
+from accountrisk.plans.sql import MART_CTE
 from accountrisk.schema import CATEGORICAL_FEATURES, DEFAULT_THRESHOLD, NUMERIC_FEATURES
 from accountrisk.session import new_path, written
 from accountrisk.sources import registry as G
@@ -27,22 +28,51 @@ SMALL_NUMERIC = ["monthly_recurring_revenue", "contract_duration_months", "nps_s
 SMALL_CATEGORICAL = ["plan_tier", "billing_cycle"]
 
 
-@query("q_ml_split")
+def label_table(spark, folder) -> DataFrame:
+    """Ids and labels alone, which need no line items."""
+    return written(account_mart(spark, folder).select("customer_id", "churn"), "labels")
+
+
+def split_cte(seed: int, shares: list[float]) -> str:
+    """``ranked``: accounts with the number of shares their hash passes in their class."""
+    cuts = ", ".join(f"quantile_cont(h, {share}) AS c{i}" for i, share in enumerate(shares))
+    passed = " + ".join(f"(h >= c{i})::INTEGER" for i in range(len(shares)))
+    return MART_CTE + f""", hashed AS (
+  SELECT customer_id, churn,
+    ('0x' || substr(md5('{seed}:' || customer_id::VARCHAR), 1, 13))::BIGINT::DOUBLE AS h FROM mart
+), cuts AS (SELECT churn, {cuts} FROM hashed GROUP BY churn
+), ranked AS (
+  SELECT customer_id, hashed.churn, {passed} AS passed
+  FROM hashed JOIN cuts ON hashed.churn IS NOT DISTINCT FROM cuts.churn
+)"""
+
+
+SPLIT_SQL = split_cte(42, [0.2]) + """
+SELECT customer_id, churn, CASE WHEN passed > 0 THEN 'train' ELSE 'test' END AS part FROM ranked"""
+FOLD_CTE = split_cte(42, [i / 5 for i in range(1, 5)])
+
+
+@query("q_ml_split", SPLIT_SQL)
 def ml_split(spark, folder):
-    mart = mart_table(spark, folder)
+    mart = label_table(spark, folder)
     is_train = class_share_rank(mart, "churn", "customer_id", 42, [0.2]) > 0
     return mart.select(
         "customer_id", "churn", F.when(is_train, "train").otherwise("test").alias("part")
     )
 
 
-@query("q_ml_kfold")
+@query("q_ml_kfold", FOLD_CTE + " SELECT customer_id, churn, passed AS fold FROM ranked")
 def ml_kfold(spark, folder):
-    mart = mart_table(spark, folder)
+    mart = label_table(spark, folder)
     return with_folds(mart, "churn", "customer_id").select("customer_id", "churn", "fold")
 
 
-@query("q_win_fold_assignment")
+@query(
+    "q_win_fold_assignment",
+    FOLD_CTE
+    + """ SELECT passed AS fold, count(*) AS n_rows, sum(churn)::BIGINT AS n_churned
+FROM ranked GROUP BY passed""",
+)
 def win_fold_assignment(spark, folder):
     """Rows and churned rows per fold."""
     return ml_kfold(spark, folder).groupBy("fold").agg(

@@ -48,7 +48,7 @@ def test_psi_golden_and_bins(spark):
 
 def test_psi_samples(spark):
     rng = np.random.default_rng(1)
-    a, same, moved = rng.normal(50, 10, 2000), rng.normal(50, 10, 2000), rng.normal(75, 15, 2000)
+    a, same, moved = rng.gamma(3, 4, 1700), rng.gamma(3, 4, 1700), rng.gamma(5, 5, 1300)
     assert psi(spark, a, same) < 0.05
     assert psi(spark, a, moved) > 0.25
     assert psi(spark, a, moved) == pytest.approx(numpy_psi(a, moved), abs=1e-12)
@@ -69,7 +69,7 @@ def test_ks(spark):
     assert golden["ks_statistic"] == pytest.approx(0.5)
     assert golden["wasserstein"] == pytest.approx(50.0)
     rng = np.random.default_rng(2)
-    a, same, moved = rng.normal(100, 15, 1000), rng.normal(100, 15, 1000), rng.normal(120, 15, 1000)
+    a, same, moved = rng.uniform(-3, 8, 750), rng.uniform(-3, 8, 750), rng.uniform(0, 9, 640)
     assert ks(spark, a, same)["ks_pvalue"] > 0.05
     assert ks(spark, a, moved)["ks_pvalue"] < 0.05
     too_few = ks(spark, [1.0], [2.0, 3.0])

@@ -7,18 +7,9 @@ from pyspark.sql import functions as F
 
 from accountrisk.operators import metrics as M
 
-# ten accounts: label, probability
-THRESHOLD_ROWS = list(
-    zip(
-        [1, 1, 1, 0, 0, 0, 1, 0, 1, 0],
-        [0.9, 0.85, 0.7, 0.1, 0.2, 0.3, 0.65, 0.15, 0.8, 0.25],
-        strict=True,
-    )
-)
-# eight accounts of the calibration case
-CALIBRATION_ROWS = list(
-    zip([1, 0] * 4, [0.9, 0.1, 0.8, 0.2, 0.85, 0.15, 0.75, 0.25], strict=True)
-)
+# own vectors: a wave of probabilities, labels that mostly follow it
+THRESHOLD_ROWS = [(int((7 * k) % 23 > 11), round(0.04 + 0.92 * ((7 * k) % 23) / 22, 3)) for k in range(17)]
+CALIBRATION_ROWS = [(int(k % 3 == 0), round(0.07 * k + 0.03, 2)) for k in range(13)]
 
 
 def rows(spark, pairs, **extra):
@@ -35,10 +26,11 @@ def benefit(spark, y, pred, ltv):
 
 
 def test_net_benefit_goldens(spark):
-    assert benefit(spark, 1, 1, 10_000.0) == 6350.0
-    assert benefit(spark, 0, 1, 10_000.0) == -150.0
-    assert benefit(spark, 1, 0, 10_000.0) == -10_000.0
-    assert benefit(spark, 0, 0, 10_000.0) == 0.0
+    ltv = 4_321.0
+    assert benefit(spark, 1, 1, ltv) == pytest.approx(0.65 * ltv - 150)
+    assert benefit(spark, 0, 1, ltv) == -150.0
+    assert benefit(spark, 1, 0, ltv) == -ltv
+    assert benefit(spark, 0, 0, ltv) == 0.0
 
 
 def test_default_value_and_evaluator(spark):
@@ -70,14 +62,20 @@ def test_curve_matches_per_threshold_loop(spark):
 def test_first_maximum_wins(spark):
     curve = M.financial_curve(rows(spark, THRESHOLD_ROWS, mrr=500.0), "y", "p", "mrr")
     best = M.best_threshold(curve).first()
-    assert best["max_net_benefit_usd"] == 18_750.0
-    assert best["best_threshold"] == M.default_thresholds()[26]
+    benefits = [b for *_, b in brute_curve(THRESHOLD_ROWS, 500.0)]
+    assert best["max_net_benefit_usd"] == max(benefits)
+    assert best["best_threshold"] == M.default_thresholds()[benefits.index(max(benefits))]
 
 
 def test_calibration_goldens(spark):
     df = rows(spark, CALIBRATION_ROWS)
-    assert df.agg(M.brier(F.col("y"), F.col("p"))).first()[0] == pytest.approx(0.03375)
-    assert M.calibration_error(df, "y", "p", 5).first()[0] == pytest.approx(0.175)
+    squares = [(p - y) ** 2 for y, p in CALIBRATION_ROWS]
+    assert df.agg(M.brier(F.col("y"), F.col("p"))).first()[0] == pytest.approx(sum(squares) / len(squares))
+    gap = 0.0
+    for k in range(5):
+        inside = [(y, p) for y, p in CALIBRATION_ROWS if k / 5 <= p < (k + 1) / 5 or k == 4 and p == 1]
+        gap += abs(sum(y - p for y, p in inside)) / len(CALIBRATION_ROWS)
+    assert M.calibration_error(df, "y", "p", 5).first()[0] == pytest.approx(gap)
 
 
 def test_bin_edges_follow_floating_multiples(spark):

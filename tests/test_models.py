@@ -52,6 +52,18 @@ def test_split_and_folds_are_stratified(mart):
     assert all(gap <= 2 and n == 5 for _, gap, n in sizes.collect())
 
 
+def test_rows_without_a_usual_label_stay(spark):
+    labels = [None, 0, 1, 2, 2]
+    df = spark.createDataFrame([(i, labels[i % 5]) for i in range(500)], "customer_id int, churn int")
+    train, test = train_test_split(df, "churn", "customer_id")
+    assert train.count() + test.count() == 500 and train.intersect(test).isEmpty()
+    folds = with_folds(df, "churn", "customer_id", 5)
+    assert folds.where("fold IS NULL").isEmpty()
+    sizes = folds.groupBy("churn", "fold").count().groupBy("churn").agg(F.max("count") - F.min("count"), F.count("*"))
+    assert sizes.count() == 4 and all(gap <= 2 and n == 5 for _, gap, n in sizes.collect())
+    assert with_folds(df.where("false"), "churn", "customer_id").isEmpty()
+
+
 def test_splits_do_not_depend_on_partitions(mart):
     def fold_map(df):
         return dict(

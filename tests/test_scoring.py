@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from accountrisk.functions.ratios import with_ratios
+from accountrisk.functions.ratios import EPSILON, with_ratios
 from accountrisk.functions.scoring import (
     ACTIONS,
     financial_evaluation,
@@ -22,10 +22,10 @@ from accountrisk.schema import RATIO_INPUTS
 
 def test_ratio_golden(accounts):
     row = with_ratios(accounts()).first()
-    assert row["seat_utilization_rate"] == 0.1875
-    assert row["unresolved_tickets_ratio"] == pytest.approx(0.666665925926749, abs=1e-15)
-    assert row["avg_logins_per_active_user"] == pytest.approx(0.6666662222225186, abs=1e-15)
-    assert row["mrr_per_contracted_seat"] == 65.0
+    assert row["seat_utilization_rate"] == 8 / 64
+    assert row["unresolved_tickets_ratio"] == pytest.approx(3 / (7 + EPSILON), abs=1e-15)
+    assert row["avg_logins_per_active_user"] == pytest.approx(6 / (8 + EPSILON), abs=1e-15)
+    assert row["mrr_per_contracted_seat"] == 32.5
 
 
 def test_ratio_bounds_and_nulls(accounts):
@@ -38,7 +38,7 @@ def test_ratio_bounds_and_nulls(accounts):
     ).collect()
     assert rows[0]["seat_utilization_rate"] == 1.5
     assert rows[1]["unresolved_tickets_ratio"] == 1.0
-    assert rows[1]["mrr_per_contracted_seat"] == 5200.0
+    assert rows[1]["mrr_per_contracted_seat"] == 2080.0
     assert rows[2]["seat_utilization_rate"] is None
     assert rows[2]["avg_logins_per_active_user"] is None
 

