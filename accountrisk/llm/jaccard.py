@@ -11,7 +11,7 @@ one class, and the work is done between classes. Two classes link when ``100 * o
    Pairs whose count vectors bound the overlap high enough are verified on the sets; the links join classes into
    components.
 4. *Trees.* Blocks that still hold several components get an R-tree over the members' count vectors (shingles
-   hashed into groups, counted). A query bounds the overlap with a node by the sum of coordinate minima with the
+   hashed into groups, counted; the more groups, the larger the set). A query bounds the overlap with a node by the sum of coordinate minima with the
    node's upper corner, and leaves subtrees that cannot reach the needed overlap or hold its own component only.
    Blocks over ``TILE`` members are cut into tiles, every pair of parts being a tile, so that no task holds a whole
    block. Pairs that survive are verified; their links finish the components.
@@ -29,8 +29,8 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,51 +39,79 @@ from accountrisk.llm.common import as_bytes, list_array, mix, steps
 from accountrisk.session import written
 
 WORDS = 5
-GROUPS = 256
+MIN_GROUPS = 64
 #: Frequent shingles told to all tasks at most (a hint for the order, 16 bytes each), and what counts as frequent.
 KNOWN_FREQUENT, LOCAL_COUNT, TOTAL_COUNT = 200_000, 3, 64
 SALTS = 64
 TILE = 1024
 FANOUT = 16
 
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_MEMO_WORDS = 1_000_000
 
 
 # ---- sets -----------------------------------------------------------------------------------------------
-class WordHashes(dict):
-    """64-bit hashes of words; a bounded memo."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words (SipHash with a fixed key)."""
+    flat = np.empty(len(words), object)
+    flat[:] = words
+    return pd.util.hash_array(flat, categorize=False)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MEMO_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
+def joined_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of ``size`` consecutive words from each place on."""
+    n = len(h) - size + 1
+    total = h[:n] + np.uint64(size)
+    for k in range(1, size):
+        total *= _FACTOR
+        total += h[k : n + k]
+    return mix(total)
 
-def shingle_sets(texts: list[bytes], memo: WordHashes, n_words: int = WORDS) -> list[np.ndarray]:
+
+def shingle_sets(texts: list[bytes], n_words: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    out = []
-    for text in texts:
-        words = text.translate(_LOWER).split()
-        if not words:
-            out.append(np.empty(0, np.uint64))
-            continue
-        h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        size = min(n_words, len(h))
-        total = np.full(len(h) - size + 1, size, np.uint64)
-        for k in range(size):
-            total = mix(total * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - size + 1 + k])
-        total.sort()
-        out.append(total[np.append(True, total[1:] != total[:-1])])
+    split = [t.translate(_LOWER).split() for t in texts]
+    h = word_hashes([w for words in split for w in words])
+    whole = joined_hashes(h, n_words) if len(h) >= n_words else h[:0]
+    out, at = [], 0
+    for words in split:
+        n = len(words)
+        if n >= n_words:
+            s = np.sort(whole[at : at + n - n_words + 1])
+            s = s[np.append(True, s[1:] != s[:-1])]
+        else:
+            s = joined_hashes(h[at : at + n], n) if n else h[:0]
+        out.append(s)
+        at += n
     return out
 
 
 def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        a = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
-        b = np.array([mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], np.uint64)
-    return a.view(np.int64), b.view(np.int64)
+    """Two 64-bit sums over each set, whose elements are spread hashes."""
+    a = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
+    b = np.array([((s ^ (s >> np.uint64(29))) * _FACTOR).sum(dtype=np.uint64) for s in sets], np.uint64)
+    return mix(a).view(np.int64), mix(b).view(np.int64)
+
+
+def count_vector(s: np.ndarray) -> bytes:
+    """Counts of a set's hashes by group, a byte each; about a quarter as many groups as hashes, so that unrelated sets
+    bound well below a link. Empty, which bounds nothing, where a count needs more than a byte."""
+    groups = max(MIN_GROUPS, 1 << max(0, (len(s) // 4 - 1)).bit_length())
+    counts = np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def groups_of(vector: bytes) -> int:
+    return len(vector)
+
+
+def folded(vectors: list[bytes], groups: int) -> np.ndarray:
+    """Rows of so many groups from vectors of as many or of a multiple (the groups are low bits)."""
+    out = np.empty((len(vectors), groups), np.int16)
+    for k, v in enumerate(vectors):
+        row = np.frombuffer(v, np.uint8)
+        out[k] = row if len(row) == groups else row.reshape(-1, groups).sum(0)
+    return out
 
 
 def prefix_length(n: int) -> int:
@@ -100,10 +128,9 @@ def frequent_shingles(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.nda
     """(sorted hashes, counts) of shingles that stand out in the tasks' tallies."""
 
     def run(batches):
-        memo = WordHashes()
         for batch in batches:
-            for part in steps(batch, "t", 16_000_000):
-                sets = shingle_sets(part.column("t").to_pylist(), memo, n_words)
+            for part in steps(batch, "t", 8_000_000):
+                sets = shingle_sets(part.column("t").to_pylist(), n_words)
                 flat = np.concatenate(sets)
                 flat.sort()
                 first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if flat.size else np.empty(0, np.int64)
@@ -119,8 +146,8 @@ def frequent_shingles(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.nda
 
 
 def profile_table(docs: DataFrame, frequent, n_words: int) -> DataFrame:
-    """One row per document: uid, id, n (set size), digest d1, d2, counts by group (int32 bytes), the prefix in the
-    global order and how many of it are not known to be frequent."""
+    """One row per document: uid, id, n (set size), digest d1, d2, count vector, the prefix in the global
+    order and how many of it are not known to be frequent."""
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def prefix_of(s: np.ndarray) -> tuple[np.ndarray, int]:
@@ -136,13 +163,13 @@ def profile_table(docs: DataFrame, frequent, n_words: int) -> DataFrame:
         return np.concatenate([light, heavy[np.lexsort((heavy, n))][: size - len(light)]]), len(light)
 
     def run(batches):
-        memo, uid = WordHashes(), TaskContext.get().partitionId() << 33
+        uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in steps(batch, "t"):
-                sets = shingle_sets(part.column("t").to_pylist(), memo, n_words)
+                sets = shingle_sets(part.column("t").to_pylist(), n_words)
                 sizes = np.array([len(s) for s in sets])
                 prefixes = [prefix_of(s) if len(s) else (s, 0) for s in sets]
-                counts = [np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes() for s in sets]
+                counts = [count_vector(s) for s in sets]
                 ends = np.append(0, np.cumsum([len(p) for p, _ in prefixes]))
                 flat = np.concatenate([p for p, _ in prefixes]).view(np.int64)
                 columns = [
@@ -203,10 +230,9 @@ def set_table(docs: DataFrame, profiles: DataFrame, wanted: DataFrame, n_words:
     picked = docs.join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("t")
 
     def run(batches):
-        memo = WordHashes()
         for batch in batches:
             for part in steps(batch, "t"):
-                sets = shingle_sets(part.column("t").to_pylist(), memo, n_words)
+                sets = shingle_sets(part.column("t").to_pylist(), n_words)
                 ends = np.append(0, np.cumsum([len(s) for s in sets]))
                 yield pa.RecordBatch.from_arrays([*map(pa.array, digests(sets)), list_array(np.concatenate(sets).view(np.int64), ends)], ["e1", "e2", "shingles"])
 
@@ -226,6 +252,14 @@ def verified(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, n_words: in
     return written(joined.where(links(overlap, F.col("n_a"), F.col("n_b"))).select("a", "b").distinct(), "links")
 
 
+def most_overlap(a: bytes, b: bytes) -> int | float:
+    """The sum of coordinate minima; without end where a vector bounds nothing."""
+    if not a or not b:
+        return float("inf")
+    x, y = folded([a, b], min(groups_of(a), groups_of(b)))
+    return int(np.minimum(x, y).sum())
+
+
 def bounded(profiles: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose count vectors allow the needed overlap."""
     one, two = (profiles.select(F.col("uid").alias(f"uid_{k}"), F.col("n").alias(f"n_{k}"), F.col("counts").alias(f"counts_{k}")) for k in "ab")
@@ -234,9 +268,9 @@ def bounded(profiles: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(f"counts_{k}").to_pylist()), "<i4").reshape(-1, GROUPS) for k in "ab")
-            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            yield batch.select(["a", "b"]).filter(pa.array(7 * np.minimum(a, b).sum(1) >= 3 * n))
+            n = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()).tolist()
+            vectors = zip(batch.column("counts_a").to_pylist(), batch.column("counts_b").to_pylist(), n, strict=True)
+            yield batch.select(["a", "b"]).filter(pa.array([7 * most_overlap(x, y) >= 3 * k for x, y, k in vectors], pa.bool_()))
 
     return written(joined.mapInArrow(run, "a long, b long"), "pivot-pairs")
 
@@ -263,10 +297,10 @@ class CountTree:
             high, low, root = self.levels[depth]
             may = (root[node] != roots[q]) & (4 * sizes[q] >= 3 * low[node])
             q, node = q[may], node[may]
-            keep = np.zeros(len(q), bool)
-            for k in range(0, len(q), 20_000):
-                a, b = q[k : k + 20_000], node[k : k + 20_000]
-                keep[k : k + 20_000] = links(np.minimum(counts[a], high[b]).sum(1), sizes[a], low[b])
+            keep, chunk = np.zeros(len(q), bool), max(1, 4_000_000 // counts.shape[1])
+            for k in range(0, len(q), chunk):
+                a, b = q[k : k + chunk], node[k : k + chunk]
+                keep[k : k + chunk] = links(np.minimum(counts[a], high[b]).sum(1, dtype=np.int64), sizes[a], low[b])
             q, node = q[keep], node[keep]
             if depth:
                 below = len(self.levels[depth - 1][1])
@@ -276,16 +310,39 @@ class CountTree:
         return q, self.order[node]
 
 
+def tile_search(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the pairs that the trees let through. Sets that can link differ in size by a third at most, so
+    their vectors have equally many groups or one twice as many: each number of groups has its tree, which also takes
+    the next larger vectors, folded."""
+    groups = np.fromiter(map(groups_of, rows["counts"]), np.int64, len(rows["cid"]))
+    found = []
+    for g in np.unique(groups[groups > 0]).tolist():
+        mine = (groups == g) | (groups == 2 * g)
+        x, y = left[mine[left]], right[mine[right]]
+        if not len(x) or not len(y) or not ((groups[x] == g).any() or (groups[y] == g).any()):
+            continue
+        at, where = np.unique(np.concatenate([x, y]), return_inverse=True)
+        vectors = folded([rows["counts"][k] for k in at.tolist()], g)
+        size, root = rows["n"], rows["root"]
+        tree = CountTree(vectors[where[len(x) :]], size[y], root[y])
+        q, p = tree.search(vectors[where[: len(x)]], size[x], root[x])
+        a, b = x[q], y[p]
+        once = (groups[a] == g) | (groups[b] == g)
+        found.append((a[once], b[once]))
+    for side, other in ((left, right), (right, left)):  # vectors that bound nothing meet all rows of the tile
+        for k in side[groups[side] == 0].tolist():
+            may = other[rows["root"][other] != rows["root"][k]]
+            found.append((np.full(len(may), k), may))
+    return np.concatenate([a for a, _ in found] or [left[:0]]), np.concatenate([b for _, b in found] or [left[:0]])
+
+
 def tile_pairs(rows: dict) -> np.ndarray:
     """Candidate pairs (smaller cid first) of one tile, without those of an earlier frequent shingle in common."""
-    cid, root, size, half = rows["cid"], rows["root"], rows["n"], rows["half"]
-    counts = np.frombuffer(b"".join(rows["counts"]), "<i4").reshape(-1, GROUPS)
-    left, right = np.flatnonzero(half <= 0), np.flatnonzero(half >= 0) if (half != 0).any() else np.arange(len(cid))
-    tree = CountTree(counts[right], size[right], root[right])
-    q, p = tree.search(counts[left], size[left], root[left])
-    a, b = left[q], right[p]
-    if (half == 0).all():
-        a, b = a[cid[a] < cid[b]], b[cid[a] < cid[b]]
+    cid, half = rows["cid"], rows["half"]
+    whole = not half.any()
+    left = np.arange(len(cid)) if whole else np.flatnonzero(half < 0)
+    right = left if whole else np.flatnonzero(half > 0)
+    a, b = tile_search(rows, left, right)
     if len(a) and any(len(x) for x in rows["earlier"]):
         sizes = np.fromiter(map(len, rows["earlier"]), np.int64, len(cid))
         tokens = np.unique(np.concatenate(rows["earlier"]), return_inverse=True)[1]
@@ -351,15 +408,18 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     profiles = written(profile_table(source, frequent_shingles(source, n_words), n_words), "profiles")
     classes = profiles.where("n > 0").groupBy("d1", "d2").agg(F.min("uid").alias("cid"), F.min("id").alias("first_id"))
     classes = written(classes, "classes")
-    first = profiles.join(classes.select("cid"), F.col("uid") == F.col("cid"), "left_semi")
 
-    # blocks, and the pivot of each sub-block
-    tokens = first.select(F.col("uid").alias("cid"), "n_light", F.posexplode("prefix").alias("pos", "token"))
-    frequent = F.col("pos") >= F.col("n_light")
-    tokens = tokens.select("token", "cid", "pos", frequent.alias("frequent"), F.when(frequent, F.pmod(F.xxhash64("cid"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int").alias("salt"))
-    of = Window.partitionBy("token", "salt")
-    tokens = tokens.withColumn("k", F.count("*").over(of)).withColumn("pivot", F.min("cid").over(of))
-    shared = written(tokens.where("k > 1 OR frequent").drop("k", "salt"), "shared")
+    # blocks, and the pivot of each sub-block; equal sets have equal shingles and salts, so the pivot of a sub-block,
+    # its smallest uid, is a class's first row, and other rows of a class can go afterwards
+    salt = F.pmod(F.col("d1"), F.lit(SALTS)) + 1
+    tokens = profiles.select("uid", "n_light", salt.alias("salt"), F.posexplode("prefix").alias("pos", "token"))
+    side = F.when(F.col("pos") >= F.col("n_light"), F.col("salt")).otherwise(0)
+    tokens = tokens.select("token", "uid", (F.shiftleft(side, 40) + F.col("pos")).alias("info"))
+    of = Window.partitionBy("token", F.shiftright("info", 40))
+    tokens = tokens.withColumn("k", F.count("*").over(of)).withColumn("pivot", F.min("uid").over(of))
+    tokens = tokens.withColumn("frequent", F.shiftright("info", 40) > 0).where("k > 1 OR frequent")
+    tokens = tokens.select("token", F.col("uid").alias("cid"), F.col("info").bitwiseAND((1 << 40) - 1).cast("int").alias("pos"), "frequent", "pivot")
+    shared = written(tokens.join(classes.select("cid"), "cid", "left_semi"), "shared")
 
     own = shared.where("cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))
     tops = shared.where("frequent").select("token", F.col("pivot").alias("a")).distinct()
@@ -378,13 +438,15 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     light = apart.where("NOT hot").groupBy("m", "x1", "x2").agg(F.min("token").alias("token")).select("token", "m")
     sizes = written(apart.where("hot").select("token", "m").union(light), "blocks")
     members = tiles(labelled, sizes)
-    about = first.select("uid", "n", "counts", "n_light", "prefix")
+    about = profiles.select("uid", "n", "counts", "n_light", "prefix")
     members = members.join(about, F.col("cid") == F.col("uid"))
     earlier = F.when(F.col("frequent") & (F.col("pos") > F.col("n_light")), F.slice("prefix", F.col("n_light") + 1, F.col("pos") - F.col("n_light")))
     members = members.select("token", "i", "j", "cid", "root", "n", "counts", "half", earlier.alias("earlier"))
     pairs = written(tree_pairs(members), "tree-pairs").distinct()
     more = verified(source, profiles, pairs, n_words)
-    roots = written(components(found.union(more)), "components")
+    # the components found before are stars already, so few rounds are left
+    stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = written(components(stars.union(more)), "components")
 
     # smallest id of each component, then of each row
     named = classes.join(roots, F.col("cid") == F.col("node"), "left").select("d1", "d2", "first_id", F.coalesce("root", "cid").alias("root"))
