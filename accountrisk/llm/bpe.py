@@ -47,7 +47,11 @@ def byte_characters() -> list[str]:
 def load_tables(path: str) -> dict:
     """What encoding and decoding need of a tokenizer file: plain arrays, lists and strings."""
     with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
+        return tables_of(json.load(file))
+
+
+def tables_of(spec: dict) -> dict:
+    """The same of the file's content."""
     model, end = spec["model"], spec["model"]["end_of_word_suffix"]
     vocab = model["vocab"]
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -65,6 +69,8 @@ def load_tables(path: str) -> dict:
         "made": made[order],
         "byte_ids": np.array([vocab[c] for c in chars], np.int64),
         "last_ids": np.array([vocab[c + end] for c in chars], np.int64),
+        "chars": chars,
+        "word_end": end,
         "tokens": [tokens.get(i, "") for i in range(max(tokens) + 1)],
         "special": special,
         "pattern": pattern,
@@ -189,10 +195,11 @@ def kept(key: str, make):
 
 
 class BpeEncoder:
-    """Encodes chunks by the merge rounds above."""
+    """Encodes chunks; ``merge`` makes (flat ids, offsets) of words, by the merge rounds above if not given."""
 
-    def __init__(self, tables: dict):
+    def __init__(self, tables: dict, merge=None):
         self.tables = tables
+        self.merge = merge or (lambda words: merge_words(words, tables))
         self.words = regex.compile(tables["pattern"] + r"|\n")
         self.special = regex.compile("(" + "|".join(map(regex.escape, tables["special"])) + ")")
         self.memo = ChunkMemo(self.encode_chunks)
@@ -220,7 +227,7 @@ class BpeEncoder:
         words = self.pieces(chunks)
         special = self.tables["special"]
         slots = {w: i for i, w in enumerate(dict.fromkeys(w for w in words if w != "\n" and w not in special))}
-        ids, offsets = merge_words([w.encode() for w in slots], self.tables) if slots else (np.empty(0, np.int32), np.zeros(1, np.int64))
+        ids, offsets = self.merge([w.encode() for w in slots]) if slots else (np.empty(0, np.int32), np.zeros(1, np.int64))
         starts = np.concatenate([offsets[:-1], ids.size + np.arange(len(special))])
         lengths = np.concatenate([np.diff(offsets), np.ones(len(special), np.int64)])
         ids = np.append(ids, np.array(list(special.values()), np.int32))

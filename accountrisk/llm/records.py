@@ -20,10 +20,10 @@ give repeated records; an empty table gives no shard; other columns are not stor
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from accountrisk.llm.bpe import TEXT_BYTES, ChunkMemo, kept
+from accountrisk.llm.bpe import TEXT_BYTES, BpeEncoder, kept, tables_of
 from accountrisk.llm.common import steps
 from accountrisk.session import written
 
 SHARD_BYTES = 64_000_000
+JOINED = 400  # words given to the library in one text
 MASK_DELTA = 0xA282EAD8  # fixed value of the record format
 INDEX_ROW = np.dtype([("key", "<i8"), ("has_key", "<i8"), ("offset", "<i8"), ("bytes", "<i8"), ("ids", "<i8")])
 MANIFEST = "range_no int, file_no int, path string, records long, ids long, bytes long"
@@ -106,18 +108,22 @@ class ShardWriter:
         return self.range_no, self.file_no - 1, self.path, len(rows), int(rows["ids"].sum()), self.at
 
 
-def library_memo(spec: str) -> tuple[ChunkMemo, int]:
-    """A memo that encodes by the tokenizers library, and the size of the vocabulary."""
-    library = Tokenizer.from_str(spec)
-    library.no_truncation()
-    library.no_padding()
+def library_encoder(spec: str) -> BpeEncoder:
+    """An encoder whose words are merged by the tokenizers library: white space, normal form and the split into words
+    are done before, so that the library meets each distinct word once, many words in one call."""
+    tables = tables_of(json.loads(spec))
+    library = Tokenizer(Tokenizer.from_str(spec).model)
+    library.pre_tokenizer = WhitespaceSplit()
+    chars = tables["chars"]
+    ends_word = np.array([t.endswith(tables["word_end"]) for t in tables["tokens"]])
 
-    def encode_new(chunks):
-        ids = [e.ids for e in library.encode_batch(chunks, add_special_tokens=False)]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.int32, counts.sum()), np.append(0, np.cumsum(counts))
+    def merge(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        shown = ["".join(map(chars.__getitem__, w)) for w in words]
+        texts = [" ".join(shown[k : k + JOINED]) for k in range(0, len(shown), JOINED)]
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in library.encode_batch_fast(texts, add_special_tokens=False)])
+        return ids, np.append(0, np.flatnonzero(ends_word[ids]) + 1)
 
-    return ChunkMemo(encode_new), library.get_vocab_size(True)
+    return BpeEncoder(tables, merge)
 
 
 def write_records(
@@ -147,14 +153,14 @@ def write_records(
     def run(batches):
         context = TaskContext.get()
         writer = ShardWriter(folder, f"shard-{context.partitionId():06d}-{context.taskAttemptId()}", context.partitionId(), shard_bytes)
-        memo, wide = kept(key, lambda: library_memo(spec.value))
-        width = 2 if max(wide, end_id + 1) <= 1 << 16 else 4
+        encoder = kept(key, lambda: library_encoder(spec.value))
+        width = 2 if max(len(encoder.tables["tokens"]), end_id + 1) <= 1 << 16 else 4
         dtype = f"<u{width}"
         last = np.array([end_id], dtype).tobytes()
         done = []
         for batch in batches:
             for part in steps(batch, "text", TEXT_BYTES):
-                flat, offsets = memo.encode(part.column("text"))
+                flat, offsets = encoder.encode(part.column("text"))
                 data, at = flat.astype(dtype).tobytes(), (offsets * width).tolist()
                 head = bytes([width])
                 keyed = zip(part.column("id").to_pylist(), at, at[1:], strict=False)
