@@ -28,7 +28,8 @@ from accountrisk.operators.quantiles import (
     order_statistics,
     rank_pair,
 )
-from accountrisk.schema import RATIO_FEATURES, RATIO_INPUTS
+from accountrisk.operators.splits import with_folds
+from accountrisk.schema import ID_COLUMN, RATIO_FEATURES, RATIO_INPUTS, TARGET_COLUMN
 
 MISSING = "missing"
 MAX_CATEGORIES = 5_000
@@ -444,10 +445,41 @@ def preprocessor_stages(
     return stages
 
 
-def build_preprocessor(*args, **kwargs) -> Pipeline:
-    return Pipeline(stages=preprocessor_stages(*args, **kwargs))
+FOLD_COLUMN = "te_fold"
+
+
+class CrossFitPipeline(Pipeline):
+    """A pipeline that gives the rows it is fitted on stratified folds.
+
+    Target encoders see the folds while the pipeline is fitted: what later stages train on are values learned
+    outside each row's fold. Rows scored later carry no fold and get the values of all rows.
+    """
+
+    def __init__(self, stages, label: str, row_id: str, folds: int = 5, seed: int = 42):
+        super().__init__(stages=stages)
+        self.label, self.row_id, self.folds, self.seed = label, row_id, folds, seed
+
+    def folded(self, dataset: DataFrame) -> DataFrame:
+        if FOLD_COLUMN in dataset.columns:
+            return dataset
+        return with_folds(dataset, self.label, self.row_id, self.folds, self.seed, FOLD_COLUMN)
+
+    def _fit(self, dataset: DataFrame):
+        return super()._fit(self.folded(dataset))
+
+
+def pipeline_of(stages: list, target_encoded=(), label: str = TARGET_COLUMN, row_id: str = ID_COLUMN) -> Pipeline:
+    """A pipeline of the stages, cross-fitted where something is target-encoded."""
+    return CrossFitPipeline(stages, label, row_id) if target_encoded else Pipeline(stages=stages)
+
+
+def build_preprocessor(
+    numeric, categorical, target_encoded=(), label: str = TARGET_COLUMN, row_id: str = ID_COLUMN, **options
+) -> Pipeline:
+    stages = preprocessor_stages(numeric, categorical, target_encoded=target_encoded, label=label, **options)
+    return pipeline_of(stages, target_encoded, label, row_id)
 
 
 def build_full(preprocessor: Pipeline, classifier) -> Pipeline:
-    """Preprocessor followed by any Spark ML classifier."""
-    return Pipeline(stages=[*preprocessor.getStages(), classifier])
+    """Preprocessor followed by any Spark ML classifier; folds stay as the preprocessor has them."""
+    return preprocessor.copy().setStages([*preprocessor.getStages(), classifier])

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from accountrisk.functions import ratios as R
 from accountrisk.operators import stages as S
-from accountrisk.operators.encoding import encode, encoding_table
+from accountrisk.operators.encoding import TargetEncoder
+from accountrisk.operators.splits import with_folds
 from accountrisk.plans.catalog import query
 from accountrisk.plans.intake import RATIO_SQL
-from accountrisk.plans.sql import LINE_FACTS, MART_CTE, ORDER_FACTS, MART
+from accountrisk.plans.sql import FOLD_CTE, MART_CTE
 from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from accountrisk.session import written
 from accountrisk.sources.mart import account_mart, table
@@ -256,24 +257,22 @@ def feat_one_hot(spark, folder):
 
 
 def nation_mart(spark, folder) -> DataFrame:
-    """Label, nation name (25 values) and a fold number per account."""
+    """Label, nation name (25 values) and a stratified fold per account."""
     customer = table(spark, folder, "customer").join(
         table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    return written(
+    rows = written(
         account_mart(spark, folder)
         .join(customer, F.col("customer_id") == F.col("c_custkey"))
-        .select(
-            "customer_id", "churn", F.col("n_name").alias("nation"),
-            (F.col("customer_id") % 5).cast("int").alias("te_fold"),
-        ),
+        .select("customer_id", "churn", F.col("n_name").alias("nation")),
         "nation-mart",
     )
+    return with_folds(rows, "churn", "customer_id", output="te_fold")
 
 
-ENCODING_SQL = """WITH {facts}, m AS (
-  SELECT customer_id, churn::DOUBLE AS y, n_name AS nation, (customer_id % 5)::INTEGER AS te_fold
-  FROM mart JOIN customer ON c_custkey = customer_id JOIN nation ON n_nationkey = c_nationkey
+ENCODING_SQL = FOLD_CTE + """, m AS (
+  SELECT customer_id, churn::DOUBLE AS y, n_name AS nation, passed AS te_fold
+  FROM ranked JOIN customer ON c_custkey = customer_id JOIN nation ON n_nationkey = c_nationkey
 ), folds AS (
   SELECT DISTINCT te_fold FROM m
 ), rest AS (
@@ -292,12 +291,11 @@ FROM m JOIN base USING (te_fold)
 LEFT JOIN enc ON enc.te_fold = m.te_fold AND enc.nation = m.nation"""
 
 
-@query("q_feat_target_encode", ENCODING_SQL.format(facts=ORDER_FACTS + LINE_FACTS + MART))
+@query("q_feat_target_encode", ENCODING_SQL)
 def feat_target_encode(spark, folder):
     """Out-of-fold smoothed churn rate of each account's nation."""
     rows = nation_mart(spark, folder)
-    learned = written(encoding_table(rows, "nation", "churn", "te_fold"), "encodings")
-    out = encode(rows, learned, "nation", "nation_encoding", "te_fold")
+    out = TargetEncoder(inputCol="nation", outputCol="nation_encoding").fit(rows).transform(rows)
     return rounded_columns(out, ["nation_encoding"]).drop("churn")
 
 
@@ -337,7 +335,7 @@ def feat_full_model(spark, folder):
     mart = mart_table(spark, folder)
     model = S.build_full(
         S.build_preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES),
-        LogisticRegression(labelCol="churn", maxIter=20),
+        LogisticRegression(labelCol="churn"),
     ).fit(mart)
     return model.transform(mart).select(
         "customer_id", F.bround(vector_to_array("probability")[1], 4).alias("churn_probability")

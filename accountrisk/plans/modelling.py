@@ -15,41 +15,19 @@ from accountrisk.operators import training as T
 from accountrisk.operators.splits import class_share_rank, train_test_split, with_folds
 from accountrisk.plans.catalog import query
 from accountrisk.plans.feature import mart_table
-from accountrisk.plans.sql import MART_CTE
+from accountrisk.plans.sql import FOLD_CTE, split_cte
 from accountrisk.schema import CATEGORICAL_FEATURES, DEFAULT_THRESHOLD, NUMERIC_FEATURES
 from accountrisk.session import new_path, written
 from accountrisk.sources import registry as G
 from accountrisk.sources.mart import account_mart, table
 
-# Small models: the queries show the operators, not a tuned result.
-GBT = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1, "minInstancesPerNode": 10}
-FOREST = {"numTrees": 10, "maxDepth": 5, "minInstancesPerNode": 2}
-SMALL_NUMERIC = ["monthly_recurring_revenue", "contract_duration_months", "nps_score"]
-SMALL_CATEGORICAL = ["plan_tier", "billing_cycle"]
-
-
 def label_table(spark, folder) -> DataFrame:
     """Ids and labels alone, which need no line items."""
     return written(account_mart(spark, folder).select("customer_id", "churn"), "labels")
 
 
-def split_cte(seed: int, shares: list[float]) -> str:
-    """``ranked``: accounts with the number of shares their hash passes in their class."""
-    cuts = ", ".join(f"quantile_cont(h, {share}) AS c{i}" for i, share in enumerate(shares))
-    passed = " + ".join(f"(h >= c{i})::INTEGER" for i in range(len(shares)))
-    return MART_CTE + f""", hashed AS (
-  SELECT customer_id, churn,
-    ('0x' || substr(md5('{seed}:' || customer_id::VARCHAR), 1, 13))::BIGINT::DOUBLE AS h FROM mart
-), cuts AS (SELECT churn, {cuts} FROM hashed GROUP BY churn
-), ranked AS (
-  SELECT customer_id, hashed.churn, {passed} AS passed
-  FROM hashed JOIN cuts ON hashed.churn IS NOT DISTINCT FROM cuts.churn
-)"""
-
-
 SPLIT_SQL = split_cte(42, [0.2]) + """
 SELECT customer_id, churn, CASE WHEN passed > 0 THEN 'train' ELSE 'test' END AS part FROM ranked"""
-FOLD_CTE = split_cte(42, [i / 5 for i in range(1, 5)])
 
 
 @query("q_ml_split", SPLIT_SQL)
@@ -117,12 +95,12 @@ def _document_scores(spark, folder, kind, **params) -> DataFrame:
 
 @query("q_ml_gbt")
 def ml_gbt(spark, folder):
-    return _document_scores(spark, folder, "gradient_boosting", **{**GBT, "maxIter": 10})
+    return _document_scores(spark, folder, "gradient_boosting")
 
 
 @query("q_ml_rf")
 def ml_rf(spark, folder):
-    return _document_scores(spark, folder, "random_forest", **{**FOREST, "numTrees": 20})
+    return _document_scores(spark, folder, "random_forest")
 
 
 @query("q_ml_logreg")
@@ -130,14 +108,14 @@ def ml_logreg(spark, folder):
     return _document_scores(spark, folder, "logistic_regression")
 
 
-def small_pipeline(kind: str, **params) -> Pipeline:
-    return T.make_pipeline(kind, SMALL_NUMERIC, SMALL_CATEGORICAL, **params)
+def churn_pipeline(kind: str, **params) -> Pipeline:
+    return T.make_pipeline(kind, NUMERIC_FEATURES, CATEGORICAL_FEATURES, **params)
 
 
 @query("q_ml_fit_plain")
 def ml_fit_plain(spark, folder):
     train, test = train_test_split(mart_table(spark, folder), "churn", "customer_id")
-    scored = small_pipeline("random_forest", **FOREST).fit(train).transform(test)
+    scored = churn_pipeline("random_forest").fit(train).transform(test)
     return score_accounts(
         scored.select("customer_id", "churn", vector_to_array("probability")[1].alias("p")),
         F.col("p"),
@@ -154,7 +132,7 @@ def ml_halving_search(spark, folder):
     mart = mart_table(spark, folder)
     rows = max(500, mart.count() // 3)
     _, _, history = T.halving_search(
-        mart, small_pipeline("random_forest", **FOREST), SEARCH, min_rows=rows, folds=3
+        mart, churn_pipeline("random_forest"), SEARCH, min_rows=rows, folds=3
     )
     return spark.createDataFrame(history, "rung int, n_rows bigint, candidate string, auc double")
 
@@ -165,8 +143,8 @@ def _comparison(spark, folder) -> DataFrame:
         train,
         test,
         {
-            "gradient_boosting": small_pipeline("gradient_boosting", **GBT),
-            "random_forest": small_pipeline("random_forest", **FOREST),
+            "gradient_boosting": churn_pipeline("gradient_boosting"),
+            "random_forest": churn_pipeline("random_forest"),
         },
     )
     return table_
@@ -182,10 +160,10 @@ def argmax_champion(spark, folder):
     return T.champion(_comparison(spark, folder))
 
 
-def _calibrated(spark, folder, method, folds=3, digits=None):
+def _calibrated(spark, folder, method, folds=5, digits=None):
     train, test = train_test_split(mart_table(spark, folder), "churn", "customer_id")
     model = C.fit_calibrated(
-        small_pipeline("random_forest", **FOREST), train, "churn", "customer_id", method, folds,
+        churn_pipeline("random_forest"), train, "churn", "customer_id", method, folds,
         digits=digits,
     )
     return model, test
@@ -222,13 +200,9 @@ def cal_pava_binned(spark, folder):
 
 def _forest_importance(spark, folder) -> DataFrame:
     train, test = train_test_split(mart_table(spark, folder), "churn", "customer_id")
-    model = small_pipeline("random_forest", **FOREST).fit(train)
-    used = [
-        "contracted_seats", "active_users_last_30d", "support_tickets_count",
-        "unresolved_tickets_count", "avg_daily_logins", *SMALL_NUMERIC, *SMALL_CATEGORICAL,
-    ]
+    model = churn_pipeline("random_forest").fit(train)
     return I.permutation_importance(
-        model, test, used, "churn", "customer_id", repeats=3
+        model, test, [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES], "churn", "customer_id", repeats=5
     )
 
 
@@ -256,11 +230,11 @@ def join_permute(spark, folder):
 @query("q_model_save_load")
 def model_save_load(spark, folder):
     """Scores of a model that was saved, registered, found as latest and loaded back."""
-    model, test = _calibrated(spark, folder, "isotonic", folds=2)
+    model, test = _calibrated(spark, folder, "isotonic")
     root = new_path(spark, "models")
     G.save_model(
         model, spark, root, "account_risk", "0.1.0", "random_forest",
-        [*SMALL_NUMERIC, *SMALL_CATEGORICAL], DEFAULT_THRESHOLD,
+        [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES], DEFAULT_THRESHOLD,
     )
     row = G.latest(spark, root, "account_risk")
     loaded = G.load_model(spark, row["path"], row["checksum"])
@@ -273,11 +247,11 @@ def model_save_load(spark, folder):
 def model_checksum(spark, folder):
     """Registered checksum against the one computed from the files."""
     train = mart_table(spark, folder)
-    model = small_pipeline("logistic_regression").fit(train)
+    model = churn_pipeline("logistic_regression").fit(train)
     root = new_path(spark, "models")
     row = G.save_model(
         model, spark, root, "account_risk", "0.1.0", "logistic_regression",
-        [*SMALL_NUMERIC, *SMALL_CATEGORICAL],
+        [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES],
     )
     return G.registry(spark, root).select(
         "model_name", "version", "algorithm",
@@ -290,7 +264,7 @@ def score_batch_model(spark, folder):
     """Batch scoring by a fitted model over the full feature set."""
     mart = mart_table(spark, folder)
     model = T.make_pipeline(
-        "gradient_boosting", NUMERIC_FEATURES, CATEGORICAL_FEATURES, **GBT
+        "gradient_boosting", NUMERIC_FEATURES, CATEGORICAL_FEATURES
     ).fit(mart)
     scored = model.transform(mart)
     return score_accounts(

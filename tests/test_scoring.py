@@ -74,7 +74,7 @@ def test_top_factors_fall(accounts):
     (factors,) = accounts().select(top_factors(3)).first()
     values = [f["contribution"] for f in factors]
     assert len(factors) == 3 and values == sorted(values, reverse=True)
-    assert factors[0]["factor"] == "low_seat_utilization"
+    assert factors[0]["factor"] == "payment_delay"
 
 
 def scored_at(spark, probabilities, threshold):

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline, PipelineModel
+
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -147,3 +150,22 @@ def test_nulls_do_not_reach_the_assembler(spark, mart):
     holes = mart.withColumn("monthly_recurring_revenue", F.lit(None).cast("double"))
     fitted = S.build_preprocessor(NUMERIC_FEATURES, []).fit(holes)
     assert fitted.transform(holes).select("features").count() == mart.count()
+
+
+def test_a_random_label_cannot_be_read_off_its_encoding(spark):
+    """Every category stands once: in-sample means would be the label itself."""
+    rng = random.Random(4)
+    rows = [(i, f"only{i}", int(rng.random() < 0.5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer_id int, k string, churn int")
+    seen = []
+
+    class Spy(Estimator):
+        def _fit(self, dataset):
+            seen.extend(dataset.select("churn", "te__k").collect())
+            return S.CategoryCopies(inputCols=["k"])
+
+    stages = [S.CategoryCopies(inputCols=["k"]), S.TargetEncoder(inputCol="cat__k", outputCol="te__k", labelCol="churn"), Spy()]
+    model = S.pipeline_of(stages, ["k"]).fit(df)
+    means = {y: np.mean([r["te__k"] for r in seen if r["churn"] == y]) for y in (0, 1)}
+    assert abs(means[1] - means[0]) < 0.05
+    assert "te_fold" not in model.transform(df).columns
