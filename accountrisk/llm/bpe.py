@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from accountrisk.llm.common import list_array, steps
 
 #: Entries of a task's memo; at that size it starts anew, which changes no result.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 300_000
 #: Text bytes encoded together: many, for fewer distinct chunks.
-TEXT_BYTES = 16_000_000
+TEXT_BYTES = 8_000_000
 NO_RANK = np.int64(1 << 40)
 
 
