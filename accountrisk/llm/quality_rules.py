@@ -23,10 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accountrisk.session import written
+
 WINDOW = 8
 MIN_WORDS = 20
 SYMBOLS = "#*$%&|<>"
-BLANKS = " \t\n\x0b\f\r"
 FENCE = 3.0
 MARGIN = {"symbol_share": 0.1, "dup_line_share": 0.5, "repeat_share": 0.3, "word_length": 2.0}
 MIN_ROWS = 200
@@ -36,25 +37,23 @@ RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
 
 
-def dropped(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def joined(left: str, shift: int, left_size: Column) -> Column:
+    """Hashes of each item with the one ``shift`` places on."""
+    n = left_size - shift
+    return F.zip_with(F.slice(left, 1, n), F.slice(left, shift + 1, n), lambda x, y: F.xxhash64(x, y))
 
 
-def window_hashes(word_hashes: str) -> Column:
-    """Hashes of the windows of WINDOW words, none for shorter texts. Items are picked one by one: slice() would copy
-    the whole array for each window."""
-    n = F.size(word_hashes) - WINDOW + 1
-    hashes = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*(F.get(word_hashes, i + k) for k in range(WINDOW))))
-    return F.when(n >= 2, hashes).otherwise(F.array().cast("array<bigint>"))
+def some_twice(items: str) -> Column:
+    return F.size(items) > F.size(F.array_distinct(items))
 
 
 def repeated_places(hashes: str) -> Column:
     """Hash and place of all windows in hash order, for texts where some hash stands twice; else null."""
     ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    return F.when(F.size(hashes) > F.size(F.array_distinct(hashes)), ordered)
+    return F.when(some_twice(hashes), ordered)
 
 
 def repeat_words(ordered: str) -> Column:
@@ -75,16 +74,21 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the base counts and the shares the fences are drawn on."""
     base = docs.drop(*RESULT, "kept")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    lines = F.filter(F.split("x_text", "\n"), lambda x: dropped(x, BLANKS) != "")
+    lines = F.filter(F.split("x_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    none = F.array().cast("array<bigint>")
+    n = F.size("x_words")
     out = base.withColumn("x_text", text).withColumn("x_words", words_of(F.col("x_text")))
     out = (
-        out.withColumn("n_words", F.size("x_words").cast("long"))
-        .withColumn("word_chars", F.length(dropped(F.col("x_text"), BLANKS)).cast("long"))
-        .withColumn("n_symbols", (F.length("x_text") - F.length(dropped(F.col("x_text"), SYMBOLS))).cast("long"))
+        out.withColumn("n_words", n.cast("long"))
+        .withColumn("word_chars", F.length(F.array_join("x_words", "")).cast("long"))
+        .withColumn("n_symbols", F.length(F.regexp_replace("x_text", f"[^{SYMBOLS}]+", "")).cast("long"))
         .withColumn("x_lines", lines)
         .withColumn("n_dup_lines", (F.size("x_lines") - F.size(F.array_distinct("x_lines"))).cast("long"))
-        .withColumn("x_each", F.transform("x_words", lambda w: F.xxhash64(w)))
-        .withColumn("x_hashes", window_hashes("x_each"))
+        # windows of 2, 4 and 8 words from one another; a window of 8 stands twice only where one of 4 does
+        .withColumn("x_1", F.when(n > WINDOW, F.transform("x_words", lambda w: F.xxhash64(w))).otherwise(none))
+        .withColumn("x_2", F.when(F.size("x_1") > 0, joined("x_1", 1, F.size("x_1"))).otherwise(none))
+        .withColumn("x_4", F.when(F.size("x_2") > 0, joined("x_2", 2, F.size("x_2"))).otherwise(none))
+        .withColumn("x_hashes", F.when(some_twice("x_4"), joined("x_4", 4, F.size("x_4"))).otherwise(none))
         .withColumn("x_places", repeated_places("x_hashes"))
         .withColumn("n_repeat_words", repeat_words("x_places").cast("long"))
     )
@@ -99,13 +103,12 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         .withColumn("repeat_share", share(F.col("n_repeat_words"), n))
         .withColumn("word_length", share(F.col("word_chars"), n))
         .withColumn("base_failed", (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * n))
-        .drop("x_text", "x_words", "x_lines", "x_each", "x_hashes", "x_places")
+        .drop("x_text", "x_words", "x_lines", "x_1", "x_2", "x_4", "x_hashes", "x_places")
     )
 
 
 def fences(measured: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """(f_lang, f_source, rows, fence_<share>): the fences of each language and source."""
-    # a condition on the values: a filter would be pushed below the measuring, with a copy of all its expressions
     passed = ~F.col("base_failed")
     sketches = [F.kll_sketch_agg_double(F.when(passed, F.col(s)), F.lit(SKETCH_K)).alias(f"k_{s}") for s in SHARES]
     groups = measured.groupBy(F.col(lang_col).alias("f_lang"), F.col(source_col).alias("f_source"))
@@ -124,18 +127,19 @@ def fences(measured: DataFrame, lang_col: str = "lang", source_col: str = "sourc
 
         return F.when(F.col("rows") >= MIN_ROWS, above(f"k_{share}")).otherwise(above(f"l_{share}")).alias(f"fence_{share}")
 
-    joined = small.join(large, F.col("f_lang").eqNullSafe(F.col("l_lang")))
-    return joined.select("f_lang", "f_source", "rows", *map(fence, SHARES))
+    both = small.join(large, F.col("f_lang").eqNullSafe(F.col("l_lang")))
+    return both.select("f_lang", "f_source", "rows", *map(fence, SHARES))
 
 
-def apply_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``docs`` with the counts, shares, ``base_failed`` and ``kept``. The texts are measured twice, once for the
-    fences and once for the rows, and are never shuffled by the measuring."""
+def apply_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the counts, shares, ``base_failed`` and ``kept``. The texts are measured once; what is measured is
+    written to the shared work folder, without the texts if they are not to be kept."""
     measured = measure(docs, text_col)
+    measured = written(measured if keep_text else measured.drop(text_col), "measured")
     limits = fences(measured, lang_col, source_col)
     same = measured[lang_col].eqNullSafe(F.col("f_lang")) & measured[source_col].eqNullSafe(F.col("f_source"))
-    joined = measured.join(limits, same, "left")
+    both = measured.join(limits, same, "left")
     above = F.lit(False)
     for s in SHARES:
         above = above | F.coalesce(F.col(s) > F.col(f"fence_{s}"), F.lit(False))
-    return joined.withColumn("kept", ~F.col("base_failed") & ~above).drop("f_lang", "f_source", "rows", *(f"fence_{s}" for s in SHARES))
+    return both.withColumn("kept", ~F.col("base_failed") & ~above).drop("f_lang", "f_source", "rows", *(f"fence_{s}" for s in SHARES))

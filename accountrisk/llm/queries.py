@@ -89,7 +89,7 @@ def op5_suffix_dedup(spark, sf_dir):
 
 @query
 def op6_quality_rules(spark, sf_dir):
-    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"), keep_text=False)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
