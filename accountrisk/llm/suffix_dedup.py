@@ -39,10 +39,11 @@ COVER = (1, 5, 11, 24, 25, 27)  # a perfect difference set modulo 31 (fixed valu
 BUCKET = 20_000
 #: Anchors told to all tasks as frequent at most (only spares a grouping), and what counts as frequent.
 KNOWN_FREQUENT, LOCAL_COUNT, TOTAL_COUNT = 200_000, 3, 64
-STEP = 2_000_000
+STEP = 1_000_000
 
 _BASE = 0x2545F4914F6CDD1D  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -69,7 +70,7 @@ class Rolling:
         return mix((self.sums[end] - self.sums[start]) * self.down[start])
 
 
-def anchors(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(raw: np.ndarray, ends: np.ndarray, contexts: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, place in it, anchor hash, context hash) of the anchors of texts that lie in ``raw`` one after the
     other, ``ends`` with a leading 0."""
     none = np.empty(0, np.int64)
@@ -77,12 +78,17 @@ def anchors(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         return none, none, none.view(np.uint64), none.view(np.uint64)
     rolling = Rolling(raw)
     n = len(raw) - GRAM + 1
-    start = np.arange(n)
-    low = (rolling.of(start, start + GRAM) & np.uint64(0xFFFFFFFF00000000)) | start.astype(np.uint64)
+    low = rolling.sums[GRAM:] - rolling.sums[:n]
+    low *= rolling.down[:n]
+    low ^= low >> np.uint64(31)
+    low *= _FACTOR
+    low &= np.uint64(0xFFFFFFFF00000000)
+    low |= np.arange(n, dtype=np.uint64)
     # least of REACH + 1 grams from each place on, by doubling
     width = 1
     while 2 * width <= REACH + 1:
-        low = np.minimum(low[:-width], low[width:])
+        np.minimum(low[:-width], low[width:], out=low[:-width])
+        low = low[:-width]
         width *= 2
     rest = REACH + 1 - width
     low = np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
@@ -97,6 +103,8 @@ def anchors(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     at = chosen[np.append(True, chosen[1:] != chosen[:-1])]
     doc = np.searchsorted(ends, at, side="right") - 1
     first, last = np.maximum(at - REACH, ends[doc]), np.minimum(at + LENGTH, ends[doc + 1])
+    if not contexts:
+        return doc, at - ends[doc], rolling.of(at, at + GRAM), None
     around = rolling.of(first, last) ^ mix(((at - first) * 1000 + (last - at)).astype(np.uint64))
     return doc, at - ends[doc], rolling.of(at, at + GRAM), around
 
@@ -126,12 +134,13 @@ def anchor_table(texts: DataFrame, known=None) -> DataFrame:
 def frequent_anchors(texts: DataFrame) -> np.ndarray:
     def run(batches):
         for batch in batches:
-            for part in steps(batch, "t", 8 * STEP):
+            found = []
+            for part in steps(batch, "t", STEP):
                 values = part.column("t").to_pylist()
-                h = anchors(np.frombuffer(b"".join(values), np.uint8), np.append(0, np.cumsum([len(x) for x in values])))[2]
-                h, n = np.unique(h, return_counts=True)
-                often = n >= LOCAL_COUNT
-                yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], ["h", "n"])
+                found.append(anchors(np.frombuffer(b"".join(values), np.uint8), np.append(0, np.cumsum([len(x) for x in values])), False)[2])
+            h, n = np.unique(np.concatenate(found or [np.empty(0, np.uint64)]), return_counts=True)
+            often = n >= LOCAL_COUNT
+            yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], ["h", "n"])
 
     tallies = texts.select("t").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = tallies.where(F.col("n") >= TOTAL_COUNT).orderBy(F.desc("n"), "h").limit(KNOWN_FREQUENT).toArrow()
