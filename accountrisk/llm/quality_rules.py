@@ -1,14 +1,17 @@
 """Quality rules with thresholds that adapt to each language and source.
 
 Per document a few shares are measured with built-in functions only. Mergeable KLL sketches hold their
-distributions for each (language, source) and for each language; the upper fence of a group is
+distributions for each (language, source) and for each language. With SPREAD = max(q75 - q25, (q90 - q10) / 2) of
+a group its fences are
 
-    q75 + max(FENCE * (q75 - q25), MARGIN)
+    high = max(q75 + FENCE * SPREAD, HABIT * p25) + TIE
+    low  = q25 - FENCE * SPREAD - TIE, for the word length only: few symbols or repeats are no fault
 
-of its sketch; a group of fewer than ``MIN_ROWS`` rows that pass the base uses its language's fence. Quartiles stay
-with the bulk of a group while less than a quarter of it is junk; the margin is the least distance from that bulk
-that counts, for shares that most documents of a group have in common. Documents are joined with their group's
-fences; one above a fence is not kept.
+where p25 is the lower quartile of the values above 0, from a sketch of their own, and counts only if q25 is 0 and
+``COMMON`` of the group's rows are above 0: of a share that is 0 in most documents all plain quantiles may be 0, and
+what the others usually have says how much is usual. It stays with the usual values while up to three quarters of those above 0 are
+junk. A group of fewer than ``MIN_ROWS`` rows that pass the base uses its language's fences. Documents are joined with
+their group's fences; one outside them is not kept.
 
 Sketches are partial aggregates: rows are summed up inside each task, so a group with a third of all rows
 shuffles one sketch a task, and the fences are a table of one row a group.
@@ -29,10 +32,12 @@ WINDOW = 8
 MIN_WORDS = 20
 SYMBOLS = "#*$%&|<>"
 FENCE = 3.0
-MARGIN = {"symbol_share": 0.1, "dup_line_share": 0.5, "repeat_share": 0.3, "word_length": 2.0}
+HABIT, COMMON = 2.0, 0.02
+TIE = 0.02
 MIN_ROWS = 200
 SKETCH_K = 400
-SHARES = list(MARGIN)
+SHARES = ["symbol_share", "dup_line_share", "repeat_share", "word_length"]
+LOW = ["word_length"]
 RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *SHARES]
 
 
@@ -108,27 +113,35 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def fences(measured: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """(f_lang, f_source, rows, fence_<share>): the fences of each language and source."""
+    """(f_lang, f_source, rows, high_<share>, low_<share>): the fences of each language and source."""
     passed = ~F.col("base_failed")
-    sketches = [F.kll_sketch_agg_double(F.when(passed, F.col(s)), F.lit(SKETCH_K)).alias(f"k_{s}") for s in SHARES]
+    tallies = {"rows": F.count_if(passed)}
+    for s in SHARES:
+        some = passed & (F.col(s) > 0)
+        tallies[f"n_{s}"] = F.count_if(some)
+        tallies[f"all_{s}"] = F.kll_sketch_agg_double(F.when(passed, F.col(s)), F.lit(SKETCH_K))
+        tallies[f"some_{s}"] = F.kll_sketch_agg_double(F.when(some, F.col(s)), F.lit(SKETCH_K))
     groups = measured.groupBy(F.col(lang_col).alias("f_lang"), F.col(source_col).alias("f_source"))
-    small = groups.agg(F.count_if(passed).alias("rows"), *sketches)
-    merged = [F.kll_merge_agg_double(f"k_{s}").alias(f"l_{s}") for s in SHARES]
-    large = small.where("rows > 0").groupBy(F.col("f_lang").alias("l_lang")).agg(F.sum("rows").alias("l_rows"), *merged)
-
-    def quantile(sketch: str, q: float) -> Column:
-        some = F.col("rows" if sketch[0] == "k" else "l_rows") > 0
-        return F.when(some, F.kll_sketch_get_quantile_double(F.col(sketch), F.lit(q)))
+    small = groups.agg(*(v.alias(k) for k, v in tallies.items()))
+    whole = {k: F.kll_merge_agg_double(k) if k.startswith(("all_", "some_")) else F.sum(k) for k in tallies}
+    large = small.where("rows > 0").groupBy(F.col("f_lang").alias("l_lang")).agg(*(v.alias(f"l_{k}") for k, v in whole.items()))
 
-    def fence(share: str) -> Column:
-        def above(sketch: str) -> Column:
-            low, high = quantile(sketch, 0.25), quantile(sketch, 0.75)
-            return high + F.greatest(FENCE * (high - low), F.lit(MARGIN[share]))
+    def limits(share: str, of: str) -> tuple[Column, Column]:
+        def quantile(kind: str, n: str, q: float) -> Column:
+            return F.when(F.col(of + n) > 0, F.kll_sketch_get_quantile_double(F.col(f"{of}{kind}_{share}"), F.lit(q)))
 
-        return F.when(F.col("rows") >= MIN_ROWS, above(f"k_{share}")).otherwise(above(f"l_{share}")).alias(f"fence_{share}")
+        q10, q25, q75, q90 = (quantile("all", "rows", q) for q in (0.1, 0.25, 0.75, 0.9))
+        reach = FENCE * F.greatest(q75 - q25, (q90 - q10) / 2)
+        common = (q25 <= 0) & (F.col(f"{of}n_{share}") >= COMMON * F.col(f"{of}rows"))
+        usual = F.when(common, HABIT * quantile("some", f"n_{share}", 0.25)).otherwise(0.0)
+        return F.greatest(q75 + reach, usual) + TIE, q25 - reach - TIE
 
-    both = small.join(large, F.col("f_lang").eqNullSafe(F.col("l_lang")))
-    return both.select("f_lang", "f_source", "rows", *map(fence, SHARES))
+    out = []
+    for s in SHARES:
+        for name, own, other in zip(("high", "low"), limits(s, ""), limits(s, "l_"), strict=True):
+            if name == "high" or s in LOW:
+                out.append(F.when(F.col("rows") >= MIN_ROWS, own).otherwise(other).alias(f"{name}_{s}"))
+    return small.join(large, F.col("f_lang").eqNullSafe(F.col("l_lang"))).select("f_lang", "f_source", "rows", *out)
 
 
 def apply_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep_text: bool = True) -> DataFrame:
@@ -139,7 +152,9 @@ def apply_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     limits = fences(measured, lang_col, source_col)
     same = measured[lang_col].eqNullSafe(F.col("f_lang")) & measured[source_col].eqNullSafe(F.col("f_source"))
     both = measured.join(limits, same, "left")
-    above = F.lit(False)
+    outside = F.lit(False)
     for s in SHARES:
-        above = above | F.coalesce(F.col(s) > F.col(f"fence_{s}"), F.lit(False))
-    return both.withColumn("kept", ~F.col("base_failed") & ~above).drop("f_lang", "f_source", "rows", *(f"fence_{s}" for s in SHARES))
+        outside = outside | F.coalesce(F.col(s) > F.col(f"high_{s}"), F.lit(False))
+    for s in LOW:
+        outside = outside | F.coalesce(F.col(s) < F.col(f"low_{s}"), F.lit(False))
+    return both.withColumn("kept", ~F.col("base_failed") & ~outside).select(*measured.columns, "kept")

@@ -159,6 +159,30 @@ def test_quality_rules(spark):
     assert quality_rules.apply_rules(docs.where("false")).count() == 0
 
 
+def test_quality_fences_follow_the_group(spark):
+    draw = random.Random(5)
+
+    def text(symbols, size, lines=0):
+        words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(size - 2, size + 2))) for _ in range(60)]
+        return " ".join(w + "#" * (draw.random() < symbols) for w in words) + "\n same" * lines
+
+    rows = [(text(0, 5), "prose") for _ in range(300)] + [(text(0.9, 5), "code") for _ in range(300)] + [(text(0, 9), "terms") for _ in range(300)]
+    rows += [(text(0, 5, draw.randint(2, 9)), "lists") for _ in range(60)] + [(text(0, 5), "lists") for _ in range(240)]
+    usual, probes = len(rows), [text(0.3, 5), text(0, 9), text(0, 5, 9), text(0, 3), text(0, 5)]
+    rows += [(t, s) for t in probes for s in ("prose", "code", "terms", "lists")]
+    docs = frame(spark, [(i, t, "en", s) for i, (t, s) in enumerate(rows)], DOCS + ", lang string, source string")
+    measured = quality_rules.measure(docs)
+    cuts = {r.f_source: r for r in quality_rules.fences(measured).collect()}
+    assert cuts["code"].high_symbol_share > 3 * cuts["prose"].high_symbol_share
+    assert cuts["lists"].high_dup_line_share > 3 * cuts["prose"].high_dup_line_share and cuts["prose"].high_repeat_share < 0.3
+    kept = {r.doc_id: r.kept for r in quality_rules.apply_rules(docs).collect()}
+    assert sum(kept[i] for i in range(usual)) > 0.99 * usual
+    of = {(n, s): kept[usual + 4 * n + k] for n in range(5) for k, s in enumerate(("prose", "code", "terms", "lists"))}
+    assert not of[0, "prose"] and not of[0, "lists"] and not of[1, "prose"] and of[1, "terms"]
+    assert not of[2, "prose"] and of[2, "lists"]
+    assert not of[3, "prose"] and not of[4, "terms"] and of[4, "prose"]
+
+
 # ---- personal data --------------------------------------------------------------------------------------
 PATTERNS = [
     (re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda m: True),
