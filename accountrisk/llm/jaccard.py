@@ -148,7 +148,8 @@ def frequent_shingles(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.nda
 
 def profile_table(docs: DataFrame, frequent, n_words: int) -> DataFrame:
     """One row per document: uid, id, n (set size), digest d1, d2, count vector, the prefix in the global
-    order and how many of it are not known to be frequent."""
+    order and how many of it are not known to be frequent; and its ``key`` where ``docs`` has one."""
+    own = [c for c in docs.columns if c == "key"]
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def prefix_of(s: np.ndarray) -> tuple[np.ndarray, int]:
@@ -181,12 +182,14 @@ def profile_table(docs: DataFrame, frequent, n_words: int) -> DataFrame:
                     pa.array(counts, pa.binary()),
                     list_array(flat, ends),
                     pa.array([k for _, k in prefixes], pa.int32()),
+                    *map(part.column, own),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["uid", "id", "n", "d1", "d2", "counts", "prefix", "n_light"])
+                yield pa.RecordBatch.from_arrays(columns, ["uid", "id", "n", "d1", "d2", "counts", "prefix", "n_light", *own])
                 uid += len(sets)
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"uid long, id {kind}, n long, d1 long, d2 long, counts binary, prefix array<long>, n_light int")
+    keys = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in own)
+    return docs.mapInArrow(run, f"uid long, id {kind}, n long, d1 long, d2 long, counts binary, prefix array<long>, n_light int{keys}")
 
 
 # ---- components -----------------------------------------------------------------------------------------
@@ -402,11 +405,16 @@ def tiles(blocks: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 # ---- the join -------------------------------------------------------------------------------------------
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS) -> DataFrame:
+def link_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS, key_col: str | None = None
+) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_shingles`` (set size), ``component_id`` (smallest id that links
-    reach, the row's own included)."""
-    source = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("t"))
-    profiles = written(profile_table(source, frequent_shingles(source, n_words), n_words), "profiles")
+    reach, the row's own included). With ``key_col`` also that column and ``component``, a number of the component
+    that no other has, also where ids repeat or are null."""
+    own = [F.col(key_col).alias("key")] if key_col else []
+    keyed = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("t"), *own)
+    source = keyed.select("id", "t")
+    profiles = written(profile_table(keyed, frequent_shingles(source, n_words), n_words), "profiles")
     classes = profiles.where("n > 0").groupBy("d1", "d2").agg(F.min("uid").alias("cid"), F.min("id").alias("first_id"))
     classes = written(classes, "classes")
 
@@ -452,7 +460,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # smallest id of each component, then of each row
     named = classes.join(roots, F.col("cid") == F.col("node"), "left").select("d1", "d2", "first_id", F.coalesce("root", "cid").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = named.join(smallest, "root").select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "component_id")
+    of_class = named.join(smallest, "root").select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "component_id", "root")
     same = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n") > 0)
-    out = profiles.select("id", "n", "d1", "d2").join(of_class, same, "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    extra = ["uid", "key"] if key_col else []
+    out = profiles.select("id", "n", "d1", "d2", *extra).join(of_class, same, "left")
+    more = [F.col("key").alias(key_col), F.coalesce("root", "uid").alias("component")] if key_col else []
+    component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component_id, *more)

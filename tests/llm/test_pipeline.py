@@ -33,6 +33,26 @@ def test_stages(spark):
     assert last.count() == private.count() and last.where("size(ids) <> n_tokens").count() == 0
 
 
+def test_near_duplicates_of_repeated_rows_and_ids(spark):
+    def text(k, n=40):
+        return " ".join(f"w{k}x{i}" for i in range(n))
+
+    near = text(3) + " and more"
+    rows = [(1, text(1), "en"), (1, text(1), "en"), (1, text(1), "en")]  # a row that repeats
+    rows += [(3, text(3), "en"), (5, near, "en"), (5, text(5), "en")]  # an id that repeats, with near copies of 3 and of nothing
+    rows += [(7, text(7), "en"), (7, text(8), "en")]  # an id that repeats, of two components
+    rows += [(9, text(9), "de"), (9, text(9), "en")]  # the same text and id, another column differs
+    rows += [(None, text(2), "en"), (None, text(2), "de"), (None, near, "en"), (None, text(4), "en")]
+    rows += [(None, None, "en"), (None, " ", "en"), (None, None, "en"), (2, "", "en"), (2, "", "en"), (6, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert got.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    want = [(1, text(1)), (3, text(3)), (5, text(5)), (7, text(7)), (7, text(8)), (9, text(9)), (None, text(2)), (None, text(4))]
+    want += [(None, None), (None, " "), (2, ""), (6, "")]
+    assert got == sorted(want, key=repr)
+
+
 def test_wiring():
     names = set(wiring.queries())
     assert "pipeline" in names
