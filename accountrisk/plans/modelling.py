@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -123,16 +125,16 @@ def ml_fit_plain(spark, folder):
     ).drop("p")
 
 
-SEARCH = {"numTrees": [5, 10], "maxDepth": [3, 5], "minInstancesPerNode": [1, 2, 4]}
+#: Candidates the search starts with: every point of the forest's grid, whatever the number of rows.
+CANDIDATES = math.prod(len(v) for v in T.SEARCH_SPACE["random_forest"].values())
 
 
 @query("q_ml_halving_search")
 def ml_halving_search(spark, folder):
     """Search history: candidates alive, rows used and mean AUC per rung."""
-    mart = mart_table(spark, folder)
-    rows = max(500, mart.count() // 3)
     _, _, history = T.halving_search(
-        mart, churn_pipeline("random_forest"), SEARCH, min_rows=rows, folds=3
+        mart_table(spark, folder), churn_pipeline("random_forest"), T.SEARCH_SPACE["random_forest"],
+        min_rows=1000, folds=5, candidates=CANDIDATES,
     )
     return spark.createDataFrame(history, "rung int, n_rows bigint, candidate string, auc double")
 
