@@ -1,10 +1,11 @@
 """Visible text of HTML pages, laid out: tree building with implied tags, visibility rules, rendering.
 
 The tree builder reads tags, closes what a tag implies closed (p, li, dt, dd, tr, td, th, option, the table parts),
-and ignores end tags that match nothing. Rendering leaves out what a browser does not show (head, scripts, styles,
-comments, ``hidden``, ``display:none``, ``visibility:hidden``, ``aria-hidden``), keeps block spacing (one empty line
+and ignores end tags that match nothing. A quote opens an attribute's value only right after its equals sign.
+Rendering leaves out what a browser does not show (head, scripts, styles, comments, ``hidden``, ``display:none``,
+options not selected, what inherits ``visibility:hidden`` and does not override it; ``aria-hidden`` is shown), keeps block spacing (one empty line
 around paragraphs, headings, lists and tables, none around other blocks), numbers and indents lists, aligns the
-columns of tables and keeps white space in ``pre``.
+columns of tables, cells spanning rows included, and keeps white space in ``pre``.
 
 Cases: null and empty html give an empty text; broken markup and unclosed tags never fail; nesting is kept on a
 stack of its own, so deep nesting cannot overflow the call stack. Rows are independent; an extra column with the
@@ -27,7 +28,8 @@ from accountrisk.llm.common import steps
 # fixed values of the HTML language
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg datalist title textarea select".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas datalist title".split())
+SVG_UNSEEN = frozenset("defs desc metadata symbol clippath mask marker pattern".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr".split())
 BLOCK = SPACED | frozenset(
     "html body address article aside dd details dialog div dt fieldset figcaption footer form header hgroup legend li main menu nav search section summary caption thead tbody tfoot tr".split()
@@ -49,9 +51,12 @@ CLOSES = {
 P_ENDS = BLOCK - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr"}
 SCOPE = frozenset("table td th caption button object html".split())
 
-_TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|[!?][^>]*>?|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+#: An attribute: name, then perhaps an equals sign and a value; a quoted value without an end goes on to the end.
+_VALUE = r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|(?![\"'])[^\s>]*+"
+_TAG = re.compile(rf"<(?:!--(?:.*?--!?>|.*\Z)|[!?][^>]*>?|(/?)([A-Za-z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s=/>]*+(?:\s*+=\s*+(?:{_VALUE}))?)*+)>?)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s=/>]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]*)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*([a-z]+)", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
 
@@ -106,6 +111,8 @@ def tree_of(source: str) -> Node:
             continue
         start_tag(stack, name)
         node = Node(name, attributes_of(tag[3]) if tag[3] else {})
+        if name in SVG_UNSEEN and stack.count["svg"]:
+            node.attributes["hidden"] = ""
         stack[-1].children.append(node)
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I).search(source, at)
@@ -160,7 +167,35 @@ def is_hidden(node: Node) -> bool:
         return True
     if node.name == "input":
         return a.get("type", "").lower() == "hidden"
-    return bool(a) and ("hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN_STYLE.search(a.get("style", ""))))
+    return bool(a) and ("hidden" in a or bool(_NO_DISPLAY.search(a.get("style", ""))))
+
+
+def shows(node: Node, inherited: bool) -> bool:
+    """Whether the text right below a node is visible, by its last ``visibility`` or else by what it inherits."""
+    said = _VISIBILITY.findall(node.attributes.get("style", "")) if node.attributes else []
+    for value in map(str.lower, reversed(said)):
+        if value in ("visible", "initial"):
+            return True
+        if value in ("hidden", "collapse"):
+            return False
+        if value in ("inherit", "unset"):
+            return inherited
+    return inherited
+
+
+def selected(select: Node) -> list[Node]:
+    """The options a select shows: the chosen ones, of a drop-down the last chosen or else the first; all of a list box."""
+    found, todo = [], [*reversed(select.children)]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, Node) and not is_hidden(node):
+            if node.name == "option":
+                found.append(node)
+            else:
+                todo += reversed(node.children)
+    if "multiple" in select.attributes or number(select.attributes.get("size"), 1) > 1:
+        return found
+    return [o for o in found if "selected" in o.attributes][-1:] or [o for o in found if "disabled" not in o.attributes][:1]
 
 
 class Layout:
@@ -248,37 +283,86 @@ def aligned(rows: list[list[tuple[str, int]]]) -> list[str]:
     return out
 
 
-def table_rows(table: Node) -> tuple[list[Node], list[Node], list]:
-    """(captions, rows, rest) of a table, rows of its sections too. The rest stands outside of cells, where a browser
+def text_of(node: Node) -> str:
+    """All text below a node, one after the other."""
+    out, todo = [], [node]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str):
+            out.append(node)
+        elif not is_hidden(node):
+            todo += reversed(node.children)
+    return "".join(out).strip()
+
+
+def spanned(rows: list[list[tuple[str, int, int]]], ends: list[int]) -> list[list[tuple[str, int]]]:
+    """Rows of (text, columns spanned) from (text, columns, rows spanned), with empty cells below those that span rows;
+    no cell goes beyond the end of its section (a span of 0 rows goes up to it)."""
+    below: dict[int, tuple[int, int]] = {}  # column: first row that is free again, column after the cell
+    out = []
+    for k, row in enumerate(rows):
+        column, cells = 0, []
+        for text, span, down in row:
+            while column in below:
+                cells.append(("", below[column][1] - column))
+                column = below[column][1]
+            end = min(ends[k], k + down) if down else ends[k]
+            below |= {c: (end, column + span) for c in range(column, column + span) if end > k + 1}
+            cells.append((text, span))
+            column += span
+        last = max((c for c, (end, _) in below.items()), default=-1)
+        while column <= last:
+            after = below[column][1] if column in below else column + 1
+            cells.append(("", after - column))
+            column = after
+        out.append(cells)
+        below = {c: x for c, x in below.items() if x[0] > k + 1}
+    return out
+
+
+def table_rows(table: Node, visible: bool = True) -> tuple[list[tuple], list[tuple], list[int], list[tuple]]:
+    """(captions, rows, ends, rest) of a table, rows of its sections too, each node with whether its text is visible;
+    ends are the numbers of the first rows beyond each row's section. The rest stands outside of cells, where a browser
     takes it out of the table."""
-    captions, rows, rest, todo = [], [], [], [*reversed(table.children)]
+    captions, rows, parts, rest = [], [], [], []
+    todo = [(c, visible, 0) for c in reversed(table.children)]
+    sections = 0
     while todo:
-        child = todo.pop()
+        child, seen, part = todo.pop()
         name = child.name if isinstance(child, Node) else ""
         if name and is_hidden(child):
             continue
         if name == "tr":
-            rows.append(child)
-            rest += [c for c in child.children if not (isinstance(c, Node) and c.name in ("td", "th"))]
+            own = shows(child, seen)
+            rows.append((child, own))
+            parts.append(part)
+            rest += [(c, own) for c in child.children if not (isinstance(c, Node) and c.name in ("td", "th"))]
         elif name == "caption":
-            captions.append(child)
+            captions.append((child, shows(child, seen)))
         elif name in ("thead", "tbody", "tfoot"):
-            todo += reversed(child.children)
+            sections += 1
+            own = shows(child, seen)
+            todo += [(c, own, sections) for c in reversed(child.children)]
         elif name != "colgroup":
-            rest.append(child)
-    return captions, rows, rest
+            rest.append((child, seen))
+    ends, end = [0] * len(rows), len(rows)
+    for k in range(len(rows) - 1, -1, -1):
+        if k + 1 < len(rows) and parts[k] != parts[k + 1]:
+            end = k + 1
+        ends[k] = end
+    return captions, rows, ends, rest
 
 
 #: Tables deeper than this in one another are laid out as blocks, with all their text.
 TABLE_DEPTH = 8
 
 
-def rendered(root: Node, depth: int = 0) -> str:
+def rendered(root: Node, depth: int = 0, visible: bool = True) -> str:
     """The visible text below a node. The walk keeps its own stack; only tables call themselves, for their cells."""
     layout = Layout()
-    todo: list[tuple] = [("open", root, None, False)]
+    todo: list[tuple] = [("open", root, None, False, visible)]
     while todo:
-        what, node, extra, pre = todo.pop()
+        what, node, extra, pre, seen = todo.pop()
         if what == "close":
             if node.name in BLOCK:
                 layout.block(node.name in SPACED and not (node.name in ("ul", "ol") and extra))
@@ -287,11 +371,13 @@ def rendered(root: Node, depth: int = 0) -> str:
                 layout.marker = ""
             continue
         if isinstance(node, str):
-            layout.raw(node) if pre else layout.text(node)
+            if seen:
+                layout.raw(node) if pre else layout.text(node)
             continue
         if is_hidden(node):
             continue
         name = node.name
+        seen = shows(node, seen)
         if name == "br":
             layout.end_line(True)
             continue
@@ -299,21 +385,41 @@ def rendered(root: Node, depth: int = 0) -> str:
             layout.block(True)
             continue
         if name in ("img", "input"):
-            layout.text(node.attributes.get("alt" if name == "img" else "value", ""))
+            if seen:
+                layout.text(node.attributes.get("alt" if name == "img" else "value", ""))
+            continue
+        if name == "textarea":
+            value = html.unescape("".join(node.children))
+            if seen:
+                if layout.line and layout.space:
+                    layout.line.append(" ")
+                layout.space = False
+                layout.raw(value[1:] if value.startswith("\n") else value)
+            continue
+        if name == "select":
+            for k, option in enumerate(selected(node)):
+                if k:
+                    layout.text(" ")
+                if shows(option, seen):
+                    layout.text(option.attributes.get("label") or text_of(option))
             continue
         if name == "table" and depth < TABLE_DEPTH:
             layout.block(True)
-            captions, rows, rest = table_rows(node)
-            for c in captions:
-                for line in rendered(Node("", {}) if not c.children else inner(c), depth + 1).split("\n"):
+            captions, rows, ends, rest = table_rows(node, seen)
+            for c, own in captions:
+                for line in rendered(Node("", {}) if not c.children else inner(c), depth + 1, own).split("\n"):
                     layout.put(line)
             cells = [
-                [(rendered(inner(c), depth + 1), max(1, min(1000, number(c.attributes.get("colspan"), 1)))) for c in r.children if isinstance(c, Node) and c.name in ("td", "th") and not is_hidden(c)]
-                for r in rows
+                [
+                    (rendered(inner(c), depth + 1, shows(c, own)), max(1, min(1000, number(c.attributes.get("colspan"), 1))), max(0, min(65534, number(c.attributes.get("rowspan"), 1))))
+                    for c in r.children
+                    if isinstance(c, Node) and c.name in ("td", "th") and not is_hidden(c)
+                ]
+                for r, own in rows
             ]
-            for line in aligned(cells):
+            for line in aligned(spanned(cells, ends)):
                 layout.put(line)
-            todo += [("open", c, None, False) for c in reversed(rest)]
+            todo += [("open", c, None, False, own) for c, own in reversed(rest)]
             layout.gap = True
             continue
         nested = name in ("ul", "ol") and extra == "item"
@@ -325,10 +431,10 @@ def rendered(root: Node, depth: int = 0) -> str:
             layout.marker = marker
         elif name in ("blockquote", "dd"):
             layout.prefix.append("> " if name == "blockquote" else "  ")
-        elif name in ("td", "th"):
+        elif name in ("td", "th", "text"):
             layout.text(" ")
         keep = pre or name == "pre"
-        todo.append(("close", node, nested, pre))
+        todo.append(("close", node, nested, pre, seen))
         count = number(node.attributes.get("start"), 1) if name == "ol" else 0
         opened = []
         for child in node.children:
@@ -340,7 +446,7 @@ def rendered(root: Node, depth: int = 0) -> str:
                     count += 1
                 else:
                     about = "- "
-            opened.append(("open", child, about, keep))
+            opened.append(("open", child, about, keep, seen))
         todo += reversed(opened)
     layout.end_line()
     while layout.lines and not layout.lines[-1]:

@@ -350,6 +350,26 @@ def test_html_layout(source, text):
     assert html_text.visible_text(source) == text
 
 
+SEEN = [
+    ("<img src=a alt=Bob's><p>Hello visible words.</p><p>It's fine</p>", "Bob's\n\nHello visible words.\n\nIt's fine"),
+    ("<p \" class=x>y</p>z<p a = 'q>r'>s<p =\"a>t", "y\n\nz\n\ns\n\nt"),
+    ("<p aria-hidden=true>shown</p><p hidden>no</p>", "shown"),
+    ("<div style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</div>", "yes"),
+    ("say <textarea>\na &lt; b\nc</textarea>", "say a < b\nc"),
+    ("<select><option>a<option selected>b<option>c</select>", "b"),
+    ("<select><option disabled>a<option>b</select> <select multiple><option>c<option>d</select>", "b c d"),
+    ("<svg><title>no</title><desc>no</desc><text>in</text><text>picture</text></svg>", "in picture"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+    ("<table><tr><td>x<td rowspan=0>a<tr><td>c<tbody><tr><td>y<td>z</table>", "x | a\nc |\ny | z"),
+    ("<table><tr><td>x<td colspan=2 rowspan=2>ab<td>y<tr><td>c<td>d<tr><td>1<td>2<td>3<td>4</table>", "x | ab    | y\nc |       | d\n1 | 2 | 3 | 4"),
+]
+
+
+@pytest.mark.parametrize("source, text", SEEN)
+def test_html_shows_what_a_browser_shows(source, text):
+    assert html_text.visible_text(source) == text
+
+
 def test_html_loses_no_text():
     draw = random.Random(4)
     tags = "<p> </p> <li> <ul> </ul> <td> <tr> <table> </table> <b> </b> &lt; <pre> <ol> </ol> <dd> <th> </td>".split()
