@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from accountrisk.llm import bpe, decontaminate, html_text, jaccard, pii, pu_quality, quality_rules, records, suffix_dedup, warc
+from accountrisk.llm import bpe, conversations, decontaminate, html_text, jaccard, line_dedup, pii, pu_quality, quality_rules, records, suffix_dedup, variants, warc
 from accountrisk.llm.common import sha256_of, table
 from accountrisk.session import new_path
 
@@ -115,3 +115,35 @@ def op7_html_text(spark, sf_dir):
     found = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "html"))
     lines = F.size(F.split("text", "\n")).cast("long").alias("n_lines")
     return found.select("page_id", F.length("text").cast("long").alias("n_chars"), lines, sha256_of(F.col("text")).alias("text_sha256"), "text")
+
+
+@query
+def op11_conversations(spark, sf_dir):
+    return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_line_dedup(spark, sf_dir):
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", sha256_of(F.col("text")).alias("kept_sha256"))
+
+
+_STRIPPED = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+ORACLES["op12_line_dedup"] = f"""WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), placed AS (
+  SELECT row_id, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM texts
+), keyed AS (
+  SELECT *, translate({_STRIPPED}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM placed
+), frequent AS (
+  SELECT line_key FROM keyed WHERE line_key <> '' GROUP BY line_key HAVING count(DISTINCT row_id) >= 10
+)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(f.line_key)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE f.line_key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN frequent f ON k.line_key = f.line_key GROUP BY row_id"""
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    found = variants.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
