@@ -34,6 +34,8 @@ from accountrisk.llm.common import list_array, steps
 MEMO_ENTRIES = 300_000
 #: Text bytes encoded together: many, for fewer distinct chunks.
 TEXT_BYTES = 8_000_000
+#: Bytes that the memo of a worker that also decodes may hold, and text bytes and rows it works on at once.
+MEMO_BYTES, STEP_TEXT_BYTES, STEP_ROWS = 64_000_000, 4_000_000, 500
 NO_RANK = np.int64(1 << 40)
 
 
@@ -183,6 +185,29 @@ class ChunkMemo:
         return self.ids[source], ends[offsets]
 
 
+class ByteBoundMemo(ChunkMemo):
+    """A memo that starts anew once its chunks and ids take ``most`` bytes; that changes no result."""
+
+    def __init__(self, encode_new, most: int = MEMO_BYTES):
+        self.most = most
+        super().__init__(lambda chunks: self.counted(encode_new, chunks))
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
+    def counted(self, encode_new, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, ends = encode_new(chunks)
+        # a text object and its entry, the letters, ids and places
+        self.held += 150 * len(chunks) + 2 * sum(map(len, chunks)) + ids.nbytes + 16 * len(chunks)
+        return ids, ends
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if self.held > self.most:
+            self.clear()
+        return super().encode(texts)
+
+
 _kept: dict[str, object] = {}
 
 
@@ -268,6 +293,44 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
     return out.mapInArrow(run, out.withColumn(ids_col, F.lit(None).cast("array<int>")).schema)
 
 
+def decoded_texts(tokens: pa.Array, flat: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """The tokens of each list of ids, joined by one space; ids outside the vocabulary give nothing."""
+    known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
+    picked = tokens.take(pc.if_else(known, flat, None))
+    lists = list_array(picked, np.append(0, np.cumsum(sizes)))
+    if picked.null_count:
+        return pa.array([" ".join(t for t in x if t is not None) for x in lists.to_pylist()], pa.string())
+    return pc.binary_join(lists, " ").cast(pa.string())
+
+
+def encode_and_decode(
+    docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded"
+) -> DataFrame:
+    """What :func:`encode` and then :func:`decode` give, in one pass: a worker holds the tables once."""
+    tables = docs.sparkSession.sparkContext.broadcast(load_tables(tokenizer))
+    base = docs.drop(ids_col, out_col)
+    at = base.columns.index(text_col)
+    key = uuid.uuid4().hex
+
+    def make():
+        encoder = BpeEncoder(tables.value)
+        encoder.memo = ByteBoundMemo(encoder.encode_chunks)
+        return encoder, pa.array(tables.value["tokens"])
+
+    def run(batches):
+        encoder, tokens = kept(key, make)
+        for batch in batches:
+            for step in steps(batch, batch.schema.names[at], STEP_TEXT_BYTES):
+                for start in range(0, step.num_rows, STEP_ROWS):
+                    part = step.slice(start, STEP_ROWS)
+                    flat, offsets = encoder.encode(part.column(at))
+                    text = decoded_texts(tokens, pa.array(flat), np.diff(offsets))
+                    yield pa.RecordBatch.from_arrays([*part.columns, list_array(flat, offsets), text], [*part.schema.names, ids_col, out_col])
+
+    out = base.withColumn(text_col, F.col(text_col).cast("string"))
+    return out.mapInArrow(run, out.withColumns({ids_col: F.lit(None).cast("array<int>"), out_col: F.lit("")}).schema)
+
+
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with ``out_col``: the tokens of the ids, special ones too, joined by one space.
 
@@ -284,15 +347,8 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: st
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 column = part.column(at)
-                flat = column.flatten()
-                known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
-                picked = tokens.take(pc.if_else(known, flat, None))
                 sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
-                lists = list_array(picked, np.append(0, np.cumsum(sizes)))
-                if picked.null_count:
-                    text = pa.array([" ".join(t for t in x if t is not None) for x in lists.to_pylist()])
-                else:
-                    text = pc.binary_join(lists, " ")
-                yield pa.RecordBatch.from_arrays([*part.columns, text.cast(pa.string())], [*part.schema.names, out_col])
+                text = decoded_texts(tokens, column.flatten(), sizes)
+                yield pa.RecordBatch.from_arrays([*part.columns, text], [*part.schema.names, out_col])
 
     return base.mapInArrow(run, base.withColumn(out_col, F.lit("")).schema)
