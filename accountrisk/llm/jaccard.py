@@ -14,7 +14,9 @@ one class, and the work is done between classes. Two classes link when ``100 * o
    hashed into groups, counted; the more groups, the larger the set). A query bounds the overlap with a node by the sum of coordinate minima with the
    node's upper corner, and leaves subtrees that cannot reach the needed overlap or hold its own component only.
    Blocks over ``TILE`` members are cut into tiles, every pair of parts being a tile, so that no task holds a whole
-   block. Pairs that survive are verified; their links finish the components.
+   block. Pairs that survive are verified; their links finish the components. Where many pairs survive among few
+   classes, as between near copies that missed their pivot, each class's best bounded pair is verified first: pairs that
+   those links put into one component need no check.
 
 A pair inside a component needs no check: components are the result. So a group of copies costs its members, not
 its pairs, and nothing is dropped, capped or sampled.
@@ -27,6 +29,7 @@ never the smallest of its component unless all are null. Extra columns are ignor
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -45,6 +48,8 @@ KNOWN_FREQUENT, LOCAL_COUNT, TOTAL_COUNT = 200_000, 3, 64
 SALTS = 64
 TILE = 1024
 FANOUT = 16
+#: Candidate pairs a class from which on the best pairs are verified before the others; changes no result.
+DENSE = 4
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -314,8 +319,16 @@ class CountTree:
         return q, self.order[node]
 
 
-def tile_search(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the pairs that the trees let through. Sets that can link differ in size by a third at most, so
+def shared_counts(x: np.ndarray, y: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Sums of coordinate minima of the pairs x[q], y[p]."""
+    out, chunk = np.zeros(len(q), np.int64), max(1, 4_000_000 // x.shape[1])
+    for k in range(0, len(q), chunk):
+        out[k : k + chunk] = np.minimum(x[q[k : k + chunk]], y[p[k : k + chunk]]).sum(1, dtype=np.int64)
+    return out
+
+
+def tile_search(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers of the pairs that the trees let through, and the bound on their overlap by the sum of sizes. Sets that can link differ in size by a third at most, so
     their vectors have equally many groups or one twice as many: each number of groups has its tree, which also takes
     the next larger vectors, folded."""
     groups = np.fromiter(map(groups_of, rows["counts"]), np.int64, len(rows["cid"]))
@@ -328,25 +341,28 @@ def tile_search(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.nda
         at, where = np.unique(np.concatenate([x, y]), return_inverse=True)
         vectors = folded([rows["counts"][k] for k in at.tolist()], g)
         size, root = rows["n"], rows["root"]
-        tree = CountTree(vectors[where[len(x) :]], size[y], root[y])
-        q, p = tree.search(vectors[where[: len(x)]], size[x], root[x])
+        of_x, of_y = vectors[where[: len(x)]], vectors[where[len(x) :]]
+        q, p = CountTree(of_y, size[y], root[y]).search(of_x, size[x], root[x])
+        once = (groups[x[q]] == g) | (groups[y[p]] == g)
+        q, p = q[once], p[once]
         a, b = x[q], y[p]
-        once = (groups[a] == g) | (groups[b] == g)
-        found.append((a[once], b[once]))
+        found.append((a, b, shared_counts(of_x, of_y, q, p) / (size[a] + size[b])))
     for side, other in ((left, right), (right, left)):  # vectors that bound nothing meet all rows of the tile
         for k in side[groups[side] == 0].tolist():
             may = other[rows["root"][other] != rows["root"][k]]
-            found.append((np.full(len(may), k), may))
-    return np.concatenate([a for a, _ in found] or [left[:0]]), np.concatenate([b for _, b in found] or [left[:0]])
+            found.append((np.full(len(may), k), may, np.ones(len(may))))
+    a, b, bound = zip(*found, strict=True) if found else ((left[:0],), (left[:0],), (np.zeros(0),))
+    return np.concatenate(a), np.concatenate(b), np.concatenate(bound)
 
 
-def tile_pairs(rows: dict) -> np.ndarray:
-    """Candidate pairs (smaller cid first) of one tile, without those of an earlier frequent shingle in common."""
+def tile_pairs(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs (smaller cid first) of one tile, without those of an earlier frequent shingle in common, and
+    their bounds."""
     cid, half = rows["cid"], rows["half"]
     whole = not half.any()
     left = np.arange(len(cid)) if whole else np.flatnonzero(half < 0)
     right = left if whole else np.flatnonzero(half > 0)
-    a, b = tile_search(rows, left, right)
+    a, b, bound = tile_search(rows, left, right)
     if len(a) and any(len(x) for x in rows["earlier"]):
         sizes = np.fromiter(map(len, rows["earlier"]), np.int64, len(cid))
         tokens = np.unique(np.concatenate(rows["earlier"]), return_inverse=True)[1]
@@ -355,8 +371,9 @@ def tile_pairs(rows: dict) -> np.ndarray:
         fresh = np.zeros(len(a), bool)
         for k in range(0, len(a), 20_000):
             fresh[k : k + 20_000] = ~(holds[a[k : k + 20_000]] & holds[b[k : k + 20_000]]).any(1)
-        a, b = a[fresh], b[fresh]
-    return np.unique(np.stack([np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b])], 1), axis=0)
+        a, b, bound = a[fresh], b[fresh], bound[fresh]
+    pairs, at = np.unique(np.stack([np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b])], 1), axis=0, return_index=True)
+    return pairs, bound[at]
 
 
 def tree_pairs(members: DataFrame) -> DataFrame:
@@ -388,11 +405,39 @@ def tree_pairs(members: DataFrame) -> DataFrame:
 
     def emit(rows: dict):
         if len(rows["cid"]) > 1:
-            pairs = tile_pairs(rows)
+            pairs, bound = tile_pairs(rows)
             if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(bound)], ["a", "b", "bound"])
+
+    return dealt.mapInArrow(run, "a long, b long, bound double")
+
 
-    return dealt.mapInArrow(run, "a long, b long")
+def tree_links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, n_words: int) -> DataFrame:
+    """Links (a, b) of candidate ``pairs`` (a, b, bound) that join all classes which any of the pairs join.
+
+    While the pairs are many for their classes, the best pair of each class is verified, and pairs inside the
+    components so found go unchecked. A round that spares less than half of the pairs is the last of its kind.
+    """
+    found = []
+    while True:
+        ends = pairs.select("a").union(pairs.select("b"))
+        n, classes = pairs.count(), ends.distinct().count()
+        if n <= DENSE * classes:
+            break
+        both = pairs.select("a", "b", "bound").union(pairs.select("b", "a", "bound"))
+        best = both.groupBy("a").agg(F.max_by("b", F.struct("bound", "b")).alias("b"))
+        best = written(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "best-pairs")
+        found.append(verified(docs, profiles, best, n_words))
+        roots = components(found[0] if len(found) == 1 else reduce(DataFrame.union, found))
+        rest = pairs.join(best, ["a", "b"], "left_anti")
+        for side in "ab":
+            named = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+            rest = rest.join(named, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+        pairs = written(rest.where("root_a <> root_b").select("a", "b", "bound"), "tree-pairs")
+        if 2 * pairs.count() > n:
+            break
+    found.append(verified(docs, profiles, pairs.select("a", "b"), n_words))
+    return reduce(DataFrame.union, found)
 
 
 def tiles(blocks: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -451,8 +496,8 @@ def link_documents(
     members = members.join(about, F.col("cid") == F.col("uid"))
     earlier = F.when(F.col("frequent") & (F.col("pos") > F.col("n_light")), F.slice("prefix", F.col("n_light") + 1, F.col("pos") - F.col("n_light")))
     members = members.select("token", "i", "j", "cid", "root", "n", "counts", "half", earlier.alias("earlier"))
-    pairs = written(tree_pairs(members), "tree-pairs").distinct()
-    more = verified(source, profiles, pairs, n_words)
+    pairs = written(tree_pairs(members).groupBy("a", "b").agg(F.max("bound").alias("bound")), "tree-pairs")
+    more = tree_links(source, profiles, pairs, n_words)
     # the components found before are stars already, so few rounds are left
     stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = written(components(stars.union(more)), "components")
