@@ -112,7 +112,7 @@ def anchors(raw: np.ndarray, ends: np.ndarray, contexts: bool = True) -> tuple[n
 def anchor_table(texts: DataFrame, known=None) -> DataFrame:
     """(h, c, id, v, pos) of every anchor; with ``known`` also whether h is known to be frequent."""
     kind = texts.schema["id"].dataType.simpleString()
-    schema = f"h long, c long, id {kind}, v int, pos int" + ", known boolean" * (known is not None)
+    schema = f"h long, c long, id {kind}, v binary, pos int" + ", known boolean" * (known is not None)
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches):
@@ -295,8 +295,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of ``docs``: ``id_col``, ``n_bytes``, ``spans`` (removed bytes, merged), ``kept`` (binary, the
     remaining bytes)."""
     texts = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("t"))
-    # rows are told apart by id and, where ids repeat, by the text
-    texts = texts.withColumn("v", F.xxhash64("t").bitwiseAND(0x7FFFFFFF).cast("int"))
+    # rows are told apart by id and, where ids repeat or are null, by 128 bits of the text
+    texts = texts.withColumn("v", F.unhex(F.md5("t")))
     known = docs.sparkSession.sparkContext.broadcast(frequent_anchors(texts))
     found = anchor_table(texts, known)
     single = found.where("NOT known").withColumn("k", F.count("*").over(Window.partitionBy("h"))).where("k > 1")
