@@ -2,13 +2,16 @@
 
 The base finds e-mail addresses, IPv4 addresses, payment cards and international phone numbers by pattern and
 check. The field, trained on the driver from a small labelled table (``LABELLED``), adds forms the patterns
-miss, such as phones without a country code; what it adds must pass the kind's check and never touches a base
-span.
+miss: phones without a country code, and secrets (access tokens, keys and passwords), a kind of the field alone that has
+no pattern. What it adds must pass the kind's check and never touches a base span.
 
 Decoding is exact Viterbi over all tokens of a text: numpy computes shapes and label scores of a whole batch;
 a token is surely "none" when no stretch of other labels around it can gain more than entering and leaving the
 stretch costs, so paths are only computed for the runs between such tokens, many runs at a time.
 
+Texts of a batch are one sequence with two places outside any text between them, so a text's spans are the same alone
+and beside others.
+
 Cases: null and empty texts have no spans; texts are never cut; rows are independent, so repeated ids and ties
 do not matter; extra columns stay, one with the name of a result column is replaced.
 """
@@ -26,9 +29,9 @@ from pyspark.sql import functions as F
 from accountrisk.llm.common import steps
 
 KINDS = ["email", "ip", "card", "phone"]
+FIELD_KINDS = [*KINDS, "secret"]
 
 # ---- base patterns ------------------------------------------------------------------------------------
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
@@ -138,7 +141,7 @@ def tokens_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 # ---- the field ----------------------------------------------------------------------------------------
-N_LABELS = 1 + len(KINDS)  # none, then the kinds
+N_LABELS = 1 + len(FIELD_KINDS)  # none, then the kinds
 _MASKED = -1e9
 
 
@@ -234,7 +237,7 @@ def viterbi(field: Field, shapes: np.ndarray) -> np.ndarray:
     if not len(shapes):
         return labels
     e = field.scores(shapes)
-    e[(shapes % (N_SHAPES // 2)) == LINE, 1:] = _MASKED
+    e[((shapes % (N_SHAPES // 2)) == LINE) | (shapes == EDGE), 1:] = _MASKED
     # a stretch of other labels gains at most its leads, and what moves inside, into and out of it can add
     move, none = field.move, field.move[0, 0]
     gain = e[:, 1:].max(1) - e[:, 0] + (move[1:, 1:].max() - none)
@@ -266,6 +269,8 @@ def viterbi(field: Field, shapes: np.ndarray) -> np.ndarray:
 def passes(kind: int, text: str) -> bool:
     """What a span of the field must hold to count."""
     d = digits_of(text)
+    if FIELD_KINDS[kind] == "secret":
+        return len(text) >= 16 and 4 <= len(d) <= len(text) - 4 and bool(re.fullmatch(r"[A-Za-z0-9]+", text))
     if KINDS[kind] == "email":
         return bool(re.fullmatch(r"[^\s@]+\s?(?:@|[(\[]\s?at\s?[)\]])\s?[^\s@]+(?:\.|\s?[(\[]\s?dot\s?[)\]]\s?)[A-Za-z]{2,}", text))
     if KINDS[kind] == "ip":
@@ -276,6 +281,16 @@ def passes(kind: int, text: str) -> bool:
     return 9 <= len(d) <= 15 and len(text) <= 2 * len(d) and bool(re.search(r"[0-9][^0-9]+[0-9]", text))
 
 
+_RUN_AFTER = re.compile(r"[A-Za-z0-9]*")
+
+
+def run_start(text: str, at: int) -> int:
+    """Where the run of letters and digits that ends at ``at`` begins."""
+    while at and text[at - 1].isalnum() and text[at - 1] < "\x80":
+        at -= 1
+    return at
+
+
 def field_spans(field: Field, codes: np.ndarray, text: str, start: int, base: list[tuple[int, int, int]], found) -> list[tuple[int, int, int]]:
     """Spans that the labels of a text's tokens give, beside the base spans. found: starts, ends, labels."""
     starts, ends, labels = found
@@ -287,6 +302,10 @@ def field_spans(field: Field, codes: np.ndarray, text: str, start: int, base: li
     for a, b in zip(np.append(0, cuts + 1).tolist(), np.append(cuts, len(hot) - 1).tolist(), strict=True):
         kind = int(labels[hot[a]]) - 1
         s, t = int(starts[hot[a]]) - start, int(ends[hot[b]]) - start
+        if FIELD_KINDS[kind] == "secret":  # a secret is a whole run of letters and digits
+            if out and out[-1][0] == kind and s < out[-1][2]:
+                continue
+            s, t = run_start(text, s), _RUN_AFTER.match(text, t).end()
         apart = not text[max(0, s - 1) : s].isalnum() and not text[t : t + 1].isalnum()
         if apart and not any(x < t and s < y for _, x, y in base) and passes(kind, text[s:t]):
             out.append((kind, s, t))
@@ -294,7 +313,7 @@ def field_spans(field: Field, codes: np.ndarray, text: str, start: int, base: li
 
 
 # ---- the labelled table -------------------------------------------------------------------------------
-#: Sentences with {kind:form} places; forms are filled with drawn digits. Plain numbers stand for what is no
+#: Sentences with {kind:form} places; forms are filled with drawn digits (#) and hexadecimal ones (%). Plain numbers stand for what is no
 #: personal data.
 LABELLED = [
     "call {phone:(###) ###-####} after six",
@@ -325,7 +344,14 @@ LABELLED = [
     "chapter 3.1.4 on page #12",
     "on 2021-0#-1# at 12:3# and 13:0#",
     "release 1.2.3-#4 is out",
-    'token = "##fa5c##bd7e##aa" here',
+    'token = "{secret:%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%}" here',
+    "token = '{secret:%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%}'",
+    'the api_key: "{secret:%%%%%%%%%%%%%%%%%%%%%%%%}" is old',
+    "secret={secret:%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%} and more",
+    "use key {secret:%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%} for it",
+    'Password = "{secret:%%%%%%%%%%%%%%%%%%%%}".',
+    'code = "#ab" and colour "#f#f##" here',
+    'the word "Stone" and the year "19##" stand here',
     "the value ############ is odd",
     "rows 1-#0 and 20-3#, sum 4#",
     "see (12) and (3) or [4]",
@@ -349,9 +375,9 @@ def training_rows(copies: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
             text, spans = "", []
             for piece in re.split(r"(\{\w+:[^}]*\})", sentence):
                 form = re.fullmatch(r"\{(\w+):(.*)\}", piece)
-                filled = re.sub("#", lambda _: str(draw.randrange(10)), form[2]) if form else re.sub(r"(?<![# ])#|#(?=[#0-9.\-])", lambda _: str(draw.randrange(10)), piece)
+                filled = re.sub("[#%]", lambda m: str(draw.randrange(10)) if m[0] == "#" else draw.choice("0123456789abcdef"), form[2]) if form else re.sub(r"(?<![# ])#|#(?=[#0-9.\-])", lambda _: str(draw.randrange(10)), piece)
                 if form:
-                    spans.append((KINDS.index(form[1]), len(text), len(text) + len(filled)))
+                    spans.append((FIELD_KINDS.index(form[1]), len(text), len(text) + len(filled)))
                 text += filled
             starts, ends, shapes = tokens_of(np.frombuffer(text.encode("utf-32-le"), np.uint32))
             labels = np.zeros(len(shapes), np.int64)
@@ -361,16 +387,26 @@ def training_rows(copies: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
     return rows
 
 
+def parted(starts: np.ndarray, ends: np.ndarray, shapes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens with two places outside any text where a border between texts stands (a line feed of its own)."""
+    border = np.searchsorted(starts, borders)
+    shapes = shapes.copy()
+    shapes[border] = EDGE
+    times = np.ones(len(starts), np.int64)
+    times[border] = 2
+    return tuple(np.repeat(x, times) for x in (starts, ends, shapes))
+
+
 def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``pii``, arrays of (kind, start, end): the base spans, and all spans. Both in the
-    order of ``KINDS``, then start; code points, end exclusive."""
+    order of ``FIELD_KINDS``, then start; code points, end exclusive."""
     field = docs.sparkSession.sparkContext.broadcast(train(training_rows()))
     base = docs.drop("base", "pii").withColumn(text_col, F.col(text_col).cast("string"))
     at = base.columns.index(text_col)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def rows(spans):
-        return [{"kind": KINDS[k], "start": a, "end": b} for k, a, b in spans]
+        return [{"kind": FIELD_KINDS[k], "start": a, "end": b} for k, a, b in spans]
 
     def run(batches):
         for batch in batches:
@@ -378,9 +414,10 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 codes = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
                 starts, ends, shapes = tokens_of(codes)
+                edges = np.append(0, np.cumsum([len(t) + 1 for t in texts]))
+                starts, ends, shapes = parted(starts, ends, shapes, edges[1:] - 1)
                 labels = viterbi(field.value, shapes)
                 hot = np.flatnonzero(labels)
-                edges = np.append(0, np.cumsum([len(t) + 1 for t in texts]))
                 cuts = np.searchsorted(starts[hot], edges)
                 first, full = [], []
                 for k, text in enumerate(texts):

@@ -36,8 +36,7 @@ def op1_decontaminate(spark, sf_dir):
 @query
 def op2_bpe(spark, sf_dir):
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    decoded = bpe.decode(encoded, path)
+    decoded = bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -59,10 +58,11 @@ def op4_pii(spark, sf_dir):
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    def count(kind):
-        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    def count(kind, spans="base"):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *map(count, pii.KINDS), sha256_of(listed("base")).alias("base_sha256"), listed("pii").alias("spans"))
+    counts = [*map(count, pii.KINDS), count("secret", "pii")]
+    return found.select("doc_id", *counts, sha256_of(listed("base")).alias("base_sha256"), listed("pii").alias("spans"))
 
 
 @query

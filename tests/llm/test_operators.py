@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -70,10 +71,56 @@ def test_decontaminate(spark, block_words):
     assert none == 0
 
 
+def test_rows_of_equal_short_hashes_are_apart(spark):
+    """Null ids and two texts that agree in 31 bits of a hash: bytes go from the text that repeats only."""
+    def text(k):
+        return F.concat_ws(" ", *[F.concat(F.lit(f"{j}x"), k, F.lit(f"y{j}")) for j in range(40)])
+
+    rows = spark.range(150_000).select(F.col("id"), F.xxhash64(text(F.col("id").cast("string")).cast("binary")).bitwiseAND(0x7FFFFFFF).alias("h"))
+    twins = rows.groupBy("h").agg(F.collect_list("id").alias("ids")).where("size(ids) > 1").first().ids
+    docs = spark.createDataFrame([(k,) for k in [*twins[:2], twins[0]]], "k long").select(F.lit(None).cast("long").alias("doc_id"), text(F.col("k").cast("string")).alias("text"))
+    got = sorted(len(r.kept) for r in suffix_dedup.remove_repeats(docs).collect())
+    sizes = {k: n for k, n in docs.selectExpr("text", "length(text) AS n").distinct().collect()}
+    assert got == [0, 0, max(got)] and max(got) in sizes.values() and max(got) > 300
+
+
+def test_personal_data_alone_and_beside_others(spark):
+    """A text's spans do not depend on its neighbours; secrets are found whole, in quotes and out of them."""
+    draw = random.Random(3)
+    secret = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    forms = ["972-980-6351", "(212) 555-0147", "a@b.com", "x at y", "+49 30 1234567", "info [at] example [dot] org", f'token = "{secret}"', "10.1.2.3", "word", "The end."]
+    texts = [" ".join(draw.choice(forms) for _ in range(draw.randint(0, 3))) for _ in range(300)]
+    rows = list(enumerate(texts))
+    together = {r.doc_id: (r.base, r.pii) for r in pii.find_pii(spark.createDataFrame(rows, DOCS).coalesce(1)).collect()}
+    apart = {r.doc_id: (r.base, r.pii) for r in pii.find_pii(spark.createDataFrame(rows, DOCS).repartition(60)).collect()}
+    assert together == apart
+    held = [any(s.kind == "secret" and text[s.start : s.end] == secret for s in together[i][1]) for i, text in rows if secret in text]
+    assert np.mean(held) > 0.8 and len(held) > 30
+    assert not any(s.kind == "secret" for i, text in rows if secret not in text for s in together[i][1])
+    line = f'some words here\nand token = "{secret}" in a line'
+    (found,) = pii.find_pii(spark.createDataFrame([(1, line)], DOCS)).collect()
+    assert [(s.kind, line[s.start : s.end]) for s in found.pii] == [("secret", secret)]
+    assert pii.find_pii(spark.createDataFrame([], DOCS)).collect() == []
+
+
 # ---- tokens ---------------------------------------------------------------------------------------------
 TEXTS = ["<|endoftext|> x<|startoftext|>y A<|endoftext|>", "ΑΣ ΣΑΣ İI", "aaaaaaa aaaa", "é ́x", "it's 'sample they'll 12345", "a\x1cb \x1f", "<| <|endoftext", "日本語 テスト", "a" * 3000 + " b"]
 
 
+def test_one_pass_gives_what_two_give(spark, monkeypatch):
+    """Also with a memo so small that it starts anew all the time."""
+    docs = frame(spark, [(*r, 1) for r in EDGE + list(enumerate(TEXTS * 3))], DOCS + ", decoded int")
+    two = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    one = bpe.encode_and_decode(docs, TOKENIZER)
+    assert one.columns == two.columns and sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    tables = bpe.load_tables(TOKENIZER)
+    small, large = bpe.BpeEncoder(tables), bpe.BpeEncoder(tables)
+    small.memo = bpe.ByteBoundMemo(small.encode_chunks, 200)
+    for text in TEXTS * 2:
+        a, b = (e.encode(pa.array([text, "", text])) for e in (small, large))
+        assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
+
+
 def test_bpe_equals_the_library(spark):
     rows = EDGE + list(enumerate(TEXTS))
     library = Tokenizer.from_file(TOKENIZER)
@@ -248,8 +295,10 @@ def brute_components(rows):
     return {i: (len(sets[k]), least[find(k)]) for k, (i, _) in enumerate(rows)}
 
 
+@pytest.mark.parametrize("dense", [0, 4])
 @pytest.mark.parametrize("frequent", [8, 10_000])
-def test_jaccard_components(spark, monkeypatch, frequent):
+def test_jaccard_components(spark, monkeypatch, frequent, dense):
+    monkeypatch.setattr(jaccard, "DENSE", dense)
     monkeypatch.setattr(jaccard, "TOTAL_COUNT", frequent)
     monkeypatch.setattr(jaccard, "TILE", 16)
     monkeypatch.setattr(jaccard, "SALTS", 3)
