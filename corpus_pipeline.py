@@ -61,9 +61,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and whether they decode to their own encoding."""
-    path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.decode(bpe.encode(docs, path), path)
+    """Token ids of every text, their number, and the text they decode to."""
+    encoded = bpe.encode_and_decode(docs, public_tokenizers.path(TOKENIZER))
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
