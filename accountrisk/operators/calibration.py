@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext, inheritable_thread_target
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -19,31 +25,93 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountrisk.operators.splits import with_folds
+from accountrisk.operators.training import fit_pipeline
 from accountrisk.session import written
 
 SCORE = "__score"
 CALIBRATED = "__calibrated"
 
 
-def score_tallies(df: DataFrame, label: str, score: str, digits: int | None = None) -> DataFrame:
-    """One weighted point per distinct score; with ``digits`` scores are rounded first.
+#: Scores are rounded to so many digits before the isotonic fit: at most 1,000,001 of them, whatever the rows.
+DIGITS = 6
+#: Neighbouring score ranges that one task merges.
+MERGED = 8
+BLOCK = "low double, high double, hits double, weight double"
 
-    Grouping equal scores leaves the isotonic fit unchanged; four digits bound it to 10,001 points.
-    """
-    at = F.col(score).cast("double")
-    return df.groupBy((at if digits is None else F.bround(at, digits)).alias(SCORE)).agg(
-        F.avg(F.col(label).cast("double")).alias("__mean"),
-        F.count("*").cast("double").alias("__weight"),
+
+def score_tallies(df: DataFrame, label: str, score: str, digits: int = DIGITS) -> DataFrame:
+    """(score, hits, weight) per distinct rounded score: equal scores are one weighted point."""
+    at = F.bround(F.col(score).cast("double"), digits)
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    return rows.groupBy(at.alias(SCORE)).agg(
+        F.sum(F.col(label).cast("double")).alias("hits"), F.count("*").cast("double").alias("weight")
     )
 
 
-def fit_isotonic(
-    df: DataFrame, label: str, score: str, digits: int | None = None
-) -> IsotonicRegressionModel:
-    """Monotone step fit on grouped scores; Spark pools each range partition before the final pass."""
+def pool(blocks: np.ndarray) -> np.ndarray:
+    """Pool adjacent violators: blocks (low, high, hits, weight) by score, merged until their means rise.
+
+    Sums stay sums, so pooling parts first and their blocks afterwards gives what pooling all points gives.
+    """
+    kept: list[list[float]] = []
+    for low, high, hits, weight in blocks.tolist():
+        while kept and kept[-1][2] * weight >= hits * kept[-1][3]:
+            low, _, more_hits, more_weight = kept.pop()
+            hits, weight = hits + more_hits, weight + more_weight
+        kept.append([low, high, hits, weight])
+    return np.array(kept, np.float64).reshape(-1, 4)
+
+
+def pooled_blocks(tallies: DataFrame) -> DataFrame:
+    """The blocks of the isotonic fit, a row each: (low, high, hits, weight).
+
+    Score ranges are pooled where they lie, then neighbouring ranges are merged up a tree; a task holds the blocks
+    of ``MERGED`` ranges, the last one those of all.
+    """
+    spark = tallies.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = ["low", "high", "hits", "weight"]
+
+    def part_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [b for b in batches if len(b)]
+        if rows:
+            found = pd.DataFrame(pool(pd.concat(rows)[names].to_numpy()), columns=names)
+            yield found.assign(part=TaskContext.get().partitionId())
+
+    def merged(group: pd.DataFrame) -> pd.DataFrame:
+        found = pool(group.sort_values("low")[names].to_numpy())
+        return pd.DataFrame(found, columns=names).assign(part=int(group["part"].iloc[0]) // MERGED)
+
+    points = tallies.select(F.col(SCORE).alias("low"), F.col(SCORE).alias("high"), "hits", "weight")
+    spread = points.repartitionByRange(parts, "low").sortWithinPartitions("low")
+    blocks = written(spread.mapInPandas(part_of, BLOCK + ", part int"), "isotonic-blocks")
+    while parts > 1:
+        blocks = blocks.groupBy(F.expr(f"part DIV {MERGED}")).applyInPandas(merged, BLOCK + ", part int")
+        parts = -(-parts // MERGED)
+    return blocks.select(*names)
+
+
+def fit_isotonic(df: DataFrame, label: str, score: str, digits: int = DIGITS) -> IsotonicRegressionModel:
+    """Monotone step fit on grouped scores.
+
+    The fit is done by :func:`pooled_blocks`; the model gets both ends of every block, so the driver holds blocks,
+    of which there are no more than rounded scores.
+    """
+    blocks = pooled_blocks(score_tallies(df, label, score, digits))
+    mean = (F.col("hits") / F.col("weight")).alias("__mean")
+    ends = F.explode(F.array_distinct(F.array("low", "high"))).alias(SCORE)
     return IsotonicRegression(
-        featuresCol=SCORE, labelCol="__mean", weightCol="__weight", predictionCol=CALIBRATED
-    ).fit(score_tallies(df, label, score, digits))
+        featuresCol=SCORE, labelCol="__mean", weightCol="weight", predictionCol=CALIBRATED
+    ).fit(written(blocks.select(ends, mean, "weight"), "isotonic-steps"))
+
+
+def calibrated_scores(df: DataFrame, label: str, score: str, digits: int = DIGITS) -> DataFrame:
+    """(score, weight, calibrated) of every distinct score: the steps of the fit over the scores they cover."""
+    tallies = written(score_tallies(df, label, score, digits), "score-tallies")
+    model = fit_isotonic(df, label, score, digits)
+    return model.transform(tallies).select(
+        F.col(SCORE).alias("score"), F.col("weight").cast("bigint").alias("weight"), F.col(CALIBRATED).alias("calibrated")
+    )
 
 
 def fit_sigmoid(df: DataFrame, label: str, score: str) -> tuple[float, float]:
@@ -161,15 +229,15 @@ def fit_calibrated(
     method: str = "isotonic",
     folds: int = 5,
     seed: int = 42,
-    digits: int | None = None,
+    digits: int = DIGITS,
 ) -> CalibratedEnsembleModel:
-    """Per fold: fit the pipeline on the other folds and the calibrator on the fold left out."""
+    """Per fold: fit the pipeline on the other folds and the calibrator on the fold left out; folds side by side."""
     if method not in ("isotonic", "sigmoid"):
         raise ValueError(f"unknown calibration method {method!r}")
     data = written(with_folds(train, label, row_id, folds, seed, "__fold"), "calibration")
-    members = []
-    for fold in range(folds):
-        member = pipeline.fit(data.where(F.col("__fold") != fold).drop("__fold"))
+
+    def one(fold: int) -> tuple:
+        member = fit_pipeline(pipeline, data.where(F.col("__fold") != fold).drop("__fold"))
         held_out = written(
             member.transform(data.where(F.col("__fold") == fold).drop("__fold")).select(
                 F.col(label), raw_score(method).alias(SCORE)
@@ -180,5 +248,8 @@ def fit_calibrated(
             calibrator = fit_isotonic(held_out, label, SCORE, digits)
         else:
             calibrator = fit_sigmoid(held_out, label, SCORE)
-        members.append((member, calibrator))
+        return member, calibrator
+
+    with ThreadPool(folds) as pool_:
+        members = pool_.map(inheritable_thread_target(data.sparkSession)(one), range(folds))
     return CalibratedEnsembleModel(members, method)

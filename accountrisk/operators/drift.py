@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accountrisk.functions.numeric import edges_reached, number, rounded
 from accountrisk.operators.ordered import (
@@ -31,28 +34,6 @@ IS_REFERENCE = "is_reference"
 # --- batches ----------------------------------------------------------------------------------------
 
 
-def shifted_batch(
-    df: DataFrame,
-    nps_drop: float = 3.0,
-    delay_factor: float = 2.2,
-    extra_tickets: int = 5,
-    mrr_factor: float = 1.0,
-    plan: str | None = None,
-) -> DataFrame:
-    """A batch with known shifts, for drift drills."""
-    nps = F.col("nps_score")
-    moved = F.least(F.greatest(nps - nps_drop, F.lit(0.0)), F.lit(10.0))
-    changes = {
-        "nps_score": F.when(nps.isNotNull(), moved),
-        "invoice_delay_days": F.col("invoice_delay_days") * delay_factor,
-        "support_tickets_count": F.col("support_tickets_count") + extra_tickets,
-        "monthly_recurring_revenue": F.col("monthly_recurring_revenue") * mrr_factor,
-    }
-    if plan is not None:
-        changes["plan_tier"] = F.lit(plan)
-    return df.withColumns(changes)
-
-
 def _tagged(reference: DataFrame, current: DataFrame, columns: dict[str, Column]) -> DataFrame:
     pick = [c.alias(name) for name, c in columns.items()]
     return reference.select(*pick, F.lit(True).alias(IS_REFERENCE)).unionByName(
@@ -249,7 +230,11 @@ def category_counts(
 def psi_categorical(
     reference: DataFrame, current: DataFrame, features: Sequence[str]
 ) -> DataFrame:
-    counts = category_counts(reference, current, features)
+    return psi_from_categories(category_counts(reference, current, features), features)
+
+
+def psi_from_categories(counts: DataFrame, features: Sequence[str]) -> DataFrame:
+    """PSI per feature from (feature, category, n_ref, n_cur); a feature without counts on a side gives 0."""
     totals = counts.groupBy("feature").agg(
         F.sum("n_ref").alias("all_ref"),
         F.sum("n_cur").alias("all_cur"),
@@ -303,7 +288,51 @@ def ecdf(
     )
 
 
-def ks_pvalue(distance: Column, n_ref: Column, n_cur: Column, terms: int = 100) -> Column:
+#: Samples up to this size get the exact distribution of the KS distance (fixed value).
+EXACT_ROWS = 10_000
+
+
+def exact_pvalue(distance: float, n_ref: int, n_cur: int) -> float:
+    """Chance of a KS distance at least that large between samples of one continuous distribution.
+
+    All orders of the pooled values are lattice paths from (0, 0) to (n_ref, n_cur); the distance stays below a limit
+    on paths inside a band around the diagonal. The share of the paths that stay inside is carried along the
+    diagonals, all places of a diagonal at once; the band bounds the work by the distance times the sizes.
+    """
+    limit = round(distance * n_ref * n_cur)
+    if limit <= 0:
+        return 1.0
+    total = n_ref + n_cur
+    half = limit // total + 2
+    place = np.arange(2 * half + 1)
+    inside = np.zeros(2 * half + 1)
+    inside[half] = 1.0
+    centre = 0
+    for step in range(1, total + 1):
+        moved = step * n_ref // total
+        padded = np.concatenate([[0.0], inside, [0.0]])
+        shift = moved - centre
+        i = moved - half + place
+        j = step - i
+        inside = (padded[shift : shift + len(place)] * i + padded[shift + 1 : shift + 1 + len(place)] * j) / step
+        inside[(i < 0) | (i > n_ref) | (j < 0) | (j > n_cur) | (np.abs(i * n_cur - j * n_ref) >= limit)] = 0.0
+        centre = moved
+    return min(max(1.0 - float(inside[half]), 0.0), 1.0)
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_pvalues(distance: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Series:
+    """One row per feature; null beyond the size that gets the exact distribution."""
+    return pd.Series(
+        [
+            exact_pvalue(d, int(n), int(m)) if n <= EXACT_ROWS and m <= EXACT_ROWS and d == d else None
+            for d, n, m in zip(distance, n_ref.fillna(EXACT_ROWS + 1), n_cur.fillna(EXACT_ROWS + 1), strict=True)
+        ],
+        dtype="float64",
+    )
+
+
+def asymptotic_pvalue(distance: Column, n_ref: Column, n_cur: Column, terms: int = 100) -> Column:
     """Two-sided asymptotic p-value with the small-sample correction of the effective size."""
     size = n_ref.cast("double") * n_cur / (n_ref + n_cur)
     root = F.sqrt(size)
@@ -319,6 +348,13 @@ def ks_pvalue(distance: Column, n_ref: Column, n_cur: Column, terms: int = 100)
     return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
 
 
+def ks_pvalue(distance: Column, n_ref: Column, n_cur: Column) -> Column:
+    """Two-sided p-value: exact for samples of at most EXACT_ROWS, else asymptotic. For rows per feature."""
+    small = F.greatest(n_ref, n_cur) <= EXACT_ROWS
+    exact = _exact_pvalues(distance.cast("double"), n_ref.cast("bigint"), n_cur.cast("bigint"))
+    return F.when(small, exact).otherwise(asymptotic_pvalue(distance, n_ref, n_cur))
+
+
 def distribution_distances(
     reference: DataFrame, current: DataFrame, features: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
@@ -506,3 +542,13 @@ def psi_from_baseline(baseline: DataFrame, current: DataFrame) -> DataFrame:
         "feature string, bin int, n_ref bigint",
     )
     return psi_from_bins(reference.join(counted, ["feature", "bin"], "left"), edges)
+
+
+def categorical_psi_from_baseline(profile: DataFrame, current: DataFrame) -> DataFrame:
+    """PSI of a batch against the stored counts of :func:`categorical_profile`; one pass over the batch."""
+    named = [r["feature"] for r in profile.select("feature").distinct().collect()]  # one row per feature
+    features = [f for f in named if f in current.columns]
+    stored = profile.where(F.col("feature").isin(features)).select("feature", "category", F.col("n").alias("n_ref"))
+    found = categorical_profile(current, features).select("feature", "category", F.col("n").alias("n_cur"))
+    counts = stored.join(found, ["feature", "category"], "full").fillna(0, ["n_ref", "n_cur"])
+    return psi_from_categories(counts, features)

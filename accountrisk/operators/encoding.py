@@ -167,10 +167,10 @@ class TargetEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultPar
 
     def _fit(self, dataset: DataFrame) -> TargetEncoderModel:
         fold = self.option("foldCol")
-        table = encoding_table(
-            dataset, self.option("inputCol"), self.option("labelCol"),
-            fold if fold in dataset.columns else None,
-        )
+        if fold not in dataset.columns:
+            # without folds the rows would be encoded by their own labels
+            raise ValueError(f"target encoding needs the fold column {fold!r}; build the pipeline with target_encoded")
+        table = encoding_table(dataset, self.option("inputCol"), self.option("labelCol"), fold)
         model = TargetEncoderModel(written(table, "encodings"))
         for name in ("inputCol", "outputCol", "labelCol", "foldCol"):
             model._set(**{name: self.option(name)})

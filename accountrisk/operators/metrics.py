@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import keyword_only
 from pyspark.ml.evaluation import Evaluator
@@ -215,6 +215,33 @@ def f1_score(label: Column, prediction: Column) -> Column:
     return F.coalesce(F.try_divide(2.0 * tp, 2.0 * tp + wrong), F.lit(0.0))
 
 
+#: A metric by name, or a function (scored rows, label, probability, keys, value column) to (keys, metric).
+Metric = str | Callable[[DataFrame, str, str, Sequence[str], str | None], DataFrame]
+METRICS = ("roc_auc", "pr_auc", "f1", "net_benefit", "brier")
+
+
+def keyed_metric(
+    df: DataFrame, metric: Metric, label: str, probability: str, keys: Sequence[str] = (), value: str | None = None,
+    threshold: float = 0.5, terms: BusinessTerms = BusinessTerms(),
+) -> DataFrame:
+    """(keys, metric) of scored rows, larger is better: the Brier score is negated.
+
+    F1 and net benefit judge the rows at ``threshold``; ``value`` is the column of monthly revenue for net benefit, the
+    default revenue without it.
+    """
+    if callable(metric):
+        return metric(df, label, probability, keys, value)
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}")
+    if metric in ("roc_auc", "pr_auc"):
+        return ranking_metrics(df, label, probability, keys).select(*keys, F.col(metric).alias("metric"))
+    y, p = F.col(label), F.col(probability)
+    hit = (p >= threshold).cast("int")
+    ltv = None if value is None else F.col(value) * F.lit(terms.ltv_multiplier)
+    found = {"f1": lambda: f1_score(y, hit), "net_benefit": lambda: net_benefit(y, hit, ltv, terms), "brier": lambda: -brier(y, p)}
+    return df.groupBy(*keys).agg(found[metric]().alias("metric"))
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights n / (2 n_class), one row per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("n_class"))

@@ -1,10 +1,11 @@
-"""Exact quantiles of whole columns without gathering a column in one task.
-
-A column whose distinct values fit comfortably in one sort is finished directly. A larger one is first
-narrowed: a mergeable sketch brackets each wanted rank, exact counts confirm the bracket, and only the
-values inside are kept for the next round. Every round is a scan with map-side aggregates, the shuffle
-carries only distinct values inside brackets, and the answer equals the sorted-array definition with
-linear interpolation.
+"""Exact order statistics of whole columns by distributed selection of ranks.
+
+Wanted ranks are narrowed to intervals of values: a mergeable sketch names values close to each rank, one counting
+pass tells how many rows lie below and at each of them, and a rank is then either that of a named value or lies strictly
+between two of them. Every round takes named values out of the interval, so a value that fills most of a column cannot
+hold it up. Intervals of at most ``sort_limit`` rows or distinct values are finished by range buckets: values are
+counted, each bucket's total gives the next one its offset, and the running count is taken within a bucket. No column and
+no interval is sorted in one task, and the answer equals linear interpolation on the sorted column.
 """
 
 from __future__ import annotations
@@ -13,42 +14,46 @@ import math
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accountrisk.functions.numeric import number
+from accountrisk.operators.ordered import BUCKET, default_buckets, running_totals
 
 SORT_LIMIT = 1_000_000
 SKETCH_ACCURACY = 10_000
 
 
 @dataclass
-class _Bracket:
-    """Values of one column between two bounds (None is open) and the ranks sought there."""
+class _Interval:
+    """Values of one column strictly between two bounds (None is open), and the ranks sought there."""
 
     column: str
     ranks: list[int]
+    least: float
+    most: float
+    size: int
     lower: float | None = None
     upper: float | None = None
     below: int = 0
     inside: int = 0
-    distinct: int = 0
 
     def values(self) -> Column:
         value = number(self.column)
         keep = value.isNotNull()
         if self.lower is not None:
-            keep = keep & (value >= self.lower)
+            keep = keep & (value > self.lower)
         if self.upper is not None:
-            keep = keep & (value <= self.upper)
+            keep = keep & (value < self.upper)
         return F.when(keep, value)
 
-    def holds_ranks(self) -> bool:
-        return self.below <= min(self.ranks) and max(self.ranks) < self.below + self.inside
-
-    @property
-    def single_value(self) -> bool:
-        return self.lower is not None and self.lower == self.upper
+    def bucket(self, value: Column, buckets: int) -> Column:
+        """Buckets of equal width between the bounds; they balance the work and change no result."""
+        width = (self.most - self.least) / buckets
+        if not (math.isfinite(width) and width > 0):
+            return F.lit(0)
+        place = F.floor((value - F.lit(self.least)) / F.lit(width))
+        return F.least(F.greatest(place, F.lit(0)), F.lit(buckets - 1)).cast("int")
 
 
 def _distinct(value: Column) -> Column:
@@ -77,28 +82,33 @@ def order_statistics(
     columns = list(columns)
     found = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count(number(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[_distinct(number(c)).alias(f"d{i}") for i, c in enumerate(columns)],
+        *[
+            F.struct(
+                F.count(number(c)).alias("n"), F.min(number(c)).alias("least"), F.max(number(c)).alias("most"),
+                _distinct(number(c)).alias("distinct"),
+            ).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ],
     ).first()
-    counts = {c: found[f"n{i}"] for i, c in enumerate(columns)}
-
-    open_brackets = [
-        _Bracket(
-            c, sorted(set(ranks_for(counts[c], found["rows"]))), inside=counts[c],
-            distinct=found[f"d{i}"],
+    about = {c: found[f"c{i}"] for i, c in enumerate(columns)}
+    counts = {c: about[c]["n"] for c in columns}
+    wide = [
+        _Interval(
+            c, sorted(set(ranks_for(counts[c], found["rows"]))), about[c]["least"], about[c]["most"],
+            min(about[c]["distinct"], counts[c]), inside=counts[c],
         )
-        for i, c in enumerate(columns)
+        for c in columns
         if counts[c] > 0
     ]
-    ready: list[_Bracket] = []
-    while open_brackets:
-        wide = [b for b in open_brackets if b.distinct > sort_limit and not b.single_value]
-        ready += [b for b in open_brackets if b not in wide]
-        if not wide:
-            break
-        open_brackets, stuck = _narrow(df, wide, accuracy)
-        ready += stuck
-    return found["rows"], counts, _values_at_ranks(df, ready)
+    known: dict[tuple[str, int], float] = {}
+    ready: list[_Interval] = []
+    while wide:
+        ready += [b for b in wide if b.size <= sort_limit]
+        wide = [b for b in wide if b.size > sort_limit]
+        if wide:
+            wide, values = _narrow(df, wide, accuracy)
+            known |= values
+    return found["rows"], counts, known | _values_at_ranks(df, ready)
 
 
 def between(low: float, high: float, share: float) -> float:
@@ -133,101 +143,83 @@ def exact_quantiles(
 
 
 def _narrow(
-    df: DataFrame, brackets: list[_Bracket], accuracy: int
-) -> tuple[list[_Bracket], list[_Bracket]]:
-    """One sketch pass and one counting pass; returns (narrower, no longer shrinking)."""
+    df: DataFrame, intervals: list[_Interval], accuracy: int
+) -> tuple[list[_Interval], dict[tuple[str, int], float]]:
+    """One sketch pass and one counting pass: narrower intervals, and the ranks that fell on a named value."""
     slack = 3.0 / accuracy
-    sketch_columns = []
-    for i, b in enumerate(brackets):
+    sketches = []
+    for i, b in enumerate(intervals):
         wanted = []
         for rank in b.ranks:
             centre = (rank - b.below) / max(b.inside - 1, 1)
             wanted += [max(0.0, centre - slack), min(1.0, centre + slack)]
-        sketch_columns.append(
-            F.percentile_approx(b.values(), F.array(*map(F.lit, wanted)), accuracy).alias(f"s{i}")
-        )
-    sketch = df.agg(*sketch_columns).first()
-
-    narrower = []
-    parents = []
-    for i, b in enumerate(brackets):
-        bounds = sketch[f"s{i}"]
-        for j, rank in enumerate(b.ranks):
-            narrower.append(
-                _Bracket(b.column, [rank], lower=bounds[2 * j], upper=bounds[2 * j + 1])
-            )
-            parents.append(b)
-    counted = df.agg(
-        *[F.count_if(number(b.column) < b.lower).alias(f"b{i}") for i, b in enumerate(narrower)],
-        *[F.count(b.values()).alias(f"n{i}") for i, b in enumerate(narrower)],
-        *[_distinct(b.values()).alias(f"d{i}") for i, b in enumerate(narrower)],
-    ).first()
-
-    shrinking, stuck = [], []
-    for i, (b, parent) in enumerate(zip(narrower, parents, strict=True)):
-        b.below, b.inside, b.distinct = counted[f"b{i}"], counted[f"n{i}"], counted[f"d{i}"]
-        if not b.holds_ranks() or b.distinct >= parent.distinct:
-            # the sketch missed the rank or found nothing to cut: sort the parent's values instead
-            stuck.append(
-                _Bracket(
-                    parent.column, b.ranks, parent.lower, parent.upper,
-                    parent.below, parent.inside, parent.distinct,
-                )
-            )
-        else:
-            shrinking.append(b)
-    return shrinking, stuck
-
-
-def _values_at_ranks(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
-    """Order statistics inside bracketed values, from distinct values and their counts."""
-    known = {
-        (b.column, rank): b.lower for b in brackets if b.single_value for rank in b.ranks
-    }
-    slots = [b for b in brackets if not b.single_value]
-    if not slots:
-        return known
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("slot"), b.values().alias("value"))
-            for i, b in enumerate(slots)
-        ]
-    )
+        sketches.append(F.percentile_approx(b.values(), F.array(*map(F.lit, wanted)), accuracy).alias(f"s{i}"))
+    sketch = df.agg(*sketches).first()
+    named = [sorted(set(sketch[f"s{i}"])) for i in range(len(intervals))]
+
+    tallies = []
+    for i, (b, values) in enumerate(zip(intervals, named, strict=True)):
+        value = b.values()
+        for j, v in enumerate(values):
+            tallies += [F.count_if(value < v).alias(f"below{i}_{j}"), F.count_if(value == v).alias(f"at{i}_{j}")]
+    counted = df.agg(*tallies).first()
+
+    narrower: list[_Interval] = []
+    known: dict[tuple[str, int], float] = {}
+    for i, (b, values) in enumerate(zip(intervals, named, strict=True)):
+        gaps: dict[int, list[int]] = {}
+        begin = [b.below + counted[f"below{i}_{j}"] for j in range(len(values))]
+        end = [start + counted[f"at{i}_{j}"] for j, start in enumerate(begin)]
+        for rank in b.ranks:
+            before = sum(start <= rank for start in begin)  # named values that begin at or before the rank
+            if before and rank < end[before - 1]:
+                known[(b.column, rank)] = values[before - 1]
+            else:
+                gaps.setdefault(before, []).append(rank)
+        for j, ranks in gaps.items():
+            below = end[j - 1] if j else b.below
+            inside = (begin[j] if j < len(values) else b.below + b.inside) - below
+            lower, upper = (values[j - 1] if j else b.lower), (values[j] if j < len(values) else b.upper)
+            least, most = (b.least if lower is None else lower), (b.most if upper is None else upper)
+            narrower.append(_Interval(b.column, ranks, least, most, inside, lower, upper, below, inside))
+    return narrower, known
+
+
+def _values_at_ranks(df: DataFrame, intervals: list[_Interval]) -> dict[tuple[str, int], float]:
+    """Order statistics inside the intervals, from distinct values and their counts in range buckets."""
+    if not intervals:
+        return {}
+    buckets = default_buckets(df)
+    entries = [
+        F.struct(F.lit(i).alias("slot"), b.bucket(b.values(), buckets).alias(BUCKET), b.values().alias("value"))
+        for i, b in enumerate(intervals)
+    ]
     tallies = (
-        df.select(F.inline(entries))
+        df.select(F.inline(F.array(*entries)))
         .where(F.col("value").isNotNull())
-        .groupBy("slot", "value")
+        .groupBy("slot", BUCKET, "value")
         .agg(F.count("*").alias("n"))
     )
-    upto = Window.partitionBy("slot").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    sought = F.element_at(
-        F.create_map(
-            *[
-                x
-                for i, b in enumerate(slots)
-                for x in (
-                    F.lit(i),
-                    F.array(*[F.lit(r - b.below).cast("bigint") for r in b.ranks]),
-                )
-            ]
-        ),
-        F.col("slot"),
+    wanted = F.create_map(
+        *[
+            x
+            for i, b in enumerate(intervals)
+            for x in (F.lit(i), F.array(*[F.lit(r - b.below).cast("bigint") for r in b.ranks]))
+        ]
     )
+    start = F.col("n_before")
     hits = (
-        tallies.withColumn("end", F.sum("n").over(upto))
-        .withColumn("start", F.col("end") - F.col("n"))
+        running_totals(tallies, ["slot"], "value", ["n"])
         .withColumn(
             "ranks",
-            F.filter(sought, lambda r: (r >= F.col("start")) & (r < F.col("end"))),
+            F.filter(F.element_at(wanted, F.col("slot")), lambda r: (r >= start) & (r < start + F.col("n"))),
         )
         .where(F.size("ranks") > 0)
         .select("slot", "value", "ranks")
         .collect()  # at most one row per wanted rank
     )
-    for row in hits:
-        b = slots[row["slot"]]
-        for rank in row["ranks"]:
-            known[(b.column, rank + b.below)] = row["value"]
-    return known
+    return {
+        (intervals[row["slot"]].column, rank + intervals[row["slot"]].below): row["value"]
+        for row in hits
+        for rank in row["ranks"]
+    }

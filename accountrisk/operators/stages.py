@@ -12,8 +12,7 @@ import math
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -32,7 +31,6 @@ from accountrisk.operators.splits import with_folds
 from accountrisk.schema import ID_COLUMN, RATIO_FEATURES, RATIO_INPUTS, TARGET_COLUMN
 
 MISSING = "missing"
-MAX_CATEGORIES = 5_000
 
 
 class _Columns(Params):
@@ -345,7 +343,10 @@ class NumericPreparation(_ColumnsEstimator):
 
 
 class OneHotModel(_FittedColumns):
-    """``<column>__hot`` vectors; categories not seen at fit are all zeros."""
+    """``<column>__hot`` sparse vectors; categories not seen at fit are all zeros.
+
+    Categories are looked up in the indexer's table, so the plan does not grow with them.
+    """
 
     def kept(self, column: str) -> list[str]:
         categories = self.learned()[column]
@@ -354,24 +355,21 @@ class OneHotModel(_FittedColumns):
     def feature_names(self) -> list[str]:
         return [f"{c}={k}" for c in self.columns() for k in self.kept(c)]
 
-    def indicators(self, column: str) -> list[Column]:
-        return [F.col(column).eqNullSafe(F.lit(k)).cast("double") for k in self.kept(column)]
-
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumns(
-            {
-                f"{c}__hot": array_to_vector(F.array(*self.indicators(c)))
-                for c in self.columns()
-            }
-        )
+        cols = self.columns()
+        text, index = ([f"{c}__{kind}" for c in cols] for kind in ("text", "index"))
+        out = dataset.withColumns({t: F.col(c).cast("string") for c, t in zip(cols, text, strict=True)})
+        for c, t, i in zip(cols, text, index, strict=True):
+            # a column that had no value keeps one slot that is always empty
+            labels = self.kept(c) or [""]
+            out = StringIndexerModel.from_labels(labels, t, outputCol=i, handleInvalid="keep").transform(out)
+        # the extra index of unseen categories is the one that is dropped; sizes come with the column, so no job runs
+        encoder = OneHotEncoder(inputCols=index, outputCols=[f"{c}__hot" for c in cols], dropLast=True)
+        return encoder.fit(out).transform(out).drop(*text, *index)
 
 
 class OneHot(_ColumnsEstimator):
-    """One indicator per category in sorted order; a two-valued column keeps only the second.
-
-    The categories become constants of the plan, so a column with more than ``MAX_CATEGORIES`` is
-    refused: it belongs to target encoding.
-    """
+    """One indicator per category in sorted order; a two-valued column keeps only the second."""
 
     @keyword_only
     def __init__(self, *, inputCols=None):
@@ -383,19 +381,10 @@ class OneHot(_ColumnsEstimator):
         pairs = F.array(
             *[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("k")) for c in cols]
         )
-        limit = MAX_CATEGORIES * len(cols)
-        found = (
-            dataset.select(F.inline(pairs))
-            .where(F.col("k").isNotNull())
-            .distinct()
-            .limit(limit + 1)
-            .collect()
-        )
+        found = dataset.select(F.inline(pairs)).where(F.col("k").isNotNull()).distinct()
         categories: dict[str, list[str]] = {c: [] for c in cols}
-        for row in found:
+        for row in found.collect():  # the vocabulary itself
             categories[row["c"]].append(row["k"])
-        if len(found) > limit or any(len(v) > MAX_CATEGORIES for v in categories.values()):
-            raise ValueError("too many categories for one-hot columns; use target encoding")
         return self.fitted(OneHotModel, {c: sorted(v) for c, v in categories.items()})
 
 

@@ -24,7 +24,3 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return add
-
-
-def alias_query(name: str, fn: Query, sql: str | None = None) -> None:
-    query(name, sql)(fn)

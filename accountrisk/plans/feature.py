@@ -11,20 +11,24 @@ from pyspark.sql import functions as F
 from accountrisk.functions import ratios as R
 from accountrisk.operators import stages as S
 from accountrisk.operators.encoding import TargetEncoder
-from accountrisk.operators.splits import with_folds
 from accountrisk.plans.catalog import query
 from accountrisk.plans.intake import RATIO_SQL
 from accountrisk.plans.sql import FOLD_CTE, MART_CTE
-from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RATIO_FEATURES
 from accountrisk.session import written
 from accountrisk.sources.mart import account_mart, table
 
 RATIO_MART = MART_CTE + f", ratios AS (SELECT *, {RATIO_SQL} FROM mart)"
 
 
-def mart_table(spark, folder) -> DataFrame:
-    """The mart written once, for jobs that pass over it several times."""
-    return written(account_mart(spark, folder), "mart")
+def mart_table(spark, folder, *columns: str) -> DataFrame:
+    """The mart, or some of its columns, written once for jobs that pass over it several times."""
+    mart = account_mart(spark, folder)
+    return written(mart.select(*columns) if columns else mart, "mart")
+
+
+def number_table(spark, folder) -> DataFrame:
+    return mart_table(spark, folder, "customer_id", *NUMERIC_FEATURES)
 
 
 def rounded_columns(df: DataFrame, columns, digits: int = 6) -> DataFrame:
@@ -97,7 +101,7 @@ def learned_rows(spark, model, names: list[str]) -> DataFrame:
     + " round_even(upper_bound, 6) AS upper_bound FROM q",
 )
 def feat_winsor_fit(spark, folder):
-    model = S.Winsorizer(inputCols=NUMERIC_FEATURES).fit(mart_table(spark, folder))
+    model = S.Winsorizer(inputCols=NUMERIC_FEATURES).fit(number_table(spark, folder))
     return learned_rows(spark, model, ["lower_bound", "upper_bound"])
 
 
@@ -129,7 +133,7 @@ def _clipped_sql(columns, lower, upper):
 
 @query("q_feat_winsor_apply", MART_CTE + _clipped_sql(NUMERIC_FEATURES, 0.01, 0.99))
 def feat_winsor_apply(spark, folder):
-    mart = mart_table(spark, folder)
+    mart = number_table(spark, folder)
     model = S.Winsorizer(inputCols=NUMERIC_FEATURES).fit(mart)
     return model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
 
@@ -137,7 +141,7 @@ def feat_winsor_apply(spark, folder):
 @query("q_join_fit_state", MART_CTE + _clipped_sql(["monthly_recurring_revenue"], 0.05, 0.95))
 def join_fit_state(spark, folder):
     """Learned bounds enter the plan as constants: no join, no shuffle."""
-    mart = mart_table(spark, folder)
+    mart = mart_table(spark, folder, "customer_id", "monthly_recurring_revenue")
     model = S.Winsorizer(inputCols=["monthly_recurring_revenue"], lower=0.05, upper=0.95).fit(mart)
     return model.transform(mart).select("customer_id", "monthly_recurring_revenue")
 
@@ -171,7 +175,7 @@ def _over_quantiles(columns, expression: str) -> str:
     MART_CTE + _over_quantiles(NUMERIC_FEATURES, "coalesce({c}::DOUBLE, {c}_5)"),
 )
 def feat_impute_median(spark, folder):
-    mart = mart_table(spark, folder)
+    mart = number_table(spark, folder)
     model = S.MedianImputer(inputCols=NUMERIC_FEATURES).fit(mart)
     return model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
 
@@ -186,7 +190,7 @@ def feat_impute_median(spark, folder):
     ),
 )
 def feat_robust_scale(spark, folder):
-    mart = mart_table(spark, folder)
+    mart = number_table(spark, folder)
     model = S.RobustColumnScaler(inputCols=NUMERIC_FEATURES).fit(mart)
     out = model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
     return rounded_columns(out, NUMERIC_FEATURES, 9)
@@ -206,7 +210,7 @@ def feat_robust_scale(spark, folder):
     + " FROM mart, st",
 )
 def feat_standard_scale(spark, folder):
-    mart = mart_table(spark, folder)
+    mart = number_table(spark, folder)
     model = S.StandardColumnScaler(inputCols=NUMERIC_FEATURES).fit(mart)
     out = model.transform(mart).select("customer_id", *NUMERIC_FEATURES)
     return rounded_columns(out, NUMERIC_FEATURES)
@@ -247,7 +251,7 @@ ONE_HOT_COLUMNS = {
     + " FROM mart",
 )
 def feat_one_hot(spark, folder):
-    mart = S.CategoryCopies(inputCols=ONE_HOT_INPUTS).transform(mart_table(spark, folder))
+    mart = S.CategoryCopies(inputCols=ONE_HOT_INPUTS).transform(mart_table(spark, folder, "customer_id", *ONE_HOT_INPUTS))
     cat = [f"cat__{c}" for c in ONE_HOT_INPUTS]
     hot = S.OneHot(inputCols=cat).fit(mart).transform(mart)
     flat = F.flatten(F.array(*[vector_to_array(f"{c}__hot") for c in cat]))
@@ -257,17 +261,16 @@ def feat_one_hot(spark, folder):
 
 
 def nation_mart(spark, folder) -> DataFrame:
-    """Label, nation name (25 values) and a stratified fold per account."""
+    """Label and nation name (25 values) per account."""
     customer = table(spark, folder, "customer").join(
         table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    rows = written(
+    return written(
         account_mart(spark, folder)
         .join(customer, F.col("customer_id") == F.col("c_custkey"))
         .select("customer_id", "churn", F.col("n_name").alias("nation")),
         "nation-mart",
     )
-    return with_folds(rows, "churn", "customer_id", output="te_fold")
 
 
 ENCODING_SQL = FOLD_CTE + """, m AS (
@@ -293,40 +296,72 @@ LEFT JOIN enc ON enc.te_fold = m.te_fold AND enc.nation = m.nation"""
 
 @query("q_feat_target_encode", ENCODING_SQL)
 def feat_target_encode(spark, folder):
-    """Out-of-fold smoothed churn rate of each account's nation."""
-    rows = nation_mart(spark, folder)
-    out = TargetEncoder(inputCol="nation", outputCol="nation_encoding").fit(rows).transform(rows)
+    """Out-of-fold smoothed churn rate of each account's nation, by the folds of the cross-fitted pipeline."""
+    pipeline = S.pipeline_of([TargetEncoder(inputCol="nation", outputCol="nation_encoding")], ["nation"])
+    rows = pipeline.folded(nation_mart(spark, folder))
+    out = pipeline.fit(rows).transform(rows)
     return rounded_columns(out, ["nation_encoding"]).drop("churn")
 
 
 @query(
     "q_feat_assemble",
     MART_CTE
-    + " SELECT customer_id, "
-    + ", ".join(f"{c}::DOUBLE AS x_{c}" for c in NUMERIC_FEATURES)
-    + " FROM mart WHERE "
-    + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC_FEATURES),
+    + ", st AS (SELECT "
+    + ", ".join(f"quantile_cont({c}::DOUBLE, 0.5) AS {c}_5" for c in NUMERIC_FEATURES)
+    + " FROM mart) SELECT customer_id, "
+    + ", ".join(f"coalesce({c}::DOUBLE, {c}_5) AS x_{c}" for c in NUMERIC_FEATURES)
+    + " FROM mart, st",
 )
 def feat_assemble(spark, folder):
-    """Feature vector of complete accounts, read back slot by slot."""
-    mart = S.NumericCopies(inputCols=NUMERIC_FEATURES).transform(account_mart(spark, folder))
+    """Feature vector of every account, missing numbers filled first, read back slot by slot."""
+    mart = S.NumericCopies(inputCols=NUMERIC_FEATURES).transform(number_table(spark, folder))
     num = [f"num__{c}" for c in NUMERIC_FEATURES]
-    complete = mart.dropna(subset=num)
+    filled = S.MedianImputer(inputCols=num).fit(mart).transform(mart)
     return (
         VectorAssembler(inputCols=num, outputCol="features", handleInvalid="error")
-        .transform(complete)
+        .transform(filled)
         .withColumn("x", vector_to_array("features"))
         .select("customer_id", *[F.col("x")[i].alias(f"x_{c}") for i, c in enumerate(NUMERIC_FEATURES)])
     )
 
 
-@query("q_feat_preprocessor")
+def preprocessor_sql() -> str:
+    """The whole preprocessor: fill, clip, log and scale of numbers and ratios, then the indicators."""
+    numbers = [*NUMERIC_FEATURES, *RATIO_FEATURES]
+
+    def each(expression: str) -> str:
+        return ", ".join(expression.format(c=c) for c in numbers)
+
+    kept = ", ".join(f"{c}::VARCHAR AS {c}" for c in CATEGORICAL_FEATURES)
+    named = ", ".join(CATEGORICAL_FEATURES)
+    values = ", ".join(f"list_sort(list_distinct(list(coalesce({c}, 'missing')))) AS {c}_v" for c in CATEGORICAL_FEATURES)
+    indicators = ", ".join(
+        f"[CASE WHEN x = coalesce({c}, 'missing') THEN 1e0 ELSE 0e0 END"
+        f" FOR x IN CASE WHEN len({c}_v) = 2 THEN {c}_v[2:] ELSE {c}_v END]"
+        for c in CATEGORICAL_FEATURES
+    )
+    return (
+        RATIO_MART
+        + f", f0 AS (SELECT customer_id, {kept}, {each('{c}::DOUBLE AS {c}')} FROM ratios)"
+        + f", f1 AS (SELECT customer_id, {named}, {each('coalesce({c}, median({c}) OVER ()) AS {c}')} FROM f0)"
+        + f", lim AS (SELECT {each('quantile_cont({c}, 0.01) AS {c}_lo, quantile_cont({c}, 0.99) AS {c}_hi')} FROM f1)"
+        + f", f2 AS (SELECT customer_id, {named},"
+        + f" {each('ln(1e0 + greatest(least(greatest({c}, {c}_lo), {c}_hi), 0e0)) AS {c}')} FROM f1, lim)"
+        + ", mid AS (SELECT "
+        + each("quantile_cont({c}, 0.25) AS {c}_25, quantile_cont({c}, 0.5) AS {c}_50, quantile_cont({c}, 0.75) AS {c}_75")
+        + f", {values} FROM f2)"
+        + " SELECT customer_id, list_concat(["
+        + each("round_even(({c} - {c}_50) / CASE WHEN {c}_75 = {c}_25 THEN 1e0 ELSE {c}_75 - {c}_25 END, 6)")
+        + f"], flatten([{indicators}])) AS features FROM f2, mid"
+    )
+
+
+@query("q_feat_preprocessor", preprocessor_sql())
 def feat_preprocessor(spark, folder):
-    mart = mart_table(spark, folder)
+    mart = mart_table(spark, folder, "customer_id", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
     fitted = S.build_preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES).fit(mart)
-    return fitted.transform(mart).select(
-        "customer_id", vector_to_array("features").alias("features")
-    )
+    slots = F.transform(vector_to_array("features"), lambda x: F.bround(x, 6))
+    return fitted.transform(mart).select("customer_id", slots.alias("features"))
 
 
 @query("q_feat_full_model")

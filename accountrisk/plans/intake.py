@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accountrisk.functions.contract import (
+    require_rows,
     split_by_contract,
     violation_summary,
     with_default_id,
@@ -24,7 +25,7 @@ from accountrisk.schema import (
 )
 from accountrisk.session import new_path, written
 from accountrisk.sources.accounts import read_accounts, write_accounts
-from accountrisk.sources.mart import MART_CATEGORIES, account_mart
+from accountrisk.sources.mart import SERVED_CATEGORIES, account_mart, table
 
 ALL_COLUMNS = ", ".join(ACCOUNT_SCHEMA.names)
 MART_SCHEMA = T.StructType(
@@ -39,38 +40,24 @@ def scored_mart(spark: SparkSession, folder: str) -> DataFrame:
     return score_accounts(account_mart(spark, folder), rule_probability())
 
 
-def raw_feed(mart: DataFrame) -> DataFrame:
-    """The mart as a careless sender might deliver it: values outside the contract, a retired plan."""
-    return mart.withColumns(
-        {
-            "nps_score": F.col("nps_score") - 3.0,
-            "storage_usage_pct": F.col("storage_usage_pct") * 2.0,
-            "plan_tier": F.when(
-                (F.col("plan_tier") == "Starter") & (F.col("contracted_seats") < 500), "Free-Trial"
-            ).otherwise(F.col("plan_tier")),
-            "billing_cycle": F.when(F.col("billing_cycle") != "Multi-Year", F.col("billing_cycle")),
-            "invoice_delay_days": F.col("invoice_delay_days") - 20.0,
-        }
-    )
+def listed(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-RAW_FEED = """, feed AS (
-  SELECT * REPLACE (nps_score - 3e0 AS nps_score, storage_usage_pct * 2e0 AS storage_usage_pct,
-    CASE WHEN plan_tier = 'Starter' AND contracted_seats < 500 THEN 'Free-Trial'
-      ELSE plan_tier END AS plan_tier,
-    CASE WHEN billing_cycle <> 'Multi-Year' THEN billing_cycle END AS billing_cycle,
-    invoice_delay_days - 20e0 AS invoice_delay_days)
-  FROM mart
-), checked AS (
+#: The contract of a company that serves some segments and regions, checked on the accounts that the tables hold.
+CHECKED = f""", checked AS (
   SELECT *, [x FOR x IN [
-    CASE WHEN plan_tier NOT IN ('Starter', 'Professional', 'Enterprise') THEN 'plan_tier:enum' END,
-    CASE WHEN billing_cycle IS NULL THEN 'billing_cycle:missing' END,
+    CASE WHEN industry IS NULL THEN 'industry:missing' END,
+    CASE WHEN industry NOT IN ({listed(SERVED_CATEGORIES["industry"])}) THEN 'industry:enum' END,
+    CASE WHEN payment_method IS NULL THEN 'payment_method:missing' END,
+    CASE WHEN payment_method NOT IN ({listed(SERVED_CATEGORIES["payment_method"])}) THEN 'payment_method:enum' END,
+    CASE WHEN contract_duration_months < 1 OR contract_duration_months > 120
+      THEN 'contract_duration_months:range' END,
     CASE WHEN contracted_seats < 1 THEN 'contracted_seats:range' END,
     CASE WHEN storage_usage_pct < 0 OR storage_usage_pct > 100 THEN 'storage_usage_pct:range' END,
-    CASE WHEN nps_score < 0 OR nps_score > 10 THEN 'nps_score:range' END,
-    CASE WHEN invoice_delay_days < 0 THEN 'invoice_delay_days:range' END
+    CASE WHEN nps_score < 0 OR nps_score > 10 THEN 'nps_score:range' END
   ] IF x IS NOT NULL] AS violations
-  FROM feed
+  FROM mart
 )"""
 
 
@@ -85,14 +72,11 @@ def src_csv(spark, folder):
     return read_accounts(spark, path, MART_SCHEMA).select(*MART_SCHEMA.names)
 
 
-@query(
-    "q_src_parquet",
-    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
-)
+@query("q_src_parquet", MART_CTE + f" SELECT {ALL_COLUMNS} FROM mart")
 def src_parquet(spark, folder):
-    return read_accounts(spark, f"{folder}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"
-    )
+    """An account batch in Parquet, read by the declared schema."""
+    path = write_accounts(account_mart(spark, folder), new_path(spark, "accounts") + ".parquet")
+    return read_accounts(spark, path, MART_SCHEMA)
 
 
 SCORED_COLUMNS = ["customer_id", "churn_probability", "churn_prediction", "risk_level"]
@@ -109,7 +93,7 @@ def sink_csv(spark, folder):
 def sink_parquet(spark, folder):
     scored = scored_mart(spark, folder).select(*SCORED_COLUMNS)
     path = write_accounts(scored, new_path(spark, "scored") + ".parquet")
-    return read_accounts(spark, path)
+    return read_accounts(spark, path, scored.schema)
 
 
 @query(
@@ -151,12 +135,12 @@ def proj_drop_intermediates(spark, folder):
 @query(
     "q_dq_contract_gate",
     MART_CTE
-    + RAW_FEED
+    + CHECKED
     + " SELECT customer_id, array_to_string(list_sort(violations), ',') AS violations,"
     + " len(violations) = 0 AS is_valid FROM checked",
 )
 def dq_contract_gate(spark, folder):
-    checked = with_violations(raw_feed(account_mart(spark, folder)), MART_CATEGORIES)
+    checked = with_violations(account_mart(spark, folder), SERVED_CATEGORIES)
     return checked.select(
         "customer_id",
         F.array_join(F.array_sort("violations"), ",").alias("violations"),
@@ -167,34 +151,36 @@ def dq_contract_gate(spark, folder):
 @query(
     "q_dq_violation_summary",
     MART_CTE
-    + RAW_FEED
+    + CHECKED
     + " SELECT code, count(*)::BIGINT AS n_rows FROM (SELECT unnest(violations) AS code"
     + " FROM checked) GROUP BY code",
 )
 def dq_violation_summary(spark, folder):
     return violation_summary(
-        with_violations(raw_feed(account_mart(spark, folder)), MART_CATEGORIES)
+        with_violations(account_mart(spark, folder), SERVED_CATEGORIES)
     )
 
 
 @query(
     "q_dq_empty_batch",
-    "SELECT r_name AS region, count(c_custkey)::BIGINT AS n_accounts,"
-    " count(c_custkey) > 0 AS is_accepted"
-    " FROM region LEFT JOIN nation ON n_regionkey = r_regionkey"
-    " LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY r_name",
+    MART_CTE
+    + " SELECT r_name AS region, count(customer_id)::BIGINT AS n_accounts, count(customer_id) > 0 AS is_accepted"
+    + " FROM region LEFT JOIN mart ON payment_method = r_name AND plan_tier = 'Enterprise'"
+    + " AND billing_cycle = 'Multi-Year' AND industry = 'BUILDING' GROUP BY r_name",
 )
 def dq_empty_batch(spark, folder):
-    """Which regional batches would be accepted (at least one account)."""
-    read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
-    return (
-        read("region")
-        .join(read("nation"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .join(read("customer"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .groupBy(F.col("r_name").alias("region"))
-        .agg(F.count("c_custkey").alias("n_accounts"))
-        .withColumn("is_accepted", F.col("n_accounts") > 0)
-    )
+    """A batch per region offered to the gate that refuses empty ones."""
+    mart = account_mart(spark, folder).where("plan_tier = 'Enterprise' AND billing_cycle = 'Multi-Year'")
+    offers = written(mart.where("industry = 'BUILDING'").select("customer_id", "payment_method"), "offers")
+    counts = {r[0]: r[1] for r in offers.groupBy("payment_method").count().collect()}  # one row per region
+    rows = []
+    for (region,) in table(spark, folder, "region").select("r_name").collect():
+        try:
+            require_rows(offers.where(F.col("payment_method") == region))
+            rows.append((region, counts[region], True))
+        except ValueError:
+            rows.append((region, 0, False))
+    return spark.createDataFrame(rows, "region string, n_accounts bigint, is_accepted boolean")
 
 
 @query(
@@ -213,13 +199,13 @@ def dq_default_id(spark, folder):
 
 @query(
     "q_join_quarantine_anti",
-    MART_CTE + RAW_FEED + " SELECT customer_id, plan_tier, nps_score FROM feed f WHERE NOT EXISTS"
+    MART_CTE + CHECKED + " SELECT customer_id, plan_tier, nps_score FROM mart f WHERE NOT EXISTS"
     " (SELECT 1 FROM checked c WHERE len(c.violations) > 0 AND c.customer_id = f.customer_id)",
 )
 def join_quarantine_anti(spark, folder):
-    """Feed without the accounts that sit in quarantine."""
-    feed = written(raw_feed(account_mart(spark, folder)), "feed")
-    _, rejected = split_by_contract(feed, MART_CATEGORIES)
+    """Accounts without those that sit in quarantine."""
+    feed = written(account_mart(spark, folder), "feed")
+    _, rejected = split_by_contract(feed, SERVED_CATEGORIES)
     return feed.join(rejected.select("customer_id"), "customer_id", "left_anti").select(
         "customer_id", "plan_tier", "nps_score"
     )

@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountrisk.functions.scoring import score_accounts
+from accountrisk.functions.scoring import rule_probability, score_accounts
 from accountrisk.operators import calibration as C
 from accountrisk.operators import importance as I
 from accountrisk.operators import training as T
+from accountrisk.operators import workflow as W
 from accountrisk.operators.splits import class_share_rank, train_test_split, with_folds
 from accountrisk.plans.catalog import query
 from accountrisk.plans.feature import mart_table
-from accountrisk.plans.sql import FOLD_CTE, split_cte
+from accountrisk.plans.sql import FOLD_CTE, MART_CTE, SCORED_CTE, split_cte
 from accountrisk.schema import CATEGORICAL_FEATURES, DEFAULT_THRESHOLD, NUMERIC_FEATURES
 from accountrisk.session import new_path, written
 from accountrisk.sources import registry as G
-from accountrisk.sources.mart import account_mart, table
+from accountrisk.sources.mart import EARLIER_SNAPSHOT, SNAPSHOT, account_mart, account_snapshots
+
 
 def label_table(spark, folder) -> DataFrame:
     """Ids and labels alone, which need no line items."""
@@ -60,64 +59,38 @@ def win_fold_assignment(spark, folder):
     )
 
 
-def document_rows(spark, folder) -> DataFrame:
-    """Labelled documents with a hash of the text as id, so exact copies stay on one side."""
-    documents = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
-    labels = table(spark, folder, "labels").select("doc_id", "quality")
-    words = F.split(F.lower(F.trim("text")), r"\s+")
-    return written(
-        documents.join(labels, "doc_id").select(
-            "doc_id",
-            F.xxhash64("text").alias("text_hash"),
-            F.col("quality").cast("int").alias("quality"),
-            F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
-            (F.size(F.array_distinct(words)) / F.size(words)).alias("distinct_share"),
-        ),
-        "documents",
-    )
-
-
-def document_model(kind: str, **params) -> Pipeline:
-    return Pipeline(
-        stages=[
-            T.BalancedWeights(inputCols=["quality"]),
-            VectorAssembler(inputCols=["log_chars", "distinct_share"], outputCol="features"),
-            T.make_classifier(kind, "quality", **params),
-        ]
-    )
+def churn_pipeline(kind: str, **params) -> Pipeline:
+    return T.make_pipeline(kind, NUMERIC_FEATURES, CATEGORICAL_FEATURES, **params)
 
 
-def _document_scores(spark, folder, kind, **params) -> DataFrame:
-    train, test = train_test_split(document_rows(spark, folder), "quality", "text_hash", 0.3)
-    model = document_model(kind, **params).fit(train)
+def _account_scores(spark, folder, kind) -> DataFrame:
+    """Held-out accounts scored by a model of all account features at its full settings."""
+    train, test = train_test_split(mart_table(spark, folder), "churn", "customer_id")
+    model = T.fit_pipeline(churn_pipeline(kind), train)
     return model.transform(test).select(
-        "doc_id", "quality", F.bround(vector_to_array("probability")[1], 6).alias("probability")
+        "customer_id", "churn", F.bround(vector_to_array("probability")[1], 6).alias("probability")
     )
 
 
 @query("q_ml_gbt")
 def ml_gbt(spark, folder):
-    return _document_scores(spark, folder, "gradient_boosting")
+    return _account_scores(spark, folder, "gradient_boosting")
 
 
 @query("q_ml_rf")
 def ml_rf(spark, folder):
-    return _document_scores(spark, folder, "random_forest")
+    return _account_scores(spark, folder, "random_forest")
 
 
 @query("q_ml_logreg")
 def ml_logreg(spark, folder):
-    return _document_scores(spark, folder, "logistic_regression")
-
-
-def churn_pipeline(kind: str, **params) -> Pipeline:
-    return T.make_pipeline(kind, NUMERIC_FEATURES, CATEGORICAL_FEATURES, **params)
+    return _account_scores(spark, folder, "logistic_regression")
 
 
 @query("q_ml_fit_plain")
 def ml_fit_plain(spark, folder):
     train, test = train_test_split(mart_table(spark, folder), "churn", "customer_id")
-    scored = churn_pipeline("random_forest").fit(train).transform(test)
+    scored = T.fit_pipeline(churn_pipeline("random_forest"), train).transform(test)
     return score_accounts(
         scored.select("customer_id", "churn", vector_to_array("probability")[1].alias("p")),
         F.col("p"),
@@ -125,8 +98,8 @@ def ml_fit_plain(spark, folder):
     ).drop("p")
 
 
-#: Candidates the search starts with: every point of the forest's grid, whatever the number of rows.
-CANDIDATES = math.prod(len(v) for v in T.SEARCH_SPACE["random_forest"].values())
+#: Random points of the forest's grid that the search starts with, whatever the number of rows.
+CANDIDATES = 6
 
 
 @query("q_ml_halving_search")
@@ -136,7 +109,7 @@ def ml_halving_search(spark, folder):
         mart_table(spark, folder), churn_pipeline("random_forest"), T.SEARCH_SPACE["random_forest"],
         min_rows=1000, folds=5, candidates=CANDIDATES,
     )
-    return spark.createDataFrame(history, "rung int, n_rows bigint, candidate string, auc double")
+    return spark.createDataFrame(history, "rung int, n_rows bigint, candidate string, metric double")
 
 
 def _comparison(spark, folder) -> DataFrame:
@@ -162,11 +135,10 @@ def argmax_champion(spark, folder):
     return T.champion(_comparison(spark, folder))
 
 
-def _calibrated(spark, folder, method, folds=5, digits=None):
+def _calibrated(spark, folder, method, folds=5):
     train, test = train_test_split(mart_table(spark, folder), "churn", "customer_id")
     model = C.fit_calibrated(
-        churn_pipeline("random_forest"), train, "churn", "customer_id", method, folds,
-        digits=digits,
+        churn_pipeline("random_forest"), train, "churn", "customer_id", method, folds
     )
     return model, test
 
@@ -187,22 +159,32 @@ def cal_sigmoid_cv(spark, folder):
     )
 
 
-@query("q_cal_pava_binned")
+@query(
+    "q_cal_pava_binned",
+    SCORED_CTE
+    + """, s AS (
+  SELECT round_even(p, 4) AS score, sum(churn)::DOUBLE AS hits, count(*)::DOUBLE AS weight FROM scored GROUP BY 1
+), o AS (
+  SELECT *, row_number() OVER w AS i, sum(hits) OVER w AS upto_hits, sum(weight) OVER w AS upto_weight
+  FROM s WINDOW w AS (ORDER BY score)
+), lows AS (
+  SELECT b.i, min((b.upto_hits - a.upto_hits + a.hits) / (b.upto_weight - a.upto_weight + a.weight))
+    OVER (PARTITION BY a.i ORDER BY b.i DESC) AS least
+  FROM o a JOIN o b ON a.i <= b.i
+)
+SELECT score, weight::BIGINT AS weight, round_even(max(least), 6) AS calibrated
+FROM o JOIN lows USING (i) GROUP BY score, weight""",
+)
 def cal_pava_binned(spark, folder):
-    """Isotonic steps of the rule scorecard's probability against churn, on grouped scores."""
-    from accountrisk.functions.scoring import rule_probability
-
+    """Isotonic fit of the rule scorecard's probability against churn at every grouped score."""
     scores = account_mart(spark, folder).select("churn", rule_probability().alias("p"))
-    model = C.fit_isotonic(scores, "churn", "p", digits=4)
-    steps = zip(model.boundaries.toArray(), model.predictions.toArray(), strict=True)
-    return spark.createDataFrame(
-        [(float(b), float(p)) for b, p in steps], "score double, calibrated double"
-    )
+    found = C.calibrated_scores(written(scores, "scores"), "churn", "p", digits=4)
+    return found.withColumn("calibrated", F.bround("calibrated", 6))
 
 
 def _forest_importance(spark, folder) -> DataFrame:
     train, test = train_test_split(mart_table(spark, folder), "churn", "customer_id")
-    model = churn_pipeline("random_forest").fit(train)
+    model = T.fit_pipeline(churn_pipeline("random_forest"), train)
     return I.permutation_importance(
         model, test, [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES], "churn", "customer_id", repeats=5
     )
@@ -218,20 +200,36 @@ def topk_features(spark, folder):
     return I.top_features(_forest_importance(spark, folder), 5)
 
 
-@query("q_join_permute")
+@query(
+    "q_join_permute",
+    MART_CTE
+    + """, hashed AS (
+  SELECT customer_id, monthly_recurring_revenue,
+    ('0x' || substr(md5('2:' || customer_id::VARCHAR), 1, 13))::BIGINT AS h FROM mart
+)
+SELECT customer_id, monthly_recurring_revenue,
+  coalesce(lead(monthly_recurring_revenue) OVER (ORDER BY h, customer_id),
+    first(monthly_recurring_revenue) OVER (ORDER BY h, customer_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS permuted
+FROM hashed""",
+)
 def join_permute(spark, folder):
-    """Each account beside the revenue it receives in one shuffle."""
-    mart = mart_table(spark, folder).select("customer_id", "monthly_recurring_revenue")
-    return I.with_permuted(mart, ["monthly_recurring_revenue"], "customer_id", 1).select(
+    """Each account beside the revenue it receives in one shuffle; one block holds the accounts here."""
+    mart = mart_table(spark, folder, "customer_id", "monthly_recurring_revenue")
+    return I.with_permuted(mart, ["monthly_recurring_revenue"], "customer_id", 1, seed=1, rows_per_block=10**9).select(
         "customer_id",
         "monthly_recurring_revenue",
         F.col("__permuted")[0]["monthly_recurring_revenue"].alias("permuted"),
     )
 
 
-@query("q_model_save_load")
+@query(
+    "q_model_save_load",
+    split_cte(42, [0.2]) + " SELECT customer_id, TRUE AS is_same FROM ranked WHERE passed = 0",
+)
 def model_save_load(spark, folder):
-    """Scores of a model that was saved, registered, found as latest and loaded back."""
+    """Held-out accounts and whether a model that was saved, registered, found as latest and loaded back scores them
+    as before."""
     model, test = _calibrated(spark, folder, "isotonic")
     root = new_path(spark, "models")
     G.save_model(
@@ -240,16 +238,20 @@ def model_save_load(spark, folder):
     )
     row = G.latest(spark, root, "account_risk")
     loaded = G.load_model(spark, row["path"], row["checksum"])
-    return loaded.transform(test).select(
-        "customer_id", F.bround("probability", 6).alias("probability")
-    )
+    before = model.transform(test).select("customer_id", F.col("probability").alias("p"))
+    after = loaded.transform(test).select("customer_id", "probability")
+    return before.join(after, "customer_id").select("customer_id", (F.col("p") == F.col("probability")).alias("is_same"))
 
 
-@query("q_model_checksum")
+@query(
+    "q_model_checksum",
+    "SELECT 'account_risk' AS model_name, '0.1.0' AS version, 'logistic_regression' AS algorithm,"
+    " count(*) > 0 AS checksum_matches FROM customer",
+)
 def model_checksum(spark, folder):
     """Registered checksum against the one computed from the files."""
     train = mart_table(spark, folder)
-    model = churn_pipeline("logistic_regression").fit(train)
+    model = T.fit_pipeline(churn_pipeline("logistic_regression"), train)
     root = new_path(spark, "models")
     row = G.save_model(
         model, spark, root, "account_risk", "0.1.0", "logistic_regression",
@@ -263,12 +265,13 @@ def model_checksum(spark, folder):
 
 @query("q_score_batch_model")
 def score_batch_model(spark, folder):
-    """Batch scoring by a fitted model over the full feature set."""
-    mart = mart_table(spark, folder)
-    model = T.make_pipeline(
-        "gradient_boosting", NUMERIC_FEATURES, CATEGORICAL_FEATURES
-    ).fit(mart)
-    scored = model.transform(mart)
-    return score_accounts(
-        scored.select(*mart.columns, vector_to_array("probability")[1].alias("p")), F.col("p")
-    ).select("customer_id", "churn_probability", "churn_prediction", "risk_level")
+    """Split, fit, compare, calibrate, choose the threshold, report and register, then score the accounts of a year ago
+    with the registered model at its threshold."""
+    both = written(account_snapshots(spark, folder, [EARLIER_SNAPSHOT, SNAPSHOT]), "snapshots")
+    now = both.where(F.col("snapshot") == SNAPSHOT).drop("snapshot")
+    root = new_path(spark, "models")
+    W.train_and_register(now, root, ("random_forest", "logistic_regression"), search=False)
+    earlier = both.where(F.col("snapshot") == EARLIER_SNAPSHOT).drop("snapshot")
+    return W.score_registered(spark, root, earlier).select(
+        "customer_id", "churn_probability", "churn_prediction", "decision_threshold", "risk_level"
+    )

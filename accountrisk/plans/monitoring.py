@@ -8,35 +8,24 @@ from pyspark.sql import functions as F
 from accountrisk.operators import drift as D
 from accountrisk.plans.catalog import query
 from accountrisk.plans.feature import mart_table
-from accountrisk.plans.sql import MART_CTE, category_unpivot, numeric_unpivot
-from accountrisk.schema import ACCOUNT_SCHEMA, CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from accountrisk.session import new_path
+from accountrisk.plans.sql import MART_CTE, TWO_MARTS_CTE, category_unpivot, numeric_unpivot
+from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from accountrisk.session import new_path, written
 from accountrisk.sources.accounts import append_report, load_baseline, save_baseline
-from accountrisk.sources.mart import account_mart, table
-
-SHIFTED = """, cur AS (
-  SELECT * REPLACE (CASE WHEN nps_score IS NOT NULL
-      THEN least(greatest(nps_score - 3e0, 0e0), 10e0) END AS nps_score,
-    invoice_delay_days * 2.2e0 AS invoice_delay_days,
-    support_tickets_count + 5 AS support_tickets_count,
-    monthly_recurring_revenue * 1.5e0 AS monthly_recurring_revenue,
-    'Enterprise' AS plan_tier) FROM mart
-)"""
-
-
-def shifted(mart: DataFrame) -> DataFrame:
-    return D.shifted_batch(mart, mrr_factor=1.5, plan="Enterprise")
+from accountrisk.sources.mart import EARLIER_SNAPSHOT, SNAPSHOT, account_mart, account_snapshots, table
 
+FEATURES = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
 
-def batches(spark, folder) -> tuple[DataFrame, DataFrame]:
-    mart = mart_table(spark, folder)
-    return mart, shifted(mart)
+def batches(spark, folder, columns) -> tuple[DataFrame, DataFrame]:
+    """The accounts of a year ago and those of now, from one pass over the source tables."""
+    days = [EARLIER_SNAPSHOT, SNAPSHOT]
+    rows = written(account_snapshots(spark, folder, days).select("snapshot", *columns), "snapshots")
+    return tuple(rows.where(F.col("snapshot") == day).drop("snapshot") for day in days)
 
 
 LONG = (
-    MART_CTE
-    + SHIFTED
-    + f", r AS ({numeric_unpivot('mart')}), c AS ({numeric_unpivot('cur')})"
+    TWO_MARTS_CTE
+    + f", r AS ({numeric_unpivot('earlier')}), c AS ({numeric_unpivot('mart')})"
     + ", tagged AS (SELECT *, 1 AS is_ref FROM r UNION ALL SELECT *, 0 FROM c)"
 )
 
@@ -83,20 +72,34 @@ def ks_sql(tagged: str = "tagged") -> str:
 ), dist AS (
   SELECT feature, max(abs(f_ref - f_cur)) AS d,
     coalesce(sum(abs(f_ref - f_cur) * (next_value - value)), 0e0) AS w,
+    max(all_ref)::BIGINT AS n, max(all_cur)::BIGINT AS m,
     max(all_ref) * max(all_cur) / (max(all_ref) + max(all_cur)) AS en
   FROM ecdf GROUP BY feature
+), walk AS (
+  SELECT feature, n, m, h, b, 0::BIGINT AS k, 0::BIGINT AS c,
+    [CASE WHEN t = b THEN 1e0 ELSE 0e0 END FOR t IN range(2 * b + 1)] AS p
+  FROM (SELECT feature, n, m, h, h // (n + m) + 2 AS b
+    FROM (SELECT *, round(d * n * m)::BIGINT AS h FROM dist) WHERE h > 0 AND greatest(n, m) <= {D.EXACT_ROWS})
+  UNION ALL
+  SELECT feature, n, m, h, b, k + 1, (k + 1) * n // (n + m),
+    [CASE WHEN i < 0 OR i > n OR k + 1 - i < 0 OR k + 1 - i > m OR abs(i * m - (k + 1 - i) * n) >= h THEN 0e0
+      ELSE (coalesce(p[i - 1 - c + b + 1], 0e0) * i + coalesce(p[i - c + b + 1], 0e0) * (k + 1 - i)) / (k + 1) END
+     FOR i IN range((k + 1) * n // (n + m) - b, (k + 1) * n // (n + m) + b + 1)]
+  FROM walk WHERE k < n + m
+), exact AS (
+  SELECT feature, least(greatest(1e0 - p[b + 1], 0e0), 1e0) AS exact_p FROM walk WHERE k = n + m
 ), ks AS (
-  SELECT feature, d, w, CASE WHEN x < 0.2e0 THEN 1e0 ELSE least(greatest(2e0 * list_sum(
+  SELECT feature, d, w, CASE WHEN exact_p IS NOT NULL THEN exact_p
+    WHEN greatest(n, m) <= {D.EXACT_ROWS} OR x < 0.2e0 THEN 1e0 ELSE least(greatest(2e0 * list_sum(
       [CASE WHEN j % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2e0 * j * j * x * x)
        FOR j IN range(1, 101)]), 0e0), 1e0) END AS pvalue
-  FROM (SELECT *, (sqrt(en) + 0.12e0 + 0.11e0 / sqrt(en)) * d AS x FROM dist)
+  FROM (SELECT *, (sqrt(en) + 0.12e0 + 0.11e0 / sqrt(en)) * d AS x FROM dist) LEFT JOIN exact USING (feature)
 )"""
 
 
 CATEGORIES = (
-    MART_CTE
-    + SHIFTED
-    + f", cr AS ({category_unpivot('mart')}), cc AS ({category_unpivot('cur')})"
+    TWO_MARTS_CTE
+    + f", cr AS ({category_unpivot('earlier')}), cc AS ({category_unpivot('mart')})"
     + ", ctagged AS (SELECT *, 1 AS is_ref FROM cr UNION ALL SELECT *, 0 FROM cc)"
 )
 
@@ -114,9 +117,20 @@ def category_psi_sql(tagged: str = "ctagged") -> str:
 )"""
 
 
-@query("q_drift_scenario", MART_CTE + SHIFTED + f" SELECT {', '.join(ACCOUNT_SCHEMA.names)} FROM cur")
+@query(
+    "q_drift_scenario",
+    MART_CTE
+    + ", enterprise AS (SELECT * FROM mart WHERE plan_tier = 'Enterprise')"
+    + f", r AS ({numeric_unpivot('mart')}), c AS ({numeric_unpivot('enterprise')})"
+    + ", tagged AS (SELECT *, 1 AS is_ref FROM r UNION ALL SELECT *, 0 FROM c)"
+    + psi_sql()
+    + " SELECT feature, round_even(psi, 6) AS psi FROM psi",
+)
 def drift_scenario(spark, folder):
-    return shifted(account_mart(spark, folder))
+    """What the audit would say of a portfolio that kept its Enterprise accounts only."""
+    mart = mart_table(spark, folder, "plan_tier", *NUMERIC_FEATURES)
+    psi = D.psi_numeric(mart, mart.where("plan_tier = 'Enterprise'"), NUMERIC_FEATURES)
+    return psi.withColumn("psi", F.bround("psi", 6))
 
 
 PROFILE_SQL = (
@@ -134,7 +148,7 @@ PROFILE_SQL = (
 
 @query("q_agg_baseline_numeric", PROFILE_SQL)
 def agg_baseline_numeric(spark, folder):
-    profile = D.numeric_profile(mart_table(spark, folder), NUMERIC_FEATURES)
+    profile = D.numeric_profile(mart_table(spark, folder, *NUMERIC_FEATURES), NUMERIC_FEATURES)
     return profile.withColumns(
         {c: F.bround(c, 4) for c in profile.columns if c != "feature"}
     )
@@ -168,7 +182,7 @@ def agg_baseline_categorical(spark, folder):
 )
 def agg_baseline_summary(spark, folder):
     """Header count on both profile tables, one row per feature."""
-    mart = mart_table(spark, folder)
+    mart = mart_table(spark, folder, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
     numbers = D.numeric_profile(mart, NUMERIC_FEATURES).select(
         "feature",
         F.lit("numeric").alias("feature_type"),
@@ -196,7 +210,7 @@ def agg_baseline_summary(spark, folder):
 
 @query("q_drift_psi_numeric", LONG + psi_sql() + " SELECT feature, round_even(psi, 6) AS psi FROM psi")
 def drift_psi_numeric(spark, folder):
-    psi = D.psi_numeric(*batches(spark, folder), NUMERIC_FEATURES)
+    psi = D.psi_numeric(*batches(spark, folder, NUMERIC_FEATURES), NUMERIC_FEATURES)
     return psi.withColumn("psi", F.bround("psi", 6))
 
 
@@ -205,27 +219,27 @@ def drift_psi_numeric(spark, folder):
     CATEGORIES + category_psi_sql() + " SELECT feature, round_even(psi, 6) AS psi FROM cpsi",
 )
 def drift_psi_categorical(spark, folder):
-    psi = D.psi_categorical(*batches(spark, folder), CATEGORICAL_FEATURES)
+    psi = D.psi_categorical(*batches(spark, folder, CATEGORICAL_FEATURES), CATEGORICAL_FEATURES)
     return psi.withColumn("psi", F.bround("psi", 6))
 
 
 @query("q_drift_ks_stat", LONG + ks_sql() + " SELECT feature, round_even(d, 6) AS ks_statistic FROM ks")
 def drift_ks_stat(spark, folder):
-    return D.distribution_distances(*batches(spark, folder), NUMERIC_FEATURES).select(
+    return D.distribution_distances(*batches(spark, folder, NUMERIC_FEATURES), NUMERIC_FEATURES).select(
         "feature", F.bround("ks_statistic", 6).alias("ks_statistic")
     )
 
 
 @query("q_drift_ks_pvalue", LONG + ks_sql() + " SELECT feature, round_even(pvalue, 6) AS ks_pvalue FROM ks")
 def drift_ks_pvalue(spark, folder):
-    return D.distribution_distances(*batches(spark, folder), NUMERIC_FEATURES).select(
+    return D.distribution_distances(*batches(spark, folder, NUMERIC_FEATURES), NUMERIC_FEATURES).select(
         "feature", F.bround("ks_pvalue", 6).alias("ks_pvalue")
     )
 
 
 @query("q_drift_wasserstein", LONG + ks_sql() + " SELECT feature, round_even(w, 4) AS wasserstein FROM ks")
 def drift_wasserstein(spark, folder):
-    return D.distribution_distances(*batches(spark, folder), NUMERIC_FEATURES).select(
+    return D.distribution_distances(*batches(spark, folder, NUMERIC_FEATURES), NUMERIC_FEATURES).select(
         "feature", F.bround("wasserstein", 4).alias("wasserstein")
     )
 
@@ -237,14 +251,14 @@ def drift_wasserstein(spark, folder):
     + " SELECT feature, value, round_even(f_ref, 6) AS f_ref, round_even(f_cur, 6) AS f_cur FROM ecdf",
 )
 def win_cumulative_ecdf(spark, folder):
-    return D.ecdf(*batches(spark, folder), NUMERIC_FEATURES).select(
+    return D.ecdf(*batches(spark, folder, NUMERIC_FEATURES), NUMERIC_FEATURES).select(
         "feature", "value", F.bround("f_ref", 6).alias("f_ref"), F.bround("f_cur", 6).alias("f_cur")
     )
 
 
 VERDICTS = (
     CATEGORIES
-    + f", r AS ({numeric_unpivot('mart')}), c AS ({numeric_unpivot('cur')})"
+    + f", r AS ({numeric_unpivot('earlier')}), c AS ({numeric_unpivot('mart')})"
     + ", tagged AS (SELECT *, 1 AS is_ref FROM r UNION ALL SELECT *, 0 FROM c)"
     + psi_sql()
     + ks_sql()
@@ -264,9 +278,15 @@ VERDICTS = (
 )
 
 
+SIZES = (
+    ", n AS (SELECT (SELECT count(*) FROM earlier)::BIGINT AS n_earlier,"
+    " (SELECT count(*) FROM mart)::BIGINT AS n_now)"
+)
+
+
 @query("q_drift_feature_verdict", VERDICTS + " SELECT * FROM verdicts")
 def drift_feature_verdict(spark, folder):
-    return D.feature_report(*batches(spark, folder), NUMERIC_FEATURES, CATEGORICAL_FEATURES)
+    return D.feature_report(*batches(spark, folder, FEATURES), NUMERIC_FEATURES, CATEGORICAL_FEATURES)
 
 
 @query(
@@ -286,14 +306,14 @@ def drift_dataset_verdict(spark, folder):
 @query(
     "q_drift_report",
     VERDICTS
-    + ", n AS (SELECT count(*)::BIGINT AS n_rows FROM mart)"
-    + " SELECT n_rows AS n_reference_samples, n_rows AS n_current_samples,"
+    + SIZES
+    + " SELECT n_earlier AS n_reference_samples, n_now AS n_current_samples,"
     + " count(*) FILTER (WHERE has_drift) OVER () >= 2 AS is_dataset_drifted,"
     + " feature, psi, ks_statistic, ks_pvalue, drift_level, has_drift FROM verdicts, n",
 )
 def drift_report(spark, folder):
     """The one-row report with its feature metrics spread into rows."""
-    report = D.drift_report(*batches(spark, folder), NUMERIC_FEATURES, CATEGORICAL_FEATURES)
+    report = D.drift_report(*batches(spark, folder, FEATURES), NUMERIC_FEATURES, CATEGORICAL_FEATURES)
     flat = report.select(
         "n_reference_samples", "n_current_samples", "is_dataset_drifted",
         F.inline("feature_metrics"),
@@ -301,13 +321,27 @@ def drift_report(spark, folder):
     return flat.drop("feature_type")
 
 
-@query("q_drift_from_baseline", LONG + psi_sql() + " SELECT feature, round_even(psi, 6) AS psi FROM psi")
+@query(
+    "q_drift_from_baseline",
+    CATEGORIES
+    + f", r AS ({numeric_unpivot('earlier')}), c AS ({numeric_unpivot('mart')})"
+    + ", tagged AS (SELECT *, 1 AS is_ref FROM r UNION ALL SELECT *, 0 FROM c)"
+    + psi_sql()
+    + category_psi_sql()
+    + " SELECT feature, round_even(psi, 6) AS psi FROM psi"
+    + " UNION ALL SELECT feature, round_even(psi, 6) FROM cpsi",
+)
 def drift_from_baseline(spark, folder):
-    """Bins stored from the reference, read back, then one pass over the current batch."""
-    mart = mart_table(spark, folder)
-    path = save_baseline(D.baseline_bins(mart, NUMERIC_FEATURES), None, new_path(spark, "baseline"))
-    stored = load_baseline(spark, path, "numeric")
-    return D.psi_from_baseline(stored, shifted(mart)).withColumn("psi", F.bround("psi", 6))
+    """Bins and category counts stored from last year's accounts, read back, then one pass each over this year's."""
+    earlier, now = batches(spark, folder, FEATURES)
+    path = save_baseline(
+        D.baseline_bins(earlier, NUMERIC_FEATURES),
+        D.categorical_profile(earlier, CATEGORICAL_FEATURES),
+        new_path(spark, "baseline"),
+    )
+    numbers = D.psi_from_baseline(load_baseline(spark, path, "numeric"), now)
+    groups = D.categorical_psi_from_baseline(load_baseline(spark, path, "categorical"), now)
+    return numbers.unionByName(groups).withColumn("psi", F.bround("psi", 6))
 
 
 @query(
@@ -327,14 +361,14 @@ def sink_baseline(spark, folder):
 @query(
     "q_sink_json_report",
     VERDICTS
-    + ", n AS (SELECT count(*)::BIGINT AS n_rows FROM mart)"
-    + " SELECT max(n_rows) AS n_reference_samples, max(n_rows) AS n_current_samples,"
+    + SIZES
+    + " SELECT max(n_earlier) AS n_reference_samples, max(n_now) AS n_current_samples,"
     + " (count(*) FILTER (WHERE has_drift))::INTEGER AS drifted_features_count,"
     + " count(*)::INTEGER AS total_features_evaluated,"
     + " count(*) FILTER (WHERE has_drift) >= 2 AS is_dataset_drifted FROM verdicts, n",
 )
 def sink_json_report(spark, folder):
-    report = D.drift_report(*batches(spark, folder), NUMERIC_FEATURES, CATEGORICAL_FEATURES)
+    report = D.drift_report(*batches(spark, folder, FEATURES), NUMERIC_FEATURES, CATEGORICAL_FEATURES)
     path = append_report(report, new_path(spark, "drift-reports"))
     return spark.read.schema(report.schema).json(path).select(
         "n_reference_samples", "n_current_samples", "drifted_features_count",
@@ -342,7 +376,7 @@ def sink_json_report(spark, folder):
     )
 
 
-EVENT_HALVES = """WITH e AS (
+EVENT_HALVES = """WITH RECURSIVE e AS (
   SELECT *, (ts < TIMESTAMP '2024-01-16')::INTEGER AS is_ref FROM events
 ), tagged AS (SELECT 'value' AS feature, value, is_ref FROM e WHERE value IS NOT NULL
 ), ctagged AS (SELECT 'event_type' AS feature, event_type AS category, is_ref FROM e
@@ -386,7 +420,7 @@ def drift_events(spark, folder):
     + " AS mrr_bin FROM mart, e",
 )
 def join_value_to_bin(spark, folder):
-    mart = mart_table(spark, folder)
+    mart = mart_table(spark, folder, "customer_id", "monthly_recurring_revenue")
     edges = D.bin_edges(mart, ["monthly_recurring_revenue"])["monthly_recurring_revenue"]
     return mart.select(
         "customer_id", D.value_bin("monthly_recurring_revenue", edges).alias("mrr_bin")
@@ -400,7 +434,7 @@ def join_value_to_bin(spark, folder):
     + " FROM ctagged GROUP BY feature, category",
 )
 def join_category_union(spark, folder):
-    return D.category_counts(*batches(spark, folder), CATEGORICAL_FEATURES)
+    return D.category_counts(*batches(spark, folder, CATEGORICAL_FEATURES), CATEGORICAL_FEATURES)
 
 
 PRIORITIES = """WITH early AS (SELECT o_orderpriority AS category, o_custkey FROM orders

@@ -3,27 +3,27 @@
 from __future__ import annotations
 
 from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from accountrisk.sources.mart import SNAPSHOT
+from accountrisk.sources.mart import EARLIER_SNAPSHOT, SNAPSHOT
 
-ORDER_FACTS = f"""order_facts AS (
+def mart_ctes(snapshot: str = SNAPSHOT, name: str = "mart") -> str:
+    """CTEs that end in the account table ``name`` of a snapshot."""
+    return f"""{name}_orders AS (
   SELECT o_custkey,
-    count(*) FILTER (WHERE o_orderdate < TIMESTAMP '{SNAPSHOT}') AS n_orders,
-    count(*) FILTER (WHERE o_orderdate < TIMESTAMP '{SNAPSHOT}'
+    count(*) FILTER (WHERE o_orderdate < TIMESTAMP '{snapshot}') AS n_orders,
+    count(*) FILTER (WHERE o_orderdate < TIMESTAMP '{snapshot}'
       AND o_orderpriority IN ('1-URGENT', '2-HIGH')) AS n_urgent,
-    min(o_orderdate) FILTER (WHERE o_orderdate < TIMESTAMP '{SNAPSHOT}') AS first_order,
-    count(*) FILTER (WHERE o_orderdate < TIMESTAMP '{SNAPSHOT}'
-      AND o_orderdate >= TIMESTAMP '{SNAPSHOT}' - INTERVAL 6 MONTH) AS n_recent,
-    count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '{SNAPSHOT}') AS n_future
+    min(o_orderdate) FILTER (WHERE o_orderdate < TIMESTAMP '{snapshot}') AS first_order,
+    count(*) FILTER (WHERE o_orderdate < TIMESTAMP '{snapshot}'
+      AND o_orderdate >= TIMESTAMP '{snapshot}' - INTERVAL 6 MONTH) AS n_recent,
+    count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '{snapshot}') AS n_future
   FROM orders GROUP BY o_custkey
-), """
-
-LINE_FACTS = f"""line_rows AS (
+), {name}_lines AS (
   SELECT o.o_custkey, l.*, p.p_brand,
-    o.o_orderdate >= TIMESTAMP '{SNAPSHOT}' - INTERVAL 12 MONTH AS is_recent
+    o.o_orderdate >= TIMESTAMP '{snapshot}' - INTERVAL 12 MONTH AS is_recent
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE o.o_orderdate < TIMESTAMP '{SNAPSHOT}'
-), line_facts AS (
+  WHERE o.o_orderdate < TIMESTAMP '{snapshot}'
+), {name}_facts AS (
   SELECT o_custkey, count(*) AS n_lines,
     count(*) FILTER (WHERE is_recent) AS n_lines_recent,
     round(sum(l_quantity), 4) AS quantity,
@@ -34,19 +34,17 @@ LINE_FACTS = f"""line_rows AS (
     count(*) FILTER (WHERE l_returnflag = 'R' AND l_linestatus = 'O') AS n_returned_open,
     count(*) FILTER (WHERE l_returnflag = 'R' AND is_recent) AS n_returned_recent,
     count(DISTINCT p_brand) AS n_brands
-  FROM line_rows GROUP BY o_custkey
-), """
-
-MART = f"""mart0 AS (
+  FROM {name}_lines GROUP BY o_custkey
+), {name}_joined AS (
   SELECT o.*, l.* EXCLUDE (o_custkey), c.*, r.r_name,
-    greatest((year(TIMESTAMP '{SNAPSHOT}') - year(first_order)) * 12
-      + month(TIMESTAMP '{SNAPSHOT}') - month(first_order), 1)::INTEGER AS months
-  FROM order_facts o LEFT JOIN line_facts l USING (o_custkey)
+    greatest((year(TIMESTAMP '{snapshot}') - year(first_order)) * 12
+      + month(TIMESTAMP '{snapshot}') - month(first_order), 1)::INTEGER AS months
+  FROM {name}_orders o LEFT JOIN {name}_facts l USING (o_custkey)
   JOIN customer c ON c.c_custkey = o.o_custkey
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
   LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
   WHERE o.n_orders > 0
-), mart AS (
+), {name} AS (
   SELECT c_custkey AS customer_id, c_mktsegment AS industry,
     CASE WHEN n_orders <= 5 THEN '1-10' WHEN n_orders <= 7 THEN '11-50'
       WHEN n_orders <= 9 THEN '51-200' WHEN n_orders <= 12 THEN '201-1000'
@@ -70,10 +68,12 @@ MART = f"""mart0 AS (
       THEN 10e0 * (1e0 - n_returned_recent::DOUBLE / n_lines_recent) END AS nps_score,
     CASE WHEN c_acctbal < 0 THEN -c_acctbal / 20e0 ELSE 0e0 END AS invoice_delay_days,
     (n_future = 0)::INTEGER AS churn
-  FROM mart0
+  FROM {name}_joined
 )"""
 
-MART_CTE = "WITH " + ORDER_FACTS + LINE_FACTS + MART
+MART_CTE = "WITH RECURSIVE " + mart_ctes()
+#: Both batches of the drift audits: ``earlier`` and ``mart``.
+TWO_MARTS_CTE = MART_CTE + ", " + mart_ctes(EARLIER_SNAPSHOT, "earlier")
 
 # Rule scorecard, term by term in the order of the Spark expression.
 SCORED = """, odds AS (

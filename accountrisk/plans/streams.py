@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from accountrisk.operators import drift as D
 from accountrisk.plans.catalog import query
-from accountrisk.plans.intake import RAW_FEED, raw_feed
+from accountrisk.plans.intake import CHECKED
 from accountrisk.plans.sql import MART_CTE, SCORED
 from accountrisk.session import new_path, written
-from accountrisk.sources.mart import MART_CATEGORIES, account_mart, table
+from accountrisk.sources.mart import SERVED_CATEGORIES, account_mart, table
 from accountrisk.streaming import accounts as A
 from accountrisk.streaming import events as E
 
@@ -30,25 +30,21 @@ def as_text(df: DataFrame, *names: str) -> DataFrame:
 @query(
     "q_stream_gate_score",
     MART_CTE
-    + RAW_FEED
+    + CHECKED
     + SCORED.replace("FROM mart", "FROM checked WHERE len(violations) = 0")
     + " SELECT customer_id::VARCHAR AS customer_id, 'scored' AS sink, churn_probability, risk_level"
     + " FROM scored UNION ALL SELECT customer_id::VARCHAR, 'quarantine', NULL, NULL FROM checked"
     + " WHERE len(violations) > 0",
 )
 def stream_gate_score(spark, folder):
-    arrived = written(raw_feed(account_mart(spark, folder)), "arrived")
+    arrived = written(account_mart(spark, folder), "arrived")
     out = new_path(spark, "account-stream")
     (path,) = {f.rsplit("/", 1)[0] for f in arrived.inputFiles()}
     stream = A.account_stream(spark, path, arrived.schema)
-    A.gate_and_score(stream, out, MART_CATEGORIES).awaitTermination()
-    scored = spark.read.parquet(f"{out}/scored").select(
-        "customer_id", F.lit("scored").alias("sink"), "churn_probability", "risk_level"
-    )
-    rejected = spark.read.parquet(f"{out}/quarantine").select(
-        "customer_id", F.lit("quarantine").alias("sink")
-    )
-    return scored.unionByName(rejected, allowMissingColumns=True)
+    A.gate_and_score(stream, out, SERVED_CATEGORIES).awaitTermination()
+    schema = A.routed(stream, SERVED_CATEGORIES).schema
+    sinks = [A.sink_rows(spark, out, name, schema) for name in ("scored", "quarantine")]
+    return sinks[0].union(sinks[1]).select("customer_id", "sink", "churn_probability", "risk_level")
 
 
 @query(
@@ -119,19 +115,26 @@ def stream_session_activity(spark, folder):
 @query(
     "q_stream_late_drop",
     f"""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS day,
-  count(*)::BIGINT AS n_events FROM events WHERE ts >= TIMESTAMP '2024-01-16'
+  count(*)::BIGINT AS n_events,
+  (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-16' AND ts < {CLOSED})::BIGINT AS n_dropped
+FROM events WHERE ts >= TIMESTAMP '2024-01-16'
 GROUP BY date_trunc('day', ts)
 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= {CLOSED}""",
 )
 def stream_late_drop(spark, folder):
-    """The second half of the month arrives first; the first half then comes too late."""
+    """The second half of the month arrives first; the first half then comes too late and is counted as dropped."""
     events = table(spark, folder, "events").select(*E.EVENT_SCHEMA.names)
     middle = F.lit("2024-01-16").cast("timestamp_ntz")
     inbox, out = new_path(spark, "inbox"), new_path(spark, "late")
+    dropped = 0
     for part in (F.col("ts") >= middle, F.col("ts") < middle):
         events.where(part).write.mode("append").parquet(inbox)
-        result = finished(E.daily_counts(E.event_stream(spark, inbox)), out)
-    return as_text(result, "day")
+        stream = E.daily_counts(E.event_stream(spark, inbox))
+        query_ = E.append_to(stream, out)
+        query_.awaitTermination()
+        dropped += E.late_rows(query_)
+    result = spark.read.schema(stream.schema).parquet(f"{out}/data")
+    return as_text(result, "day").withColumn("n_dropped", F.lit(dropped).cast("bigint"))
 
 
 @query(

@@ -33,8 +33,11 @@ def read_accounts_csv(
     return nan_to_null(df)
 
 
-def read_accounts_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return nan_to_null(spark.read.parquet(path))
+def read_accounts_parquet(
+    spark: SparkSession, path: str, schema: T.StructType = ACCOUNT_SCHEMA
+) -> DataFrame:
+    """Parquet by a declared schema: columns the files lack are null, others are not read."""
+    return nan_to_null(spark.read.schema(schema).parquet(path))
 
 
 def read_accounts(
@@ -42,7 +45,7 @@ def read_accounts(
 ) -> DataFrame:
     """Pick the reader by suffix: ``.parquet`` is Parquet, everything else CSV."""
     if path.rstrip("/").endswith(".parquet"):
-        return read_accounts_parquet(spark, path)
+        return read_accounts_parquet(spark, path, schema)
     return read_accounts_csv(spark, path, schema)
 
 

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SNAPSHOT = "2000-08-01"
+#: The year before: the reference batch of drift audits.
+EARLIER_SNAPSHOT = "1999-08-01"
 
 # Categories this mart can hold; passed to the contract in place of the default sets.
 MART_CATEGORIES = {
     "industry": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
     "payment_method": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
 }
+#: The contract of a seller to four segments in four regions, which refuses the mart's other accounts.
+SERVED_CATEGORIES = {
+    "industry": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"],
+    "payment_method": ["AFRICA", "AMERICA", "ASIA", "EUROPE"],
+}
 
 # Declared schemas: no job is spent on reading file footers, and a drifting file fails early.
 TABLE_SCHEMAS = {
@@ -42,87 +51,111 @@ def expressions(**columns: str) -> list:
     return [F.expr(f"{text} AS {name}") for name, text in columns.items()]
 
 
-def order_facts(orders: DataFrame, snapshot: str) -> DataFrame:
-    """Orders read once: history, recency and the label's count in one conditional aggregate."""
-    day = f"TIMESTAMP_NTZ '{snapshot}'"
+def brand_numbers(part: DataFrame) -> DataFrame:
+    """Brands numbered from 0; as many rows as there are brands."""
+    brands = part.select("p_brand").where("p_brand IS NOT NULL").distinct()
+    return brands.select("p_brand", (F.row_number().over(Window.orderBy("p_brand")) - 1).alias("brand_no"))
+
+
+def line_facts(lines: DataFrame, part: DataFrame, words: int) -> DataFrame:
+    """Line aggregates per order, before lines meet their orders.
+
+    The set of an order's brands is a bit per brand in ``words`` 64-bit numbers, so sets of orders merge by OR and no
+    row is kept per (order, brand).
+    """
+    numbered = part.select("p_partkey", "p_brand").join(brand_numbers(part), "p_brand", "left").drop("p_brand")
+    brands = {
+        f"brands_{w}": f"bit_or(CASE WHEN brand_no DIV 64 = {w} THEN shiftleft(1L, CAST(brand_no % 64 AS INT)) END)"
+        for w in range(words)
+    }
     return (
-        orders.groupBy("o_custkey")
+        lines.join(numbered, F.expr("l_partkey = p_partkey"), "left")
+        .groupBy("l_orderkey")
         .agg(
             *expressions(
-                n_orders=f"count_if(o_orderdate < {day})",
-                n_urgent=f"count_if(o_orderdate < {day}"
-                " AND o_orderpriority IN ('1-URGENT', '2-HIGH'))",
-                first_order=f"min(o_orderdate) FILTER (WHERE o_orderdate < {day})",
-                n_recent=f"count_if(o_orderdate < {day}"
-                f" AND o_orderdate >= {day} - INTERVAL 6 MONTHS)",
-                n_future=f"count_if(o_orderdate >= {day})",
+                n_lines="count(*)",
+                quantity="sum(l_quantity)",
+                revenue="sum(l_extendedprice * (1D - l_discount))",
+                tax="sum(l_tax)",
+                n_returned="count_if(l_returnflag = 'R')",
+                n_returned_open="count_if(l_returnflag = 'R' AND l_linestatus = 'O')",
+                **brands,
             )
         )
-        .where("n_orders > 0")
     )
 
 
-def line_facts(lines: DataFrame, orders: DataFrame, part: DataFrame, snapshot: str) -> DataFrame:
-    """Line aggregates per customer.
+def account_facts(orders: DataFrame, per_order: DataFrame, snapshots: Sequence[str], words: int) -> DataFrame:
+    """History, recency, lines and the label's count per customer and snapshot, in one conditional aggregate over one
+    scan of the orders.
 
     Floating sums are rounded to their exact scale before any division, which makes them independent
     of the order of addition.
     """
-    day = f"TIMESTAMP_NTZ '{snapshot}'"
-    history = orders.where(f"o_orderdate < {day}").selectExpr(
-        "o_orderkey", "o_custkey", f"o_orderdate >= {day} - INTERVAL 12 MONTHS AS is_recent"
-    )
+    days = [F.expr(f"TIMESTAMP_NTZ '{s}'") for s in snapshots]
+    day = days[0] if len(days) == 1 else F.explode(F.array(*days))
+    history = "(WHERE o_orderdate < day)"
+    recent = "(WHERE o_orderdate < day AND o_orderdate >= day - INTERVAL 12 MONTHS)"
+    wanted = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
     return (
-        lines.join(history, F.expr("l_orderkey = o_orderkey"))
-        .join(part.select("p_partkey", "p_brand"), F.expr("l_partkey = p_partkey"), "left")
-        .groupBy("o_custkey")
+        orders.select(*wanted)
+        .join(per_order, F.expr("l_orderkey = o_orderkey"), "left")
+        .select("*", day.alias("day"))
+        .groupBy("o_custkey", "day")
         .agg(
             *expressions(
-                n_lines="count(*)",
-                n_lines_recent="count_if(is_recent)",
-                quantity="round(sum(l_quantity), 4)",
-                quantity_recent="round(sum(CASE WHEN is_recent THEN l_quantity END), 4)",
-                revenue="round(sum(l_extendedprice * (1D - l_discount)), 4)",
-                tax="round(sum(l_tax), 4)",
-                n_returned="count_if(l_returnflag = 'R')",
-                n_returned_open="count_if(l_returnflag = 'R' AND l_linestatus = 'O')",
-                n_returned_recent="count_if(l_returnflag = 'R' AND is_recent)",
-                n_brands="count(DISTINCT p_brand)",
+                n_orders="count_if(o_orderdate < day)",
+                n_urgent="count_if(o_orderdate < day AND o_orderpriority IN ('1-URGENT', '2-HIGH'))",
+                first_order=f"min(o_orderdate) FILTER {history}",
+                n_recent="count_if(o_orderdate < day AND o_orderdate >= day - INTERVAL 6 MONTHS)",
+                n_future="count_if(o_orderdate >= day)",
+                n_lines=f"sum(n_lines) FILTER {history}",
+                n_lines_recent=f"sum(n_lines) FILTER {recent}",
+                quantity=f"round(sum(quantity) FILTER {history}, 4)",
+                quantity_recent=f"round(sum(quantity) FILTER {recent}, 4)",
+                revenue=f"round(sum(revenue) FILTER {history}, 4)",
+                tax=f"round(sum(tax) FILTER {history}, 4)",
+                n_returned=f"sum(n_returned) FILTER {history}",
+                n_returned_open=f"sum(n_returned_open) FILTER {history}",
+                n_returned_recent=f"sum(n_returned) FILTER {recent}",
+                n_brands=" + ".join(f"bit_count(coalesce(bit_or(brands_{w}) FILTER {history}, 0L))" for w in range(words)),
             )
         )
+        .where("n_orders > 0")
     )
 
 
 def account_mart(spark: SparkSession, folder: str, snapshot: str = SNAPSHOT) -> DataFrame:
-    """One row per customer with order history before ``snapshot``.
+    """One row per customer with order history before ``snapshot``."""
+    return account_snapshots(spark, folder, [snapshot]).drop("snapshot")
 
-    Lines meet their order and part by equi-joins whose strategy Spark picks by size; both aggregates
-    end hash-partitioned by customer, so joining them moves only the customer table.
+
+def account_snapshots(spark: SparkSession, folder: str, snapshots: Sequence[str]) -> DataFrame:
+    """One row per customer and snapshot with order history before it; ``snapshot`` is the date as text.
+
+    Every table is scanned once, whatever the number of snapshots. Lines shrink to their orders before they meet
+    them; joins are equi-joins whose strategy Spark picks by size.
     """
-    orders = table(spark, folder, "orders")
+    part = table(spark, folder, "part")
+    words = max(1, -(-part.select("p_brand").distinct().count() // 64))
+    facts = account_facts(
+        table(spark, folder, "orders"), line_facts(table(spark, folder, "lineitem"), part, words), snapshots, words
+    )
     geography = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.expr("n_regionkey = r_regionkey")
     )
     customer = table(spark, folder, "customer").join(
         geography.select("n_nationkey", "r_name"), F.expr("c_nationkey = n_nationkey"), "left"
     )
-    facts = order_facts(orders, snapshot).join(
-        line_facts(
-            table(spark, folder, "lineitem"), orders, table(spark, folder, "part"), snapshot
-        ),
-        "o_custkey",
-        "left",
-    )
-    day = f"DATE '{snapshot}'"
     joined = facts.join(customer, F.expr("o_custkey = c_custkey")).withColumn(
         "months",
         F.expr(
-            f"greatest((year({day}) - year(first_order)) * 12"
-            f" + month({day}) - month(first_order), 1)"
+            "greatest((year(day) - year(first_order)) * 12 + month(day) - month(first_order), 1)"
         ),
     )
     return joined.select(
         *expressions(
+            snapshot="date_format(day, 'yyyy-MM-dd')",
             customer_id="c_custkey",
             industry="c_mktsegment",
             company_size_bracket="CASE WHEN n_orders <= 5 THEN '1-10' WHEN n_orders <= 7 THEN '11-50'"

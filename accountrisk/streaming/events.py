@@ -133,15 +133,29 @@ def session_activity(events: DataFrame, gap: str = "6 hours", delay: str = "1 da
 
 
 def daily_counts(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Events per day; rows older than the watermark are dropped."""
+    """Events per day, each event id once; rows older than the watermark are dropped.
+
+    The deduplication meets every row before any aggregation, so the rows it drops are the late rows themselves and
+    :func:`late_rows` counts them exactly.
+    """
     return (
-        events.withWatermark("ts", delay)
+        deduplicated(events, delay)
         .groupBy(F.window("ts", "1 day"))
         .agg(F.count("*").alias("n_events"))
         .select(F.col("window.start").alias("day"), "n_events")
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the deduplication of a query dropped as older than the watermark, over its recent batches."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+        if operator.operatorName.startswith("dedupe")
+    )
+
+
 def deduplicated(events: DataFrame, delay: str = "1 day") -> DataFrame:
     """One row per event id within the watermark."""
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])

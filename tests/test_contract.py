@@ -12,9 +12,10 @@ from accountrisk.functions.contract import (
     with_default_id,
     with_violations,
 )
-from accountrisk.plans.intake import raw_feed
 from accountrisk.sources.mart import MART_CATEGORIES
 
+from feeds import raw_feed
+
 
 def codes(df, **kwargs):
     return [sorted(r["violations"]) for r in with_violations(df, **kwargs).collect()]
@@ -72,7 +73,7 @@ def test_valid_and_quarantine_partition_the_input(mart):
 def test_default_id(accounts):
     df = accounts({"customer_id": None}, {})
     assert [r[0] for r in with_default_id(df).select("customer_id").collect()] == [
-        "CUST-ONLINE-001", "ACC-1"
+        "CUST-ONLINE-001", "N-77"
     ]
     assert with_default_id(accounts(without=["customer_id"])).first()["customer_id"]
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from accountrisk.operators import drift as D
 from accountrisk.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from accountrisk.sources.accounts import append_report, load_baseline, save_baseline
+from feeds import shifted_batch
 
 
 def column(spark, values, name="v", kind="double"):
@@ -91,6 +93,28 @@ def test_ks_with_a_hot_value(spark):
     assert found["wasserstein"] == pytest.approx(area, abs=1e-9)
 
 
+def enumerated_pvalue(limit, n, m):
+    """Share of all orders of n + m values whose distance reaches limit / (n * m)."""
+    hits = total = 0
+    for chosen in itertools.combinations(range(n + m), n):
+        i = worst = 0
+        for k in range(n + m):
+            i += k in chosen
+            worst = max(worst, abs(i * m - (k + 1 - i) * n))
+        hits, total = hits + (worst >= limit), total + 1
+    return hits / total
+
+
+def test_exact_pvalues_by_enumeration(spark):
+    cases = [(h, n, m) for n in (2, 3, 5, 8) for m in (2, 4, 7, 8) for h in (0, 1, n, m, n * m // 2, n * m)]
+    want = [enumerated_pvalue(h, n, m) if h else 1.0 for h, n, m in cases]
+    assert [D.exact_pvalue(h / (n * m), n, m) for h, n, m in cases] == pytest.approx(want, abs=1e-12)
+    df = spark.createDataFrame([(h / (n * m), n, m) for h, n, m in cases[:20]] + [(0.01, 20_000, 500), (None, 3, 4)], "d double, n bigint, m bigint")
+    rows = df.select("*", D.ks_pvalue(F.col("d"), F.col("n"), F.col("m")).alias("p"), D.asymptotic_pvalue(F.col("d"), F.col("n"), F.col("m")).alias("a")).collect()
+    assert [r.p for r in rows[:20]] == pytest.approx(want[:20], abs=1e-12)
+    assert rows[20].p == rows[20].a and rows[21].p is None
+
+
 # Published distances of one audit: (distance, reference rows, current rows, p-value)
 PUBLISHED = [
     (0.0309, 10_000, 800, 0.4702), (0.0398, 10_000, 800, 0.1853), (0.0262, 10_000, 800, 0.6774),
@@ -170,7 +194,7 @@ def test_absent_features(spark, mart):
 
 
 def test_stored_baseline_gives_the_same_index(spark, mart, tmp_path):
-    current = D.shifted_batch(mart)
+    current = shifted_batch(mart)
     direct = {r["feature"]: r["psi"]
               for r in D.psi_numeric(mart, current, NUMERIC_FEATURES).collect()}
     path = save_baseline(D.baseline_bins(mart, NUMERIC_FEATURES), None, str(tmp_path / "base"))
@@ -180,6 +204,16 @@ def test_stored_baseline_gives_the_same_index(spark, mart, tmp_path):
         save_baseline(None, None, str(tmp_path / "none"))
 
 
+def test_stored_categories_give_the_same_index(spark, mart, tmp_path):
+    """Also for categories that one side lacks, and a feature the batch lacks."""
+    current = shifted_batch(mart, plan="Trial").drop("industry")
+    named = [f for f in CATEGORICAL_FEATURES if f != "industry"]
+    direct = {r["feature"]: r["psi"] for r in D.psi_categorical(mart, current, named).collect()}
+    path = save_baseline(None, D.categorical_profile(mart, CATEGORICAL_FEATURES), str(tmp_path / "base"))
+    stored = D.categorical_psi_from_baseline(load_baseline(spark, path, "categorical"), current).collect()
+    assert {r["feature"]: r["psi"] for r in stored} == pytest.approx(direct, abs=1e-12)
+
+
 def test_profiles(spark, mart):
     pdf = mart.toPandas()
     for row in D.numeric_profile(mart, [*NUMERIC_FEATURES, "not_there"]).collect():

@@ -10,7 +10,7 @@ from accountrisk.session import written
 from conftest import SMALL
 
 
-def test_halving_query_searches_the_whole_grid(spark, monkeypatch):
+def test_halving_query_uses_the_full_grid_rows_and_folds(spark, monkeypatch):
     asked = {}
 
     def search(df, pipeline, space, **options):
@@ -19,7 +19,14 @@ def test_halving_query_searches_the_whole_grid(spark, monkeypatch):
 
     monkeypatch.setattr(T, "halving_search", search)
     assert wiring.queries()["q_ml_halving_search"](spark, SMALL).count() == 1
-    assert asked == {"space": T.SEARCH_SPACE["random_forest"], "min_rows": 1000, "folds": 5, "candidates": 36}
+    assert asked == {"space": T.SEARCH_SPACE["random_forest"], "min_rows": 1000, "folds": 5, "candidates": 6}
+
+
+def test_halving_query_runs(spark):
+    """The query itself, at full settings on the smallest data: one rung, its candidates scored."""
+    rows = wiring.queries()["q_ml_halving_search"](spark, SMALL).collect()
+    assert len(rows) == 6 and {r.rung for r in rows} == {0} and all(0.0 <= r.metric <= 1.0 for r in rows)
+    assert len({r.candidate for r in rows}) == 6
 
 
 def test_halving_starts_with_the_candidates_asked_for(mart):

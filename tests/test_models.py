@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -16,11 +18,16 @@ from accountrisk.operators.splits import (
     train_test_split,
     with_folds,
 )
-from accountrisk.plans.modelling import FOREST, GBT, document_model, document_rows
+from accountrisk.operators import workflow as W
+from accountrisk.operators.ensembles import nested_scores
 from accountrisk.session import written
 from accountrisk.sources import registry as G
+from accountrisk.sources.mart import table
 
 NUMERIC = ["monthly_recurring_revenue", "nps_score"]
+# Small models, so that the tests look at how models are used, not at how well they fit.
+FOREST = {"numTrees": 10, "maxDepth": 4}
+GBT = {"maxIter": 4, "maxDepth": 3}
 
 
 @pytest.fixture(scope="module")
@@ -120,6 +127,94 @@ def test_candidates_are_distinct():
     assert len({T.describe(c) for c in found}) == 3 * 4 * 3
 
 
+def test_a_cut_ensemble_is_the_smaller_one(learnable):
+    """Fewer trees and shallower trees, read off one fit, score as a fit of that size would."""
+    for kind, large, small in (
+        ("random_forest", {"numTrees": 8, "maxDepth": 9}, {"numTrees": 8, "maxDepth": 3}),
+        ("gradient_boosting", {"maxIter": 6, "maxDepth": 3}, {"maxIter": 3, "maxDepth": 3}),
+    ):
+        *before, classifier = T.make_pipeline(kind, NUMERIC, ["plan_tier"], minInstancesPerNode=2).getStages()
+        ready = written(Pipeline(stages=before).fit(learnable).transform(learnable).select("customer_id", "churn", T.WEIGHT, "features"), "ready")
+        fits = [classifier.fit(ready, {classifier.getParam(n): v for n, v in p.items()}) for p in (large, small)]
+        part = (8, 3) if kind == "random_forest" else (3, None)
+        got = nested_scores(fits[0], ready, [(None, None), part], ["customer_id"]).collect()
+        for position, model in enumerate(fits):
+            want = dict(model.transform(ready).select("customer_id", vector_to_array("probability")[1]).collect())
+            assert {r.customer_id: pytest.approx(r.probability, abs=1e-9) for r in got if r.position == position} == want
+
+
+def test_a_forest_of_leading_trees(learnable):
+    """The first trees of a forest, averaged by hand."""
+    *before, classifier = T.make_pipeline("random_forest", NUMERIC, ["plan_tier"], numTrees=5, maxDepth=6).getStages()
+    ready = written(Pipeline(stages=before).fit(learnable).transform(learnable).select("customer_id", "churn", T.WEIGHT, "features"), "ready")
+    model = classifier.fit(ready)
+    trees = [dict(t.transform(ready).select("customer_id", vector_to_array("probability")[1]).collect()) for t in model.trees[:2]]
+    got = nested_scores(model, ready, [(2, None)], ["customer_id"]).collect()
+    for r in got:
+        assert r.probability == pytest.approx((trees[0][r.customer_id] + trees[1][r.customer_id]) / 2, abs=1e-9)
+
+
+@pytest.mark.parametrize("metric", ["net_benefit", "f1", "brier"])
+def test_search_and_importance_by_other_metrics(learnable, metric):
+    small = pipeline("random_forest", numTrees=3, maxDepth=3)
+    space = {"maxDepth": [1, 3], "numTrees": [1, 3]}
+    value = "monthly_recurring_revenue"
+    _, params, history = T.halving_search(learnable, small, space, min_rows=200, folds=2, candidates=4, metric=metric, value=value)
+    best = max(history, key=lambda h: h[3])
+    assert T.describe({T.make_classifier("random_forest").getParam(k): v for k, v in params.items()}) == best[2]
+    importance = I.permutation_importance(
+        T.fit_pipeline(small, learnable), learnable, [*NUMERIC, "plan_tier", *RATIO_ONLY], "churn", "customer_id", repeats=2,
+        metric=metric, value=value,
+    )
+    assert I.top_features(importance, 1).first()["feature"] in ("monthly_recurring_revenue", "plan_tier")
+
+
+RATIO_ONLY = ["contracted_seats", "active_users_last_30d", "support_tickets_count", "unresolved_tickets_count", "avg_daily_logins"]
+
+
+def test_flow_from_accounts_to_scores(spark, learnable, tmp_path):
+    """Search, champion, calibration, threshold, registry and scoring; the threshold is the registered one."""
+    root = str(tmp_path / "models")
+    row = W.train_and_register(
+        learnable, root, ("random_forest", "logistic_regression"), NUMERIC, ["plan_tier"], folds=2, candidates=2,
+        settings={"random_forest": FOREST},
+    )
+    assert row.algorithm in ("random_forest", "logistic_regression") and row.calibrated
+    assert {"roc_auc", "pr_auc", "f1_score", "net_benefit_usd", "brier_score", "ece"} <= set(row.validation_metrics)
+    scored = W.score_registered(spark, root, learnable.drop("churn"))
+    rows = scored.collect()
+    assert len(rows) == learnable.count() and {r.decision_threshold for r in rows} == {round(row.best_threshold, 4)}
+    assert all(0.0 <= r.churn_probability <= 1.0 for r in rows)
+    report, curve = W.calibration_report(scored.withColumn("y", F.col("churn_prediction")), "y", "churn_probability")
+    assert report.first()["n_rows"] == len(rows) and curve.agg(F.sum("n")).first()[0] == len(rows)
+
+
+def brute_isotonic(hits, weight):
+    """Max-min form: the largest, over starts, of the least mean up to any later end."""
+    n = len(hits)
+    return [max(min(hits[a : b + 1].sum() / weight[a : b + 1].sum() for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pooled_blocks(spark, seed):
+    """Pooling by ranges and up the tree gives the max-min fit, whatever the ranges."""
+    rng = np.random.default_rng(seed)
+    score = np.round(rng.random(400), 2)
+    label = (rng.random(400) < (score if seed else 0.5)).astype(int)
+    df = spark.createDataFrame([*zip(score.tolist(), label.tolist()), (None, 1), (0.5, None)], "s double, y int").repartition(5)
+    got = {r.score: (r.weight, r.calibrated) for r in C.calibrated_scores(df, "y", "s").collect()}
+    points = np.unique(score)
+    hits, weight = (np.array([f(label[score == p]) for p in points], float) for f in (np.sum, len))
+    want = dict(zip(points.tolist(), zip(weight.tolist(), brute_isotonic(hits, weight))))
+    assert set(got) == set(want)
+    for p, (w, value) in want.items():
+        assert got[p] == (w, pytest.approx(value, abs=1e-12))
+    blocks = np.column_stack([points, points, hits, weight])
+    for cut in (1, 17, len(points) - 1):
+        parts = np.vstack([C.pool(blocks[:cut]), C.pool(blocks[cut:])])
+        np.testing.assert_allclose(C.pool(parts), C.pool(blocks))
+
+
 def test_isotonic_steps(spark):
     """Against pooling by hand: 0.2 and 0.3 violate the order and share their mean."""
     pairs = [(0.1, 0), (0.1, 0), (0.2, 1), (0.3, 0), (0.4, 1), (0.9, 1)]
@@ -190,6 +285,33 @@ def test_importance_finds_the_driver(learnable):
     assert importance.count() == len(used)
 
 
+def document_rows(spark, folder):
+    """Labelled documents with a hash of the text as id, so exact copies stay on one side."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    words = F.split(F.lower(F.trim("text")), r"\s+")
+    return written(
+        documents.join(labels, "doc_id").select(
+            "doc_id",
+            F.xxhash64("text").alias("text_hash"),
+            F.col("quality").cast("int").alias("quality"),
+            F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
+            (F.size(F.array_distinct(words)) / F.size(words)).alias("distinct_share"),
+        ),
+        "documents",
+    )
+
+
+def document_model(kind, **params):
+    return Pipeline(
+        stages=[
+            T.BalancedWeights(inputCols=["quality"]),
+            VectorAssembler(inputCols=["log_chars", "distinct_share"], outputCol="features"),
+            T.make_classifier(kind, "quality", **params),
+        ]
+    )
+
+
 def test_document_quality_is_learned(spark):
     """Holdout AUC on labelled documents; splits by text hash keep copies together."""
     docs = document_rows(spark, "/root/testdata/sf0.1")

@@ -56,3 +56,32 @@ def test_running_totals_do_not_depend_on_buckets(spark, samples, buckets):
     assert [r["n_before"] for r in rows] == (np.cumsum(counts) - counts).tolist()
     assert {r["n_total"] for r in rows} == {1500}
     assert [r["next_value"] for r in rows] == [*distinct[1:].tolist(), None]
+
+
+@pytest.mark.parametrize("sort_limit", [1, 40, 5_000])
+def test_a_value_that_fills_the_column(spark, sort_limit):
+    """One value in nearly all rows and a long tail of distinct ones, on both sides and on one."""
+    rng = np.random.default_rng(5)
+    n = 30_000
+    tail = np.zeros(n)
+    tail[:900] = rng.permutation(900) + 1.0
+    both = np.full(n, 2.5)
+    both[:300] = rng.normal(2.5, 1, 300)
+    ends = np.where(np.arange(n) < 40, np.inf, np.where(np.arange(n) > n - 40, -np.inf, rng.integers(0, 9, n)))
+    df = frame(spark, tail=tail, both=both, ends=ends)
+    probs = [0.0, 0.005, 0.01, 0.5, 0.96, 0.969, 0.9701, 0.99, 0.9999, 1.0]
+    found = exact_quantiles(df, ["tail", "both"], probs, sort_limit=sort_limit, accuracy=100)
+    for name, values in (("tail", tail), ("both", both)):
+        np.testing.assert_allclose(found[name], np.quantile(values, probs), rtol=1e-12)
+    assert exact_quantiles(df, ["ends"], [0.0, 0.5, 1.0], sort_limit)["ends"] == [-np.inf, np.sort(ends)[(n - 1) // 2], np.inf]
+
+
+def test_no_interval_is_sorted_whole(spark, monkeypatch):
+    """Running counts are taken within buckets; a window over a whole interval sees bucket totals only."""
+    seen = []
+    monkeypatch.setattr("accountrisk.operators.quantiles.running_totals", lambda t, *a: seen.append(t) or running_totals(t, *a))
+    exact_quantiles(frame(spark, v=np.arange(4000.0)), ["v"], PROBS)
+    (tallies,) = seen
+    assert tallies.columns == ["slot", "bucket", "value", "n"]
+    sizes = [r["count"] for r in tallies.groupBy("slot", "bucket").count().collect()]
+    assert len(sizes) == 4 and max(sizes) <= 1001

@@ -146,6 +146,22 @@ def test_target_encoding_of_new_rows(spark, categories):
     assert found["unseen"] == pytest.approx(mean, abs=1e-12)
 
 
+def test_target_encoding_needs_folds(spark, categories):
+    with pytest.raises(ValueError, match="fold"):
+        encoding.TargetEncoder(inputCol="k", outputCol="e", labelCol="y").fit(categories)
+
+
+def test_many_categories(spark):
+    """20,000 categories: a slot each, unseen ones and nulls empty, vectors sparse."""
+    df = spark.range(20_000).select(F.format_string("c%05d", "id").alias("k"))
+    model = S.OneHot(inputCols=["k"]).fit(df)
+    asked = spark.createDataFrame([("c00000",), ("c19999",), ("none",), (None,)], "k string")
+    rows = {r["k"]: r["k__hot"] for r in model.transform(asked).collect()}
+    assert {v.size for v in rows.values()} == {20_000}
+    assert [rows[k].indices.tolist() for k in ("c00000", "c19999", "none", None)] == [[0], [19_999], [], []]
+    assert model.transform(asked).columns == ["k", "k__hot"]
+
+
 def test_nulls_do_not_reach_the_assembler(spark, mart):
     holes = mart.withColumn("monthly_recurring_revenue", F.lit(None).cast("double"))
     fitted = S.build_preprocessor(NUMERIC_FEATURES, []).fit(holes)

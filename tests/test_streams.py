@@ -5,10 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from accountrisk.plans.intake import raw_feed
 from accountrisk.sources.mart import MART_CATEGORIES, table
 from accountrisk.streaming import accounts as A
 from accountrisk.streaming import events as E
+from feeds import raw_feed
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -29,8 +29,9 @@ def test_gate_splits_every_account_once_and_replays_cleanly(spark, mart, tmp_pat
         A.gate_and_score(
             A.account_stream(spark, inbox, feed.schema), out, MART_CATEGORIES
         ).awaitTermination()
-    scored = spark.read.parquet(f"{out}/scored")
-    rejected = spark.read.parquet(f"{out}/quarantine")
+    schema = A.routed(stream, MART_CATEGORIES).schema
+    scored, rejected = (A.sink_rows(spark, out, sink, schema) for sink in ("scored", "quarantine"))
+    assert rejected.where("risk_level IS NOT NULL OR churn_probability IS NOT NULL").isEmpty() and rejected.count() > 0
     ids = scored.select("customer_id").union(rejected.select("customer_id"))
     assert ids.count() == ids.distinct().count() == mart.count()
     assert scored.where(F.col("risk_level").isNull()).isEmpty()
@@ -67,6 +68,19 @@ def test_late_rows_are_dropped(spark, tmp_path):
     ]
 
 
+def test_late_rows_are_counted(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    write_events(spark, source, [(1, stamp(10), 1, 1), (2, stamp(15), 1, 1)])
+    counts = []
+    for more in ([], [(k, stamp(10, k), 1, 1) for k in range(3, 9)], [(20, stamp(16), 1, 1), (21, stamp(12), 1, 1)]):
+        if more:
+            write_events(spark, source, more)
+        query = E.append_to(E.daily_counts(E.event_stream(spark, str(source))), out)
+        query.awaitTermination()
+        counts.append(E.late_rows(query))
+    assert counts == [0, 6, 1]
+
+
 def test_duplicates_across_batches_come_out_once(spark, tmp_path):
     source, out = tmp_path / "in", tmp_path / "out"
     write_events(spark, source, [(1, stamp(1), 1, 1), (2, stamp(1, 2), 1, 1)])
