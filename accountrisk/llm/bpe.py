@@ -304,9 +304,12 @@ def decoded_texts(tokens: pa.Array, flat: pa.Array, sizes: np.ndarray) -> pa.Arr
 
 
 def encode_and_decode(
-    docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded"
+    docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded", keep_memo: bool = True
 ) -> DataFrame:
-    """What :func:`encode` and then :func:`decode` give, in one pass: a worker holds the tables once."""
+    """What :func:`encode` and then :func:`decode` give, in one pass: a worker holds the tables once.
+
+    Without ``keep_memo`` a worker lets go of its memo after each task, for other work that it goes on with.
+    """
     tables = docs.sparkSession.sparkContext.broadcast(load_tables(tokenizer))
     base = docs.drop(ids_col, out_col)
     at = base.columns.index(text_col)
@@ -326,6 +329,9 @@ def encode_and_decode(
                     flat, offsets = encoder.encode(part.column(at))
                     text = decoded_texts(tokens, pa.array(flat), np.diff(offsets))
                     yield pa.RecordBatch.from_arrays([*part.columns, list_array(flat, offsets), text], [*part.schema.names, ids_col, out_col])
+        if not keep_memo:
+            encoder.memo.clear()
+            pa.default_memory_pool().release_unused()
 
     out = base.withColumn(text_col, F.col(text_col).cast("string"))
     return out.mapInArrow(run, out.withColumns({ids_col: F.lit(None).cast("array<int>"), out_col: F.lit("")}).schema)

@@ -44,6 +44,8 @@ SCALES = (8.0, 60.0)
 BINS = 400
 RIDGE = 1e-3
 STEPS = 3_000
+#: Text bytes worked on at once.
+STEP = 1_000_000
 
 
 def features(texts: list[bytes]) -> np.ndarray:
@@ -82,7 +84,7 @@ def feature_table(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in steps(batch, "t"):
+            for part in steps(batch, "t", STEP):
                 f = features(part.column("t").to_pylist())
                 lists = list_array(f.ravel(), np.arange(part.num_rows + 1) * N_FEATURES)
                 yield pa.RecordBatch.from_arrays([part.column("row_id"), lists], ["row_id", "features"])
@@ -204,7 +206,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     def run(batches):
         for batch in batches:
-            for part in steps(batch, batch.schema.names[at]):
+            for part in steps(batch, batch.schema.names[at], STEP):
                 texts = [t or b"" for t in part.column(at).cast(pa.binary()).to_pylist()]
                 x = features(texts).astype(np.float64)
                 s = weights.value.score(np.hstack([x, np.ones((len(x), 1))]))
