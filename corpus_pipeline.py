@@ -62,7 +62,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, their number, and the text they decode to."""
-    encoded = bpe.encode_and_decode(docs, public_tokenizers.path(TOKENIZER))
+    encoded = bpe.encode_and_decode(docs, public_tokenizers.path(TOKENIZER), keep_memo=False)
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
