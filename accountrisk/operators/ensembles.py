@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -110,34 +111,44 @@ def nodes_of(spark: SparkSession, model) -> Nodes:
         f"{node}.split.numCategories",
         f"{node}.split.leftCategoriesOrThreshold",
     )
-    rows = saved.toPandas().sort_values(["treeID", "id"], kind="stable")
-    tree, local = rows["treeID"].to_numpy(np.int64), rows["id"].to_numpy(np.int64)
+    rows = saved.toArrow().sort_by([("treeID", "ascending"), ("id", "ascending")])
+
+    def numbers(name: str, missing: float = -1) -> np.ndarray:
+        return rows.column(name).combine_chunks().fill_null(missing).to_numpy(zero_copy_only=False)
+
+    def lists(name: str) -> tuple[np.ndarray, np.ndarray]:
+        """(flat values, sizes) of a column of lists, null lists as empty."""
+        sizes = pc.list_value_length(rows.column(name)).combine_chunks().fill_null(0).to_numpy(zero_copy_only=False)
+        return pc.list_flatten(rows.column(name)).combine_chunks().to_numpy(zero_copy_only=False), sizes
+
+    tree, local = numbers("treeID").astype(np.int64), numbers("id").astype(np.int64)
     roots = np.flatnonzero(np.append(True, tree[1:] != tree[:-1]))
     start = roots[tree]  # ids count from 0 in every tree, parents before children
-    left, right = rows["leftChild"].to_numpy(np.int64), rows["rightChild"].to_numpy(np.int64)
+    left, right = numbers("leftChild").astype(np.int64), numbers("rightChild").astype(np.int64)
     left, right = np.where(left >= 0, start + left, -1), np.where(right >= 0, start + right, -1)
-    depth = np.zeros(len(rows), np.int64)
+    depth = np.zeros(len(local), np.int64)
     for i in np.flatnonzero(left >= 0):
         depth[left[i]] = depth[right[i]] = depth[i] + 1
-    split = [[] if v is None else list(v) for v in rows["leftCategoriesOrThreshold"]]
-    arity = rows["numCategories"].fillna(-1).to_numpy(np.int64)
-    chosen = np.flatnonzero((arity >= 0) & (left >= 0))
-    category = np.full(len(rows), -1, np.int64)
+    # a split holds its threshold, or the categories that go left
+    split, sizes = lists("leftCategoriesOrThreshold")
+    owner = np.repeat(np.arange(len(local)), sizes)
+    arity = np.where(left >= 0, numbers("numCategories"), -1).astype(np.int64)
+    chosen = np.flatnonzero(arity >= 0)
+    category = np.full(len(local), -1, np.int64)
     category[chosen] = np.arange(len(chosen))
     left_sets = np.zeros((len(chosen), int(arity[chosen].max(initial=0))), bool)
-    for k, i in enumerate(chosen):
-        left_sets[k, np.array(split[i], np.int64)] = True
-    threshold = np.array([v[0] if v and a < 0 else 0.0 for v, a in zip(split, arity, strict=True)])
+    listed = arity[owner] >= 0
+    left_sets[category[owner[listed]], split[listed].astype(np.int64)] = True
+    threshold = np.zeros(len(local))
+    threshold[owner[~listed]] = split[~listed]
+    prediction = numbers("prediction").astype(np.float64)
     if votes:
-        stats = np.array(rows["impurityStats"].tolist(), np.float64)
-        value = stats[:, 1] / stats.sum(axis=1)
-        weights = np.ones(len(roots))
+        stats = lists("impurityStats")[0].reshape(len(local), -1)
+        value, weights = stats[:, 1] / stats.sum(axis=1), np.ones(len(roots))
     else:
-        value, weights = rows["prediction"].to_numpy(np.float64), np.array(list(model.treeWeights))
-    return Nodes(
-        roots, weights, np.maximum(rows["featureIndex"].fillna(0).to_numpy(np.int64), 0),
-        threshold, left, right, depth, value, rows["prediction"].to_numpy(np.float64), votes, category, left_sets,
-    )
+        value, weights = prediction, np.array(list(model.treeWeights))
+    feature = np.maximum(numbers("featureIndex").astype(np.int64), 0)
+    return Nodes(roots, weights, feature, threshold, left, right, depth, value, prediction, votes, category, left_sets)
 
 
 def nested_scores(
