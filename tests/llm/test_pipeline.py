@@ -56,4 +56,4 @@ def test_near_duplicates_of_repeated_rows_and_ids(spark):
 def test_wiring():
     names = set(wiring.queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
