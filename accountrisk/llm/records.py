@@ -42,6 +42,8 @@ SHARD_BYTES = 64_000_000
 JOINED = 400  # words given to the library in one text
 MASK_DELTA = 0xA282EAD8  # fixed value of the record format
 INDEX_ROW = np.dtype([("key", "<i8"), ("has_key", "<i8"), ("offset", "<i8"), ("bytes", "<i8"), ("ids", "<i8")])
+#: Schemes that tasks open, by the name that Arrow knows them by.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 MANIFEST = "range_no int, file_no int, path string, records long, ids long, bytes long"
 
 
@@ -73,8 +75,25 @@ def ids_of(payload: bytes) -> np.ndarray:
     return np.frombuffer(payload, "<u2" if payload[0] == 2 else "<u4", offset=1)
 
 
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """The folder, made, with the scheme of the driver's file system, so that tasks open the same place by it.
+    Schemes that tasks cannot open are refused."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    full = system.makeQualified(path).toString()
+    scheme = full.partition(":")[0]
+    if scheme not in SCHEMES:
+        raise ValueError(f"tasks cannot write to {full}: its scheme is none of {', '.join(sorted(SCHEMES))}")
+    system.mkdirs(path)
+    return full
+
+
 def place(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    """(file system, path in it) of a path with its scheme."""
+    scheme, _, rest = path.partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"no scheme that tasks can open: {path}")
+    return fs.FileSystem.from_uri(f"{SCHEMES[scheme]}:{rest}")
 
 
 class ShardWriter:
@@ -141,8 +160,7 @@ def write_records(
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())
-    spark_folder = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    spark_folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(spark_folder)
+    folder = shared_folder(spark, folder)
     keys = [F.col("id").asc_nulls_first(), F.xxhash64("text"), F.col("nth")]
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("nth"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

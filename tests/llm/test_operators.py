@@ -382,6 +382,44 @@ def test_transactions_follow_links_both_ways(spark):
     assert [x.record_id for x in got["r1"].requests] == ["q1"] and [x.record_id for x in got["r1"].metadata] == ["m1"]
 
 
+def test_transactions_of_repeated_headers_and_long_chains(spark):
+    """Every named record counts, chains have any length, and records without an id stay apart."""
+    rows = [
+        ("r1", "response", ["x", "q1"]), ("q1", "request", None), ("m1", "metadata", ["q1"]), ("m2", "metadata", ["m1"]), ("m3", "metadata", ["m2"]),
+        ("r0", "revisit", []), ("q0", "request", ["gone", "r0"]), ("both", "request", ["r1", "r0"]), (None, "metadata", ["r1"]), (None, "response", []),
+        ("l1", "metadata", ["l2"]), ("l2", "metadata", ["l1"]), ("odd", None, [None, "r0"]), ("q0", "metadata", ["r0"]),
+    ]
+    records = spark.createDataFrame(rows, "record_id string, record_type string, concurrent_to array<string>")
+    got = {c.capture_id: c for c in warc.transactions(records).collect()}
+    ids = {k: sorted(x.record_id or "-" for x in [*c.requests, *c.metadata, *c.others]) for k, c in got.items() if not k.startswith("unnamed")}
+    assert ids == {"r1": ["m1", "m2", "m3", "q1"], "r0": ["both", "odd", "q0", "q0"], "l1": ["l1"], "l2": ["l2"]}
+    assert sorted(c.main is not None for k, c in got.items() if k.startswith("unnamed")) == [False, True]
+
+
+def test_warc_records_can_be_followed(spark):
+    """A revisit names the record that holds the payload; repeated headers are all kept; folders get their scheme."""
+    same = "<p>" + "y" * 300
+    rows = [(3, "a", same, 7), (3, "b", same, 7), (8, "c", same, 7), (None, "d", same, 7), (None, "d", same, 7), (4, "e", None, 7)]
+    pages = frame(spark, rows, "page_id long, url string, html string, digest int")
+    files = warc.write_archives(pages, new_path(spark, "warc"))
+    assert all(f.path.startswith("file:") for f in files.collect())
+    found = warc.read_archives(files).collect()
+    ids = {r.record_id: r for r in found}
+    assert len(ids) == len(found) == 3 * len(rows)
+    (revisit,) = [r for r in found if r.record_type == "revisit"]
+    assert (revisit.page_id, revisit.refers_to, ids[revisit.refers_to_id].page_id, ids[revisit.refers_to_id].record_type) == ("8", "3", "3", "response")
+    raw = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Concurrent-To: <a>\r\nwarc-concurrent-to: <b>\r\nContent-Length: 2\r\n\r\nxy\r\n\r\n"
+    assert warc.parsed(raw) == ({"warc-type": ["metadata"], "warc-concurrent-to": ["<a>", "<b>"], "content-length": ["2"]}, b"xy")
+
+
+def test_folders_that_tasks_cannot_open_are_refused(spark):
+    assert records.shared_folder(spark, new_path(spark, "plain")).startswith("file:/")
+    with pytest.raises(ValueError):
+        records.place("/no/scheme")
+    with pytest.raises(ValueError):
+        records.place("odd://host/x")
+
+
 HTML = [
     ("<p>one<p>two <b>bold</b>text<br>line", "one\n\ntwo boldtext\nline"),
     ("<ul><li>x<li>y<ol start=3><li>a<li>b</ol><li>z</ul>", "- x\n- y\n  3. a\n  4. b\n- z"),
