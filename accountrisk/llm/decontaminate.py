@@ -1,8 +1,10 @@
 """Benchmark decontamination with a generalised suffix automaton of the benchmark items.
 
-The items' words become one automaton per block of at most ``block_words`` item words, so what is broadcast
-has a fixed bound however large the benchmark is; further blocks are further passes in the same tasks. A task
-streams the words of each document through the automaton and tracks the longest match that ends at each word.
+The items' words become one automaton per block of at most ``block_words`` item words, or of one longer item. Tasks
+build the automata; each block has a pass over the documents, in which it alone is broadcast, so what the driver and
+a worker hold has a fixed bound however large the benchmark is. The hits of earlier passes are written by the digest
+of the text and join the last pass; a benchmark of one block takes one pass and no shuffle. A task streams the words
+of each document through the automaton and tracks the longest match that ends at each word.
 A word is hit when it lies in an occurrence of a window: ``window`` consecutive words of an item, or the whole
 item where it is shorter.
 
@@ -13,16 +15,21 @@ each other; an extra column with the name of a result column is replaced. With n
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountrisk.llm.common import as_bytes
+from accountrisk.llm.bpe import kept
+from accountrisk.llm.common import as_bytes, steps
+from accountrisk.session import written
 
 WINDOW = 13
 #: A document is contaminated when its hits reach this share of its words (1 in COVERAGE).
@@ -35,7 +42,10 @@ FOLD = bytes(
     b if b >= 0x80 or chr(b).isdigit() or b in _LETTERS else b + 32 if chr(b).isupper() else 0x20 for b in range(256)
 )
 WORD = re.compile(rb"[^ ]+")
+COUNTED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+ITEMS = pa.list_(pa.string())
 RESULT = "n_words long, n_hit long, spans array<struct<start:long,end:long>>, item_ids array<string>, contaminated boolean, clean_text string"
 
 
@@ -181,18 +191,56 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> str:
     return b"".join([*kept, text[done:]]).decode("utf-8", "replace")
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list]:
-    """The items, one after the other, in blocks of about ``block_words`` words."""
-    block, held = [], 0
-    for key, text in items.select(F.col(id_col).cast("string"), as_bytes(text_col)).toLocalIterator():
-        words = words_of(bytes(text))
-        if block and held + len(words) > block_words:
-            yield block
-            block, held = [], 0
-        block.append((key, words))
-        held += len(words)
-    if block:
-        yield block
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int, window: int) -> DataFrame:
+    """(block, automaton): the items in blocks of at most ``block_words`` words, or of one longer item, each built and
+    pickled in a task."""
+    rows = written(items.select(F.col(id_col).cast("string").alias("id"), as_bytes(text_col).alias("text")), "benchmark-items")
+    total = rows.agg(F.sum(F.regexp_count(F.col("text").cast("string"), F.lit(COUNTED)))).first()[0] or 0
+    parts = int(1.1 * total // block_words) + 1  # a tenth of room, since the parts differ a little in size
+
+    def run(batches):
+        part, number, block, held = TaskContext.get().partitionId(), 0, [], 0
+
+        def packed():
+            data = pickle.dumps(Automaton(block, window), pickle.HIGHEST_PROTOCOL)
+            return pa.RecordBatch.from_arrays([pa.array([f"{part}-{number}"]), pa.array([data], pa.large_binary())], ["block", "automaton"])
+
+        for batch in batches:
+            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = words_of(text)
+                if block and held + len(words) > block_words:
+                    yield packed()
+                    number, block, held = number + 1, [], 0
+                if words:
+                    block.append((key, words))
+                    held += len(words)
+        if block:
+            yield packed()
+
+    numbered = rows.withColumn("nth", F.monotonically_increasing_id())
+    dealt = rows.coalesce(1) if parts == 1 else numbered.repartition(parts, "nth")
+    return written(dealt.mapInArrow(run, "block string, automaton binary"), "benchmark-blocks")
+
+
+def block_hits(texts: DataFrame, block: Broadcast, token: str) -> DataFrame:
+    """(text_key, spans, item_ids) of the texts that one block's windows hit; rows of equal texts give one row."""
+    names = ["text_key", "block_spans", "block_items"]
+
+    def run(batches):
+        automaton = kept(token, lambda: pickle.loads(block.value))
+        for batch in batches:
+            for part in steps(batch, "text"):
+                hit = []
+                for key, text in zip(part.column("text_key").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    spans, found = automaton.hits(words_of(text))
+                    if spans:
+                        spans = [{"start": a, "end": b} for a, b in union_of(spans)]
+                        hit.append((key, spans, sorted(k for k in found if k is not None)))
+                if hit:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*hit, strict=True), (pa.binary(), SPANS, ITEMS), strict=True)], names)
+
+    found = texts.mapInArrow(run, "text_key binary, block_spans array<struct<start:long,end:long>>, block_items array<string>")
+    return written(found.dropDuplicates(["text_key"]), "benchmark-hits")
 
 
 def decontaminate(
@@ -216,33 +264,54 @@ def decontaminate(
     spark = docs.sparkSession
     base = docs.drop(*(c.split()[0] for c in RESULT.split(", ")))
     out = base.withColumn(text_col, F.col(text_col).cast("string"))
-    at = out.columns.index(text_col)
-    blocks = [spark.sparkContext.broadcast(Automaton(b, window)) for b in item_blocks(items, item_id_col, item_text_col, block_words)]
-    schema = out.select("*", *(F.lit(None).cast(kind).alias(name) for name, kind in (c.split(" ", 1) for c in RESULT.split(", ")))).schema
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string()), pa.bool_(), pa.string()]
-    names = [f.name for f in schema.fields]
-
-    def judged(text: bytes):
+    result = out.select("*", *(F.lit(None).cast(kind).alias(name) for name, kind in (c.split(" ", 1) for c in RESULT.split(", ")))).schema
+    kinds = [pa.int64(), pa.int64(), SPANS, ITEMS, pa.bool_(), pa.string()]
+    names = result.names
+    width, at = len(out.columns), out.columns.index(text_col)
+
+    blocks = item_blocks(items, item_id_col, item_text_col, block_words, window)
+    numbers = sorted(r.block for r in blocks.select("block").collect())
+
+    def sent(number: str) -> Broadcast:
+        return spark.sparkContext.broadcast(bytes(blocks.where(F.col("block") == number).first().automaton))
+
+    token = uuid.uuid4().hex
+    # all blocks but the last have a pass of their own, so that one block at a time is held
+    key = F.unhex(F.md5(as_bytes(text_col)))
+    earlier = None
+    for number in numbers[:-1]:
+        block = sent(number)
+        hits = block_hits(out.select(key.alias("text_key"), as_bytes(text_col).alias("text")), block, f"{token}-{number}")
+        block.destroy()
+        earlier = hits if earlier is None else earlier.union(hits)
+    last = sent(numbers[-1]) if numbers else None
+    given = [f"spans_{token}", f"items_{token}"]
+    if earlier is None:
+        rows = out.select("*", F.lit(None).cast("array<struct<start:long,end:long>>").alias(given[0]), F.lit(None).cast("array<string>").alias(given[1]))
+    else:
+        found = earlier.groupBy(F.col("text_key").alias(f"hit_{token}"))
+        found = found.agg(*(F.flatten(F.collect_list(c)).alias(n) for c, n in zip(("block_spans", "block_items"), given, strict=True)))
+        rows = out.withColumn(f"key_{token}", key).join(found, F.col(f"key_{token}") == F.col(f"hit_{token}"), "left").drop(f"key_{token}", f"hit_{token}")
+
+    def judged(automaton: Automaton | None, text: bytes, spans: list | None, found: list | None):
         words = words_of(text)
-        spans, found = [], set()
-        for b in blocks:
-            own, keys = b.value.hits(words)
-            spans += own
-            found |= keys
-        spans = union_of(spans)
+        own, items = automaton.hits(words) if automaton else ([], set())
+        spans = union_of(own + [(s["start"], s["end"]) for s in spans or []])
         n_hit = sum(b - a for a, b in spans)
         bad = n_hit > 0 and (coverage * n_hit >= len(words) or any(max_span is not None and b - a > max_span for a, b in spans))
-        keys = sorted(k for k in found if k is not None)
+        keys = sorted({k for k in items if k is not None}.union(found or []))
         return len(words), n_hit, [{"start": a, "end": b} for a, b in spans], keys, bad, without(text, spans) if spans else None
 
     def run(batches):
+        automaton = last and kept(token, lambda: pickle.loads(last.value))
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
                 texts = part.column(at)
-                rows = [judged(t or b"") for t in texts.cast(pa.binary()).to_pylist()]
+                known = zip(texts.cast(pa.binary()).to_pylist(), part.column(width).to_pylist(), part.column(width + 1).to_pylist(), strict=True)
+                rows = [judged(automaton, t or b"", spans, found) for t, spans, found in known]
                 made = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 made[-1] = pc.if_else(made[-1].is_null(), texts, made[-1])
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], *made], names)
 
-    return out.mapInArrow(run, schema)
+    return rows.mapInArrow(run, result)

@@ -71,6 +71,25 @@ def test_decontaminate(spark, block_words):
     assert none == 0
 
 
+def test_blocks_of_a_large_benchmark_add_up(spark):
+    """Many blocks, each with a pass of its own, give what brute force gives; copies and null ids included."""
+    draw = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(12)]
+    items = [(i, " ".join(draw.choice(vocabulary) for _ in range(draw.randint(0, 12)))) for i in range(40)]
+    rows = [(i, " ".join(draw.choice(vocabulary) for _ in range(draw.randint(0, 60)))) for i in range(60)]
+    rows += [(100, rows[5][1]), (None, rows[5][1]), (None, rows[7][1]), (101, None)]
+    table = frame(spark, items, "item_id long, text string")
+    blocks = decontaminate.item_blocks(table, "item_id", "text", 30, 4)
+    assert blocks.count() >= sum(len(t.split()) for _, t in items) / 30
+    docs = frame(spark, [(*r, "x") for r in rows], DOCS + ", text_key string")
+    got = sorted((repr(r.doc_id), r.n_hit, r.item_ids) for r in decontaminate.decontaminate(docs, table, window=4, block_words=30).collect())
+    want = []
+    for key, text in rows:
+        n_hit, found = brute_hits([(str(i), t.encode().split()) for i, t in items], (text or "").encode().split(), 4)
+        want.append((repr(key), n_hit, sorted(found)))
+    assert got == sorted(want)
+
+
 def test_rows_of_equal_short_hashes_are_apart(spark):
     """Null ids and two texts that agree in 31 bits of a hash: bytes go from the text that repeats only."""
     def text(k):
