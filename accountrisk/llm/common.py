@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,22 @@ def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterat
             yield batch.slice(a, b - a)
 
 
+def trimmed(run):
+    """``run`` for mapInArrow; when its task ends, the worker gives its free memory back to the system. Workers outlive
+    their tasks, so what they hoard would be missing to the tasks, of other kinds also, beside them."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library has it
+            if trim:
+                trim(0)
+
+    return whole
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values: the finaliser of a splittable generator (fixed constants)."""
     h = h ^ (h >> np.uint64(30))

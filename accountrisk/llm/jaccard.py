@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from accountrisk.llm.common import as_bytes, list_array, mix, steps
+from accountrisk.llm.common import as_bytes, list_array, mix, steps, trimmed
 from accountrisk.session import written
 
 WORDS = 5
@@ -144,7 +144,7 @@ def frequent_shingles(docs: DataFrame, n_words: int) -> tuple[np.ndarray, np.nda
                 often = count >= LOCAL_COUNT
                 yield pa.RecordBatch.from_arrays([pa.array(flat[first[often]].view(np.int64)), pa.array(count[often])], ["shingle", "n"])
 
-    tallies = docs.select("t").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    tallies = docs.select("t").mapInArrow(trimmed(run), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = tallies.where(F.col("n") >= TOTAL_COUNT).orderBy(F.desc("n"), "shingle").limit(KNOWN_FREQUENT).toArrow()
     hashes = top.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
@@ -194,7 +194,7 @@ def profile_table(docs: DataFrame, frequent, n_words: int) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     keys = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in own)
-    return docs.mapInArrow(run, f"uid long, id {kind}, n long, d1 long, d2 long, counts binary, prefix array<long>, n_light int{keys}")
+    return docs.mapInArrow(trimmed(run), f"uid long, id {kind}, n long, d1 long, d2 long, counts binary, prefix array<long>, n_light int{keys}")
 
 
 # ---- components -----------------------------------------------------------------------------------------
@@ -245,7 +245,7 @@ def set_table(docs: DataFrame, profiles: DataFrame, wanted: DataFrame, n_words:
                 ends = np.append(0, np.cumsum([len(s) for s in sets]))
                 yield pa.RecordBatch.from_arrays([*map(pa.array, digests(sets)), list_array(np.concatenate(sets).view(np.int64), ends)], ["e1", "e2", "shingles"])
 
-    made = picked.mapInArrow(run, "e1 long, e2 long, shingles array<long>")
+    made = picked.mapInArrow(trimmed(run), "e1 long, e2 long, shingles array<long>")
     same = (F.col("e1") == F.col("d1")) & (F.col("e2") == F.col("d2"))
     with early_join_filter(docs.sparkSession):
         return written(made.dropDuplicates(["e1", "e2"]).join(chosen, same).select("cid", "n", "shingles"), "sets")
@@ -281,7 +281,7 @@ def bounded(profiles: DataFrame, pairs: DataFrame) -> DataFrame:
             vectors = zip(batch.column("counts_a").to_pylist(), batch.column("counts_b").to_pylist(), n, strict=True)
             yield batch.select(["a", "b"]).filter(pa.array([7 * most_overlap(x, y) >= 3 * k for x, y, k in vectors], pa.bool_()))
 
-    return written(joined.mapInArrow(run, "a long, b long"), "pivot-pairs")
+    return written(joined.mapInArrow(trimmed(run), "a long, b long"), "pivot-pairs")
 
 
 # ---- trees ----------------------------------------------------------------------------------------------
@@ -409,7 +409,7 @@ def tree_pairs(members: DataFrame) -> DataFrame:
             if len(pairs):
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(bound)], ["a", "b", "bound"])
 
-    return dealt.mapInArrow(run, "a long, b long, bound double")
+    return dealt.mapInArrow(trimmed(run), "a long, b long, bound double")
 
 
 def tree_links(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, n_words: int) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accountrisk.llm.common import as_bytes, list_array, steps
+from accountrisk.llm.common import as_bytes, list_array, steps, trimmed
 from accountrisk.session import written
 
 _SYMBOLS = [b for b in range(0x21, 0x7F) if not chr(b).isalnum()]
@@ -89,7 +89,7 @@ def feature_table(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                 lists = list_array(f.ravel(), np.arange(part.num_rows + 1) * N_FEATURES)
                 yield pa.RecordBatch.from_arrays([part.column("row_id"), lists], ["row_id", "features"])
 
-    return base.mapInArrow(run, base.select("row_id", F.lit(None).cast("array<float>").alias("features")).schema)
+    return base.mapInArrow(trimmed(run), base.select("row_id", F.lit(None).cast("array<float>").alias("features")).schema)
 
 
 def matrix_of(column: pa.Array) -> np.ndarray:
@@ -110,7 +110,7 @@ def summed(table: DataFrame, groups: int, tally) -> np.ndarray:
             flat = total.ravel()
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(flat.size)), pa.array(flat)], ["k", "v"])
 
-    rows = table.mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+    rows = table.mapInArrow(trimmed(run), "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
     out = np.zeros(1 + max((r.k for r in rows), default=-1))
     for r in rows:
         out[r.k] = r.v
@@ -212,7 +212,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                 s = weights.value.score(np.hstack([x, np.ones((len(x), 1))]))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s)], [*part.schema.names, "score"])
 
-    scored = base.mapInArrow(run, base.withColumn("score", F.lit(None).cast("double")).schema)
+    scored = base.mapInArrow(trimmed(run), base.withColumn("score", F.lit(None).cast("double")).schema)
     return scored.withColumn("held_out", is_held_out(id_col)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
