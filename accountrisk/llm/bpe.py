@@ -28,7 +28,7 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountrisk.llm.common import list_array, steps
+from accountrisk.llm.common import list_array, steps, trimmed
 
 #: Entries of a task's memo; at that size it starts anew, which changes no result.
 MEMO_ENTRIES = 300_000
@@ -308,7 +308,7 @@ def encode_and_decode(
 ) -> DataFrame:
     """What :func:`encode` and then :func:`decode` give, in one pass: a worker holds the tables once.
 
-    Without ``keep_memo`` a worker lets go of its memo after each task, for other work that it goes on with.
+    Without ``keep_memo`` a worker lets go of its memo and free memory after each task, for other work that it goes on with.
     """
     tables = docs.sparkSession.sparkContext.broadcast(load_tables(tokenizer))
     base = docs.drop(ids_col, out_col)
@@ -331,10 +331,9 @@ def encode_and_decode(
                     yield pa.RecordBatch.from_arrays([*part.columns, list_array(flat, offsets), text], [*part.schema.names, ids_col, out_col])
         if not keep_memo:
             encoder.memo.clear()
-            pa.default_memory_pool().release_unused()
 
     out = base.withColumn(text_col, F.col(text_col).cast("string"))
-    return out.mapInArrow(run, out.withColumns({ids_col: F.lit(None).cast("array<int>"), out_col: F.lit("")}).schema)
+    return out.mapInArrow(run if keep_memo else trimmed(run), out.withColumns({ids_col: F.lit(None).cast("array<int>"), out_col: F.lit("")}).schema)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

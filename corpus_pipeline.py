@@ -56,7 +56,7 @@ def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; ``n_chars`` follows the text."""
-    clean = pii.redact(pii.find_pii(docs))
+    clean = pii.find_and_redact(docs)
     return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long"))).select(*docs.columns)
 
 

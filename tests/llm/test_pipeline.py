@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import __spark_entry__ as wiring
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from accountrisk.llm import decontaminate, jaccard, pii, pu_quality
 from accountrisk.session import written
 
@@ -53,6 +55,18 @@ def test_near_duplicates_of_repeated_rows_and_ids(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_personal_data_takes_one_worker_a_task(spark):
+    rows = [(1, "card 4111 1111 1111 1111 or a@b.org, 10.0.0.1", 9), (2, "call (555) 201-3344 or +1 555 201 3344 after six", 9)]
+    rows += [(3, None, None), (4, "", 0), (4, "ünïcode\nme@x.example.com", 9), (None, "no data here", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("pii", F.lit("stays"))
+    got = corpus_pipeline.personal_data(spark, docs, FOLDER)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and got.columns == docs.columns
+    want = pii.redact(pii.find_pii(docs)).select("doc_id", "text", F.length("text").alias("n_chars"), F.lit("stays"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert {"<card>", "<email>", "<ip>", "<phone>"} <= {w.strip(",") for r in got.collect() for w in (r.text or "").split()}
+
+
 def test_wiring():
     names = set(wiring.queries())
     assert "pipeline" in names
