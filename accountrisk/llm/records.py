@@ -27,6 +27,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,12 +35,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from accountrisk.llm.bpe import TEXT_BYTES, BpeEncoder, kept, tables_of
-from accountrisk.llm.common import steps
+from accountrisk.llm.bpe import TEXT_BYTES, BpeEncoder, kept, tables_of, white_space_split
+from accountrisk.llm.common import list_array, steps
 from accountrisk.session import written
 
 SHARD_BYTES = 64_000_000
 JOINED = 400  # words given to the library in one text
+MEMO_BYTES = 32_000_000  # texts and ids that a memo of a worker holds before it starts anew
 MASK_DELTA = 0xA282EAD8  # fixed value of the record format
 INDEX_ROW = np.dtype([("key", "<i8"), ("has_key", "<i8"), ("offset", "<i8"), ("bytes", "<i8"), ("ids", "<i8")])
 #: Schemes that tasks open, by the name that Arrow knows them by.
@@ -127,22 +129,86 @@ class ShardWriter:
         return self.range_no, self.file_no - 1, self.path, len(rows), int(rows["ids"].sum()), self.at
 
 
-def library_encoder(spec: str) -> BpeEncoder:
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(flat, ends from 0) of the picked stretches, one after the other."""
+    sizes = lengths[picks]
+    ends = np.append(0, np.cumsum(sizes))
+    return flat[np.arange(ends[-1]) + np.repeat(starts[picks] - ends[:-1], sizes)], ends
+
+
+class ArrowMemo:
+    """Ids of distinct texts, by a function that encodes those not met before; texts are held and looked up by Arrow, so
+    that none becomes a Python object. Starts anew once it holds ``MEMO_BYTES``; that changes no result."""
+
+    def __init__(self, encode_new):
+        self.encode_new = encode_new
+        self.clear()
+
+    def clear(self) -> None:
+        self.texts = pa.array([], pa.string())
+        self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, ends from 0) of texts that differ from each other."""
+        if self.texts.nbytes + self.ids.nbytes + self.ends.nbytes > MEMO_BYTES:
+            self.clear()
+        place = pc.index_in(texts, value_set=self.texts)
+        known = place.is_valid().to_numpy(zero_copy_only=False)
+        picks = place.fill_null(0).to_numpy().astype(np.int64)
+        picks[~known] = len(self.texts) + np.arange(len(texts) - known.sum())
+        if not known.all():
+            new = texts.filter(place.is_null())
+            ids, ends = self.encode_new(new)
+            self.texts = pa.concat_arrays([self.texts, new])
+            self.ids, self.ends = np.append(self.ids, ids), np.append(self.ends, self.ends[-1] + ends[1:])
+        return gathered(self.ids, self.ends[:-1], np.diff(self.ends), picks)
+
+
+class LibraryEncoder(BpeEncoder):
     """An encoder whose words are merged by the tokenizers library: white space, normal form and the split into words
     are done before, so that the library meets each distinct word once, many words in one call."""
-    tables = tables_of(json.loads(spec))
-    library = Tokenizer(Tokenizer.from_str(spec).model)
-    library.pre_tokenizer = WhitespaceSplit()
-    chars = tables["chars"]
-    ends_word = np.array([t.endswith(tables["word_end"]) for t in tables["tokens"]])
-
-    def merge(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        shown = ["".join(map(chars.__getitem__, w)) for w in words]
-        texts = [" ".join(shown[k : k + JOINED]) for k in range(0, len(shown), JOINED)]
-        ids = np.concatenate([np.array(e.ids, np.int32) for e in library.encode_batch_fast(texts, add_special_tokens=False)])
-        return ids, np.append(0, np.flatnonzero(ends_word[ids]) + 1)
 
-    return BpeEncoder(tables, merge)
+    def __init__(self, spec: str):
+        super().__init__(tables_of(json.loads(spec)))
+        self.library = Tokenizer(Tokenizer.from_str(spec).model)
+        self.library.pre_tokenizer = WhitespaceSplit()
+        self.shown = np.array([ord(c) for c in self.tables["chars"]], "<u2")
+        self.shown[ord("\n")] = ord(" ")  # no word has a line feed
+        self.ends_word = np.array([t.endswith(self.tables["word_end"]) for t in self.tables["tokens"]])
+        self.apart = pa.array(["\n", *self.tables["special"]], pa.string())
+        self.special_ids = np.array(list(self.tables["special"].values()), np.int32)
+        self.memo, self.word_memo = ArrowMemo(self.chunk_ids), ArrowMemo(self.word_ids)
+
+    def word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        joined = pc.binary_join(list_array(words, np.array([0, len(words)])), "\n")[0]
+        raw = np.frombuffer(joined.as_buffer(), np.uint8)
+        text = self.shown[raw].tobytes().decode("utf-16-le")  # a character for each byte
+        cuts = [0, *(np.flatnonzero(raw == ord("\n"))[JOINED - 1 :: JOINED] + 1).tolist(), len(text)]
+        texts = [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)])
+        return ids, np.append(0, np.flatnonzero(self.ends_word[ids]) + 1)
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of chunks; the words of a chunk end with a line feed, special tokens are words of their own."""
+        coded = pa.array(self.pieces(chunks.to_pylist()), pa.string()).dictionary_encode()
+        values, picks = coded.dictionary, coded.indices.to_numpy()
+        apart = pc.index_in(values, value_set=self.apart)
+        is_word = apart.is_null().to_numpy(zero_copy_only=False)
+        apart = apart.fill_null(0).to_numpy()
+        ids, ends = self.word_memo.encode(values.filter(pa.array(is_word)))
+        starts, lengths = (ids.size + apart - 1).astype(np.int64), np.minimum(apart, 1).astype(np.int64)
+        starts[is_word], lengths[is_word] = ends[:-1], np.diff(ends)
+        flat, ends = gathered(np.append(ids, self.special_ids), starts, lengths, picks)
+        line_feed = (~is_word & (apart == 0))[picks]
+        return flat, np.append(0, ends[:-1][line_feed])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, offsets) of texts."""
+        chunks, offsets = white_space_split(texts)
+        coded = chunks.dictionary_encode()
+        ids, ends = self.memo.encode(coded.dictionary)
+        flat, ends = gathered(ids, ends[:-1], np.diff(ends), coded.indices.to_numpy())
+        return flat, ends[offsets]
 
 
 def write_records(
@@ -171,7 +237,7 @@ def write_records(
     def run(batches):
         context = TaskContext.get()
         writer = ShardWriter(folder, f"shard-{context.partitionId():06d}-{context.taskAttemptId()}", context.partitionId(), shard_bytes)
-        encoder = kept(key, lambda: library_encoder(spec.value))
+        encoder = kept(key, lambda: LibraryEncoder(spec.value))
         width = 2 if max(len(encoder.tables["tokens"]), end_id + 1) <= 1 << 16 else 4
         dtype = f"<u{width}"
         last = np.array([end_id], dtype).tobytes()

@@ -152,6 +152,28 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode(frame(spark, []), TOKENIZER).count() == 0
 
 
+def test_record_words_are_merged_once(monkeypatch):
+    """The library meets a word once, in whatever chunks and steps it stands, until the memo starts anew."""
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = [None, "", " ", "the Theorem, the", "a\x1cb c\x1f", "x<|endoftext|>y <|endoftext|><|startoftext|>", "<|ENDOFTEXT|> <| a |>"]
+    texts += ["ΑΣ ΣΑΣ ς é é İ", "\n\n a\u00a0b c\u0085d", "z" * 5000, "'s don't 12345 #$%", "日本語 😀 \x00", "(the) theorem"]
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    encoder, met = records.LibraryEncoder(open(TOKENIZER, encoding="utf-8").read()), []
+    merge = encoder.word_memo.encode_new
+    encoder.word_memo.encode_new = lambda words: met.extend(words.to_pylist()) or merge(words)
+
+    def same(order):
+        flat, offsets = encoder.encode(pa.array([texts[k] for k in order], pa.string()))
+        return [flat[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [wanted[k] for k in order]
+
+    assert same([]) and same([0, 1]) and not met
+    assert same(range(6)) and same(range(len(texts))) and same([12, 3])
+    assert {"the", "theorem"} <= set(met) and len(met) == len(set(met))
+    monkeypatch.setattr(records, "MEMO_BYTES", 0)
+    assert same(range(len(texts))) and same([3, 12, 3])
+    assert met.count("the") > 1
+
+
 def test_records_round_trip(spark):
     rows = EDGE + [(i, f"text {i} " * (i % 7)) for i in range(300)]
     library = Tokenizer.from_file(TOKENIZER)
