@@ -34,6 +34,8 @@ CALIBRATED = "__calibrated"
 
 #: Scores are rounded to so many digits before the isotonic fit: at most 1,000,001 of them, whatever the rows.
 DIGITS = 6
+#: Nodes of all members up to which their trees are scored in one plan.
+PLAN_NODES = 500_000
 #: Neighbouring score ranges that one task merges.
 MERGED = 8
 BLOCK = "low double, high double, hits double, weight double"
@@ -197,7 +199,11 @@ class CalibratedEnsembleModel(Model, MLWritable, MLReadable):
         )
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        """Spark puts a whole model into the tasks of a plan that uses it, so members of many nodes score one after another,
+        each in a job of its own; streams keep one plan."""
         score = raw_score(self.getOrDefault(self.method))
+        nodes = sum(getattr(stage, "totalNumNodes", 0) for member, _ in self.members for stage in member.stages[-1:])
+        heavy = nodes > PLAN_NODES and not dataset.isStreaming
         out = dataset
         parts = []
         for i, (member, calibrator) in enumerate(self.members):
@@ -210,6 +216,8 @@ class CalibratedEnsembleModel(Model, MLWritable, MLReadable):
                 scored = calibrator.transform(scored)
             parts.append(f"__p{i}")
             out = scored.select(*out.columns, F.col(CALIBRATED).alias(parts[-1]))
+            if heavy:
+                out = written(out, "member-scores")
         mean = sum((F.col(p) for p in parts), F.lit(0.0)) / F.lit(float(len(parts)))
         return out.withColumn(self.getOrDefault(self.outputCol), mean).drop(*parts)
 
